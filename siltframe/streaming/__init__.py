@@ -1,0 +1 @@
+"""No stream: archives change through keyed batches (see ``operators.changes``)."""
