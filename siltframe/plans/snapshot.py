@@ -9,8 +9,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.amalgamate import split_levels
-from ..operators.reshape import to_wide
+from ..operators.reshape import MAX_HEADERS
 from ..schema import LEVELS
 from ..sources.tables import Archive, literal_table
 
@@ -32,23 +31,60 @@ class Snapshot:
     date_info: DataFrame
     sample: DataFrame
     age_model: DataFrame
-    counts: DataFrame
-
-    @cached_property
-    def pollen_count(self) -> dict[str, DataFrame]:
-        """One wide table per level: a row per sample, a column per taxon that occurs at the level."""
-        return {level: self.wide(level) for level in LEVELS}
-
-    def wide(self, level: str, taxa: list[str] | None = None) -> DataFrame:
-        """One level wide; naming the ``taxa`` saves the pass that finds them."""
-        return to_wide(self._levels[level], ["ID_SAMPLE"], "taxon_name", "count", taxa)
+    # Count rows that may belong to the selection: already reduced to it if keys were given.
+    facts: DataFrame
+    taxon_name: DataFrame
+
+    @property
+    def counts(self) -> DataFrame:
+        """(ID_SAMPLE, taxon_name, amalgamation_level, count) of all levels."""
+        return (
+            self.facts.join(self.sample, "ID_SAMPLE", "left_semi")
+            .join(self.taxon_name, "ID_TAXON", "left")
+            .select("ID_SAMPLE", "taxon_name", "amalgamation_level", "count")
+        )
 
     def long(self, level: str) -> DataFrame:
-        return self._levels[level]
+        at_level = F.col("amalgamation_level") == LEVELS.index(level)
+        return self.counts.where(at_level).drop("amalgamation_level")
 
     @cached_property
-    def _levels(self) -> dict[str, DataFrame]:
-        return split_levels(self.counts)
+    def taxa(self) -> dict[str, dict[str, int]]:
+        """The taxa that occur at each level, {name: id} in code-point order; found in one pass."""
+        used = self.facts.select("amalgamation_level", "ID_TAXON").distinct()
+        most = len(LEVELS) * MAX_HEADERS
+        rows = used.join(self.taxon_name, "ID_TAXON").limit(most + 1).collect()
+        if len(rows) > most:
+            raise ValueError(f"more than {MAX_HEADERS} taxa at a level; use the long counts")
+        found: dict[str, dict[str, int]] = {level: {} for level in LEVELS}
+        for row in sorted(rows, key=lambda r: r.taxon_name):
+            named = found[LEVELS[row.amalgamation_level]]
+            if row.taxon_name in named:
+                raise ValueError(f"two taxa are called {row.taxon_name}")
+            named[row.taxon_name] = row.ID_TAXON
+        return found
+
+    def wide(self, level: str) -> DataFrame:
+        """One level wide: a row per sample, a column per taxon that occurs at the level.
+
+        The pivot runs on ids and its columns are renamed, so no name is joined to the counts. Rows
+        of a sample meet once: the key of the counts allows one per taxon, so no sample is large.
+        """
+        taxa = self.taxa[level]
+        at_level = self.facts.where(F.col("amalgamation_level") == LEVELS.index(level))
+        by_id = (
+            at_level.select("ID_SAMPLE", "ID_TAXON", "count")
+            .repartition("ID_SAMPLE")
+            .groupBy("ID_SAMPLE")
+            .pivot("ID_TAXON", list(taxa.values()))
+            .agg(F.first("count"))
+        )
+        return by_id.toDF("ID_SAMPLE", *taxa).join(self.sample, "ID_SAMPLE", "left_semi")
+
+    @property
+    def pollen_count(self) -> dict[str, DataFrame]:
+        """The three wide tables."""
+        return {level: self.wide(level) for level in LEVELS}
 
     def stats(self) -> DataFrame:
         return snapshot_stats(self)
@@ -96,12 +132,9 @@ def snapshot(
         raise NoRecords("No records were found!")
 
     sample = archive.sample.join(entity, "ID_ENTITY", "left_semi")
-    counts = (
-        archive.pollen_count.where(F.col("count").isNotNull())
-        .join(sample, "ID_SAMPLE", "left_semi")
-        .join(archive.taxon_name, "ID_TAXON", "left")
-        .select("ID_SAMPLE", "taxon_name", "amalgamation_level", "count")
-    )
+    facts = archive.pollen_count.where(F.col("count").isNotNull())
+    if keys is not None or given:
+        facts = facts.join(sample, "ID_SAMPLE", "left_semi")
     return Snapshot(
         entity=entity,
         date_info=archive.date_info.join(entity, "ID_ENTITY", "left_semi"),
@@ -109,7 +142,8 @@ def snapshot(
         age_model=archive.age_model.join(sample, "ID_SAMPLE", "left_semi").join(
             archive.model_name, "ID_MODEL", "left"
         ),
-        counts=counts,
+        facts=facts,
+        taxon_name=archive.taxon_name,
     )
 
 
@@ -143,7 +177,7 @@ def snapshot_stats(snap: Snapshot) -> DataFrame:
         snap.date_info.groupBy("ID_ENTITY").agg(F.count("*").alias("dates")),
         snap.sample.groupBy("ID_ENTITY").agg(F.count("*").alias("samples")),
         age_model,
-        levels_per_entity(snap.counts, snap.sample),
+        levels_per_entity(snap.facts, snap.sample),
     ]
     stats = snap.entity.select("ID_SITE", "ID_ENTITY", "site_name", "entity_name")
     for part in parts:

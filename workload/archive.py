@@ -191,13 +191,14 @@ class Workload:
 
     @cached_property
     def pollen_count(self) -> DataFrame:
-        levels = F.posexplode(F.array("clean_name", "intermediate", "amalgamated"))
-        named = self.raw_count.where(F.col("count").isNotNull()).join(self.taxa_map, "raw_taxon")
+        # The ids are worked out on the map, once per raw taxon; the counts only carry numbers.
+        levels = F.posexplode(F.array(*[taxon_id(F.col(c)) for c in ("clean_name", "intermediate", "amalgamated")]))
+        level_map = self.taxa_map.select("raw_taxon", levels.alias("amalgamation_level", "ID_TAXON"))
         return (
-            named.select("ID_SAMPLE", "count", levels.alias("amalgamation_level", "name"))
-            .groupBy("ID_SAMPLE", "amalgamation_level", "name")
+            self.raw_count.where(F.col("count").isNotNull())
+            .join(level_map, "raw_taxon")
+            .groupBy("ID_SAMPLE", "ID_TAXON", "amalgamation_level")
             .agg(F.sum("count").alias("count"))
-            .select("ID_SAMPLE", taxon_id(F.col("name")).alias("ID_TAXON"), "amalgamation_level", "count")
         )
 
     @cached_property

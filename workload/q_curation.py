@@ -17,7 +17,7 @@ from siltframe.schema import LEVELS
 from siltframe.session import scratch_path
 from siltframe.sources import files, tables
 
-from .q_counts import CLEAN_NAMES, wide_sql
+from .q_counts import wide_sql
 from .registry import query
 
 # ---- snapshots and summaries -------------------------------------------------------------------
@@ -62,7 +62,7 @@ def _(w):
 def _register_counts(level: str) -> None:
     @query(f"snapshot_counts_{level}", wide_sql(level))
     def _(w):
-        return snapshot(w.archive).pollen_count[level]
+        return snapshot(w.archive).wide(level)
 
 
 for _level in LEVELS:
@@ -742,7 +742,7 @@ def _(w):
 )
 def _(w):
     path = scratch_path(w.spark, "counts")
-    files.write_csv(snapshot(w.archive).wide("clean", CLEAN_NAMES), path)
+    files.write_csv(snapshot(w.archive).wide("clean"), path)
     wide = files.read_wide_csv(w.spark, path, T.StructType([T.StructField("ID_SAMPLE", T.LongType())]))
     return reshape.to_long(wide, ["ID_SAMPLE"])
 
