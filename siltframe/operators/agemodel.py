@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import parse_flag
 from ..schema import DEFAULT_MODEL, SCHEMAS
 from .changes import replace_slice
-from .ids import with_position
+from .ids import pair_by_position
 
 STATISTICS = ["mean", "median", "uncert_5", "uncert_25", "uncert_75", "uncert_95"]
 DEPTH_TOLERANCE = 0.001
@@ -25,16 +25,14 @@ def _paired(files: DataFrame, sample: DataFrame) -> tuple[DataFrame, DataFrame]:
     n_sample = sample.groupBy("ID_ENTITY").agg(F.count("*").alias("n_sample"))
     counts = n_file.join(n_sample, "ID_ENTITY", "left").na.fill(0, ["n_sample"])
     equal = counts.where(F.col("n_file") == F.col("n_sample")).select("ID_ENTITY")
-    file_rows = with_position(
-        rows.join(equal, "ID_ENTITY", "left_semi"), ["depths", *STATISTICS], "__position", ["ID_ENTITY"]
-    )
-    sample_rows = with_position(
+    pairs = pair_by_position(
+        rows.join(equal, "ID_ENTITY", "left_semi"),
         sample.select("ID_ENTITY", "ID_SAMPLE", "depth").join(equal, "ID_ENTITY", "left_semi"),
-        ["depth", "ID_SAMPLE"],
-        "__position",
         ["ID_ENTITY"],
+        ["depths", *STATISTICS],
+        ["depth", "ID_SAMPLE"],
     )
-    return counts, file_rows.join(sample_rows, ["ID_ENTITY", "__position"]).drop("__position")
+    return counts, pairs.select("l.*", "r.ID_SAMPLE", "r.depth")
 
 
 def _report(counts: DataFrame, paired: DataFrame) -> DataFrame:

@@ -43,6 +43,26 @@ def with_position(df: DataFrame, order: Sequence[str], name: str, group: Sequenc
     return joined.withColumn(name, position).select(*df.columns, name)
 
 
+def pair_by_position(
+    left: DataFrame, right: DataFrame, group: Sequence[str], left_order: Sequence[str], right_order: Sequence[str]
+) -> DataFrame:
+    """Rows of both tables at the same position of their group: (group, struct ``l``, struct ``r``).
+
+    Both tables are stacked and numbered in one pass.
+    """
+    sides = []
+    for side, df, order in (("l", left, left_order), ("r", right, right_order)):
+        keys = [F.col(c).alias(f"__{side}{i}") for i, c in enumerate(order)]
+        sides.append(df.select(*group, F.lit(side).alias("__side"), *keys, F.struct(*df.columns).alias(side)))
+    order = [f"__{side}{i}" for side, o in (("l", left_order), ("r", right_order)) for i in range(len(o))]
+    stacked = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    placed = with_position(stacked, order, "__position", [*group, "__side"])
+    pairs = placed.groupBy(*group, "__position").agg(
+        F.first("l", ignorenulls=True).alias("l"), F.first("r", ignorenulls=True).alias("r")
+    )
+    return pairs.where(F.col("l").isNotNull() & F.col("r").isNotNull()).drop("__position")
+
+
 def assign_ids(df: DataFrame, order: Sequence[str], id_name: str, start: int = 0) -> DataFrame:
     """Give each row an id: ``start`` plus its position in ``order``, which must be unique."""
     return with_position(df, order, id_name).withColumn(id_name, F.col(id_name) + F.lit(start))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean_name, if_else, within_age_tolerance
-from .ids import with_position
+from .ids import pair_by_position
 
 DEPTH_DIGITS = 3
 
@@ -43,11 +43,14 @@ def match_positional(
     n_right = incoming.groupBy(entity).agg(F.count("*").alias("__n_right"))
     equal = n_left.join(n_right, entity).where(F.col("__n_left") == F.col("__n_right")).select(entity)
 
-    left_ranked = with_position(archive.join(equal, entity, "left_semi"), archive_order, "__position", [entity])
-    right_ranked = with_position(
-        other.join(equal, entity, "left_semi"), [renamed[c] for c in incoming_order], "__position", [entity]
+    pairs = pair_by_position(
+        archive.join(equal, entity, "left_semi"),
+        other.join(equal, entity, "left_semi"),
+        [entity],
+        archive_order,
+        [renamed[c] for c in incoming_order],
     )
-    by_position = left_ranked.join(right_ranked, [entity, "__position"]).drop("__position")
+    by_position = pairs.select("l.*", *[f"r.{c}" for c in renamed.values()])
 
     key = "__depth"
     left_rest = archive.join(equal, entity, "left_anti").withColumn(key, F.bround(depth, DEPTH_DIGITS))

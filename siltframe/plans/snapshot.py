@@ -27,20 +27,36 @@ class NoRecords(LookupError):
 class Snapshot:
     """Lazy tables of the selected entities; counts are long, and wide per level on request."""
 
+    archive: Archive
     entity: DataFrame
-    date_info: DataFrame
-    sample: DataFrame
-    age_model: DataFrame
-    # Count rows that may belong to the selection: already reduced to it if keys were given.
-    facts: DataFrame
-    taxon_name: DataFrame
+    # Whether keys were given, so that the linked tables have to be reduced before anything else.
+    selective: bool
+
+    @cached_property
+    def date_info(self) -> DataFrame:
+        return self.archive.date_info.join(self.entity, "ID_ENTITY", "left_semi")
+
+    @cached_property
+    def sample(self) -> DataFrame:
+        return self.archive.sample.join(self.entity, "ID_ENTITY", "left_semi")
+
+    @cached_property
+    def age_model(self) -> DataFrame:
+        models = self.archive.age_model.join(self.sample, "ID_SAMPLE", "left_semi")
+        return models.join(self.archive.model_name, "ID_MODEL", "left")
+
+    @cached_property
+    def facts(self) -> DataFrame:
+        """Count rows that may belong to the selection: all of them unless keys were given."""
+        counted = self.archive.pollen_count.where(F.col("count").isNotNull())
+        return counted.join(self.sample, "ID_SAMPLE", "left_semi") if self.selective else counted
 
     @property
     def counts(self) -> DataFrame:
         """(ID_SAMPLE, taxon_name, amalgamation_level, count) of all levels."""
         return (
             self.facts.join(self.sample, "ID_SAMPLE", "left_semi")
-            .join(self.taxon_name, "ID_TAXON", "left")
+            .join(self.archive.taxon_name, "ID_TAXON", "left")
             .select("ID_SAMPLE", "taxon_name", "amalgamation_level", "count")
         )
 
@@ -53,7 +69,7 @@ class Snapshot:
         """The taxa that occur at each level, {name: id} in code-point order; found in one pass."""
         used = self.facts.select("amalgamation_level", "ID_TAXON").distinct()
         most = len(LEVELS) * MAX_HEADERS
-        rows = used.join(self.taxon_name, "ID_TAXON").limit(most + 1).collect()
+        rows = used.join(self.archive.taxon_name, "ID_TAXON").limit(most + 1).collect()
         if len(rows) > most:
             raise ValueError(f"more than {MAX_HEADERS} taxa at a level; use the long counts")
         found: dict[str, dict[str, int]] = {level: {} for level in LEVELS}
@@ -131,20 +147,7 @@ def snapshot(
     if require_records and entity.isEmpty():
         raise NoRecords("No records were found!")
 
-    sample = archive.sample.join(entity, "ID_ENTITY", "left_semi")
-    facts = archive.pollen_count.where(F.col("count").isNotNull())
-    if keys is not None or given:
-        facts = facts.join(sample, "ID_SAMPLE", "left_semi")
-    return Snapshot(
-        entity=entity,
-        date_info=archive.date_info.join(entity, "ID_ENTITY", "left_semi"),
-        sample=sample,
-        age_model=archive.age_model.join(sample, "ID_SAMPLE", "left_semi").join(
-            archive.model_name, "ID_MODEL", "left"
-        ),
-        facts=facts,
-        taxon_name=archive.taxon_name,
-    )
+    return Snapshot(archive, entity, selective=keys is not None or bool(given))
 
 
 def counted_levels(counts: DataFrame) -> DataFrame:

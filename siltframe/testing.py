@@ -17,6 +17,8 @@ def local_session(cores: str | None = None, memory: str = "8g") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", memory)
+        # Recording the Python call site of every column costs more than these small plans take.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -1,11 +1,11 @@
-"""Every registered query against its SQL, at the smallest scale."""
+"""Every registered query against its SQL, at the scale of the correctness gate."""
 
 import __spark_entry__ as contract
 import pytest
 
 from workload.oracle import compare, oracle_connection
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")

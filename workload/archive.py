@@ -1,22 +1,33 @@
-"""The archive of ``views.py`` in DataFrames, read from the given Parquet tables."""
+"""The archive of ``views.py`` for Spark, read from the given Parquet tables.
+
+Tables are built on demand; a ``Workload`` can be used wherever an archive is read.
+"""
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from siltframe.session import configure
 from siltframe.sources.tables import Archive, literal_table
 
-
-def taxon_id(name: Column) -> Column:
-    return F.conv(F.substring(F.md5(name), 1, 13), 16, 10).cast("bigint")
+# Declared, so that reading a table needs no pass over its footers.
+GIVEN = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_returnflag STRING, "
+    "l_linestatus STRING",
+    "events": "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE",
+}
 
 
-def every(c: str, n: int, rest: int = 0) -> Column:
-    return F.col(c) % n == rest
+def taxon_id(name: str) -> str:
+    return f"CAST(conv(substring(md5({name}), 1, 13), 16, 10) AS BIGINT)"
 
 
 class Workload:
@@ -25,7 +36,7 @@ class Workload:
         self.sf_dir = sf_dir
 
     def given(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(GIVEN[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
     def archive(self) -> Archive:
@@ -42,163 +53,134 @@ class Workload:
 
     @cached_property
     def entity(self) -> DataFrame:
-        key = "c_custkey"
         nation = self.given("nation").withColumnRenamed("n_nationkey", "c_nationkey")
         return (
             self.given("customer")
             .join(nation, "c_nationkey")
-            .select(
-                F.col("c_nationkey").cast("bigint").alias("ID_SITE"),
-                F.col(key).alias("ID_ENTITY"),
-                F.col("n_name").alias("site_name"),
-                F.col("c_name").alias("entity_name"),
-                (F.col(key) % 140 - 60).cast("double").alias("latitude"),
-                (F.col(key) % 40 - 10).cast("double").alias("longitude"),
-                F.col("c_acctbal").alias("elevation"),
-                F.when(every(key, 7), None)
-                .when(every(key, 7, 1), "unknown")
-                .otherwise(F.lower("c_mktsegment"))
-                .alias("site_type"),
-                F.when(every(key, 2), "author  supplied").otherwise("archive").alias("source"),
-                F.when(~every(key, 5), F.concat(F.lit("study "), F.col(key) % 17)).alias("publication"),
-                F.when(~every(key, 3), F.concat(F.lit("10.1/"), F.col(key))).alias("doi"),
+            .selectExpr(
+                "CAST(c_nationkey AS BIGINT) AS ID_SITE",
+                "c_custkey AS ID_ENTITY",
+                "n_name AS site_name",
+                "c_name AS entity_name",
+                "CAST(c_custkey % 140 - 60 AS DOUBLE) AS latitude",
+                "CAST(c_custkey % 40 - 10 AS DOUBLE) AS longitude",
+                "c_acctbal AS elevation",
+                "CASE c_custkey % 7 WHEN 0 THEN NULL WHEN 1 THEN 'unknown' ELSE lower(c_mktsegment) END AS site_type",
+                "if(c_custkey % 2 = 0, 'author  supplied', 'archive') AS source",
+                "if(c_custkey % 5 = 0, NULL, concat('study ', c_custkey % 17)) AS publication",
+                "if(c_custkey % 3 = 0, NULL, concat('10.1/', c_custkey)) AS doi",
             )
         )
 
     @cached_property
     def external_link(self) -> DataFrame:
-        e = self.entity
-        first = e.select(
+        first = self.entity.selectExpr(
             "ID_SITE",
             "ID_ENTITY",
-            (F.col("ID_SITE") + 1000).alias("external_ID_SITE"),
-            (F.col("ID_ENTITY") + 10000).alias("external_ID_ENTITY"),
-            F.col("site_name").alias("external_site_name"),
-            F.col("entity_name").alias("external_entity_name"),
-            F.lit("NEOTOMA").alias("external_source"),
+            "ID_SITE + 1000 AS external_ID_SITE",
+            "ID_ENTITY + 10000 AS external_ID_ENTITY",
+            "site_name AS external_site_name",
+            "entity_name AS external_entity_name",
+            "'NEOTOMA' AS external_source",
         )
-        second = e.where(every("ID_ENTITY", 3)).select(
+        second = self.entity.where("ID_ENTITY % 3 = 0").selectExpr(
             "ID_SITE",
             "ID_ENTITY",
-            F.lit(None).cast("bigint").alias("external_ID_SITE"),
-            (F.col("ID_ENTITY") + 20000).alias("external_ID_ENTITY"),
-            F.upper("site_name").alias("external_site_name"),
-            F.lower("entity_name").alias("external_entity_name"),
-            F.lit("RPD").alias("external_source"),
+            "CAST(NULL AS BIGINT) AS external_ID_SITE",
+            "ID_ENTITY + 20000 AS external_ID_ENTITY",
+            "upper(site_name) AS external_site_name",
+            "lower(entity_name) AS external_entity_name",
+            "'RPD' AS external_source",
         )
         return first.unionByName(second)
 
     @cached_property
     def date_info(self) -> DataFrame:
-        key, value = "event_id", F.col("value")
-        kinds = {
-            "click": "AMS radiocarbon",
-            "view": "core top estimated",
-            "purchase": "pollen correlation",
-            "signup": "Hiatus",
-        }
-        date_type = F.when(every(key, 77), None)
-        for event, kind in kinds.items():
-            date_type = date_type.when(F.col("event_type") == event, kind)
-        return self.given("events").select(
-            F.col("user_id").alias("ID_ENTITY"),
-            F.col(key).alias("ID_DATE_INFO"),
-            date_type.otherwise("unknown").alias("date_type"),
-            F.when(~every(key, 11), value).alias("depth"),
-            F.when(every(key, 7), None).when(every(key, 5), -777777.0).otherwise(1.0).alias("thickness"),
-            F.concat(F.lit("LAB - "), F.col(key) % 97).alias("lab_num"),
-            F.when(every(key, 4), None).when(every(key, 4, 1), -999999.0).otherwise(value * 10).alias("age_c14"),
-            F.when(~every(key, 3), value * 11).alias("age_calib"),
-            F.when(every(key, 6), None).when(every(key, 6, 1), 0.0).otherwise(value / 10).alias("error"),
-            F.when(every(key, 10), "wood")
-            .when(every(key, 10, 1), " bulk   sediment ")
-            .when(every(key, 10, 2), "unknown material")
-            .when(~every(key, 10, 3), "peat")
-            .alias("material_dated"),
-            F.when(every(key, 77) | every(key, 9), None)
-            .when(every(key, 9, 1), "unknown")
-            .when(every(key, 9, 2), "no")
-            .otherwise("yes")
-            .alias("age_used"),
-            F.when(every(key, 8), "outlier")
-            .when(every(key, 8, 1), "unknown reason")
-            .when(every(key, 8, 2), "reversal ")
-            .when(every(key, 8, 3), "see text")
-            .alias("reason_age_not_used"),
-            F.when(every(key, 13), "checked").alias("notes"),
+        return self.given("events").selectExpr(
+            "user_id AS ID_ENTITY",
+            "event_id AS ID_DATE_INFO",
+            """CASE WHEN event_id % 77 = 0 THEN NULL WHEN event_type = 'click' THEN 'AMS radiocarbon'
+                    WHEN event_type = 'view' THEN 'core top estimated' WHEN event_type = 'purchase' THEN 'pollen correlation'
+                    WHEN event_type = 'signup' THEN 'Hiatus' ELSE 'unknown' END AS date_type""",
+            "if(event_id % 11 = 0, NULL, value) AS depth",
+            "CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 5 = 0 THEN -777777D ELSE 1D END AS thickness",
+            "concat('LAB - ', event_id % 97) AS lab_num",
+            "CASE event_id % 4 WHEN 0 THEN NULL WHEN 1 THEN -999999D ELSE value * 10 END AS age_c14",
+            "if(event_id % 3 = 0, NULL, value * 11) AS age_calib",
+            "CASE event_id % 6 WHEN 0 THEN NULL WHEN 1 THEN 0D ELSE value / 10 END AS error",
+            """CASE event_id % 10 WHEN 0 THEN 'wood' WHEN 1 THEN ' bulk   sediment ' WHEN 2 THEN 'unknown material'
+                    WHEN 3 THEN NULL ELSE 'peat' END AS material_dated""",
+            """CASE WHEN event_id % 77 = 0 OR event_id % 9 = 0 THEN NULL WHEN event_id % 9 = 1 THEN 'unknown'
+                    WHEN event_id % 9 = 2 THEN 'no' ELSE 'yes' END AS age_used""",
+            """CASE event_id % 8 WHEN 0 THEN 'outlier' WHEN 1 THEN 'unknown reason' WHEN 2 THEN 'reversal '
+                    WHEN 3 THEN 'see text' END AS reason_age_not_used""",
+            "if(event_id % 13 = 0, 'checked', NULL) AS notes",
         )
 
     @cached_property
     def sample(self) -> DataFrame:
-        key = "o_orderkey"
-        age = F.when(~every(key, 13), F.floor(F.col("o_totalprice") / 50).cast("int"))
-        return self.given("orders").select(
-            F.col("o_custkey").alias("ID_ENTITY"),
-            F.col(key).alias("ID_SAMPLE"),
-            (F.floor("o_totalprice") / 10).alias("depth"),
-            F.when(every(key, 9), 0.0).otherwise(1.0).alias("thickness"),
-            F.concat(F.lit("chron "), F.col(key) % 3).alias("chronology_name"),
-            F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("age_type"),
-            age.alias("age"),
-            (age - 50).alias("age_younger"),
-            (age + 50).alias("age_older"),
-            F.when(every(key, 4), "unknown").otherwise("raw count").alias("count_type"),
-            F.when(~every(key, 6), "pollen").alias("sample_type"),
+        age = "if(o_orderkey % 13 = 0, NULL, CAST(floor(o_totalprice / 50) AS INT))"
+        return self.given("orders").selectExpr(
+            "o_custkey AS ID_ENTITY",
+            "o_orderkey AS ID_SAMPLE",
+            "floor(o_totalprice) / 10 AS depth",
+            "if(o_orderkey % 9 = 0, 0D, 1D) AS thickness",
+            "concat('chron ', o_orderkey % 3) AS chronology_name",
+            "if(o_orderstatus = 'P', NULL, o_orderpriority) AS age_type",
+            f"{age} AS age",
+            f"{age} - 50 AS age_younger",
+            f"{age} + 50 AS age_older",
+            "if(o_orderkey % 4 = 0, 'unknown', 'raw count') AS count_type",
+            "if(o_orderkey % 6 = 0, NULL, 'pollen') AS sample_type",
         )
 
     @cached_property
     def source_sample(self) -> DataFrame:
-        return self.sample.where(~every("ID_SAMPLE", 10)).select(
+        return self.sample.where("ID_SAMPLE % 10 <> 0").selectExpr(
             "ID_ENTITY",
-            (F.col("depth") + 0.0002).alias("depth"),
-            F.when(every("ID_SAMPLE", 9), 0.5).otherwise(F.col("thickness")).alias("thickness"),
-            F.when(every("ID_SAMPLE", 4), F.col("age") * 2).otherwise(F.col("age")).alias("age"),
+            "depth + 0.0002D AS depth",
+            "if(ID_SAMPLE % 9 = 0, 0.5D, thickness) AS thickness",
+            "if(ID_SAMPLE % 4 = 0, age * 2, age) AS age",
             "chronology_name",
         )
 
     @cached_property
     def raw_count(self) -> DataFrame:
-        flag, status = F.col("l_returnflag"), F.col("l_linestatus")
-        return self.given("lineitem").select(
-            F.col("l_orderkey").alias("ID_SAMPLE"),
-            F.col("l_partkey").alias("raw_taxon"),
-            F.col("l_linenumber").alias("line"),
-            F.concat_ws("|", flag, status).alias("element"),
-            F.when((flag == "N") & (status == "O"), None)
-            .when((flag == "R") & (status == "O"), 0.0)
-            .otherwise(F.col("l_quantity"))
-            .alias("count"),
+        return self.given("lineitem").selectExpr(
+            "l_orderkey AS ID_SAMPLE",
+            "l_partkey AS raw_taxon",
+            "l_linenumber AS line",
+            "concat(l_returnflag, '|', l_linestatus) AS element",
+            """CASE WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN NULL
+                    WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN 0D ELSE l_quantity END AS count""",
         )
 
     @cached_property
     def taxa_map(self) -> DataFrame:
-        noun = F.split_part(F.col("p_name"), F.lit(" "), F.lit(2))
         return (
             self.given("part")
-            .where(F.col("p_size") < 50)
-            .select(
-                F.col("p_partkey").alias("raw_taxon"),
-                F.col("p_name").alias("clean_name"),
-                noun.alias("intermediate"),
-                F.when(noun < "h", "group a").otherwise("group b").alias("amalgamated"),
-            )
+            .where("p_size < 50")
+            .selectExpr("p_partkey AS raw_taxon", "p_name AS clean_name", "split_part(p_name, ' ', 2) AS intermediate")
+            .selectExpr("*", "if(intermediate < 'h', 'group a', 'group b') AS amalgamated")
         )
 
     @cached_property
     def taxon_name(self) -> DataFrame:
-        names = F.explode(F.array("clean_name", "intermediate", "amalgamated")).alias("taxon_name")
-        return self.taxa_map.select(names).distinct().select(taxon_id(F.col("taxon_name")).alias("ID_TAXON"), "taxon_name")
+        names = self.taxa_map.selectExpr("explode(array(clean_name, intermediate, amalgamated)) AS taxon_name")
+        return names.distinct().selectExpr(f"{taxon_id('taxon_name')} AS ID_TAXON", "taxon_name")
 
     @cached_property
     def pollen_count(self) -> DataFrame:
-        # The ids are worked out on the map, once per raw taxon; the counts only carry numbers.
-        levels = F.posexplode(F.array(*[taxon_id(F.col(c)) for c in ("clean_name", "intermediate", "amalgamated")]))
-        level_map = self.taxa_map.select("raw_taxon", levels.alias("amalgamation_level", "ID_TAXON"))
+        # Repeats of a raw taxon merge before each row becomes three. The ids are worked out on the
+        # map, once per raw taxon, so the counts only carry numbers.
+        ids = ", ".join(taxon_id(c) for c in ("clean_name", "intermediate", "amalgamated"))
+        level_map = self.taxa_map.selectExpr("raw_taxon", f"posexplode(array({ids})) AS (amalgamation_level, ID_TAXON)")
+        merged = self.raw_count.where("count IS NOT NULL").groupBy("ID_SAMPLE", "raw_taxon").sum("count")
         return (
-            self.raw_count.where(F.col("count").isNotNull())
-            .join(level_map, "raw_taxon")
+            merged.join(level_map, "raw_taxon")
             .groupBy("ID_SAMPLE", "ID_TAXON", "amalgamation_level")
-            .agg(F.sum("count").alias("count"))
+            .sum("sum(count)")
+            .withColumnRenamed("sum(sum(count))", "count")
         )
 
     @cached_property
@@ -208,53 +190,43 @@ class Workload:
 
     @cached_property
     def age_model(self) -> DataFrame:
-        models = F.when(every("ID_SAMPLE", 5), F.array(F.lit(3), F.lit(8))).otherwise(F.array(F.lit(8)))
-        age = F.col("age")
         return (
-            self.sample.where(F.col("age_type").isNotNull() & age.isNotNull())
-            .select(F.explode(models).alias("ID_MODEL"), "ID_SAMPLE", "age")
-            .select(
+            self.sample.where("age_type IS NOT NULL AND age IS NOT NULL")
+            .selectExpr("explode(if(ID_SAMPLE % 5 = 0, array(3, 8), array(8))) AS ID_MODEL", "ID_SAMPLE", "age")
+            .selectExpr(
                 "ID_MODEL",
                 "ID_SAMPLE",
-                age.alias("mean"),
-                (age + F.col("ID_MODEL")).alias("median"),
-                (age - 90).alias("UNCERT_5"),
-                (age - 25).alias("UNCERT_25"),
-                (age + 25).alias("UNCERT_75"),
-                (age + 90).alias("UNCERT_95"),
+                "age AS mean",
+                "age + ID_MODEL AS median",
+                "age - 90 AS UNCERT_5",
+                "age - 25 AS UNCERT_25",
+                "age + 25 AS UNCERT_75",
+                "age + 90 AS UNCERT_95",
             )
         )
 
     @cached_property
     def age_file(self) -> DataFrame:
-        copies = F.when(every("ID_SAMPLE", 10), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-        age = F.col("age")
         return (
-            self.sample.where(~(every("ID_ENTITY", 10) & every("ID_SAMPLE", 2)))
-            .select("*", F.explode(copies).alias("copy"))
-            .select(
+            self.sample.where("NOT (ID_ENTITY % 10 = 0 AND ID_SAMPLE % 2 = 0)")
+            .selectExpr("*", "explode(if(ID_SAMPLE % 10 = 0, array(1, 2), array(1))) AS copy")
+            .selectExpr(
                 "ID_ENTITY",
-                F.concat_ws("-", "copy", "ID_SAMPLE").alias("sample_ids"),
-                F.when(every("ID_ENTITY", 10, 1), F.col("depth") + 0.01).otherwise(F.col("depth")).alias("depths"),
-                (age + 0.7).alias("mean"),
-                (age + 0.2).alias("median"),
-                (age - 90.9).alias("uncert_5"),
-                (age - 25.5).alias("uncert_25"),
-                (age + 25.5).alias("uncert_75"),
-                (age + 90.9).alias("uncert_95"),
+                "concat(copy, '-', ID_SAMPLE) AS sample_ids",
+                "if(ID_ENTITY % 10 = 1, depth + 0.01D, depth) AS depths",
+                "age + 0.7D AS mean",
+                "age + 0.2D AS median",
+                "age - 90.9D AS uncert_5",
+                "age - 25.5D AS uncert_25",
+                "age + 25.5D AS uncert_75",
+                "age + 90.9D AS uncert_95",
             )
         )
 
     @cached_property
     def entity_pub(self) -> DataFrame:
-        return (
-            self.given("orders")
-            .select(F.col("o_custkey").alias("ID_ENTITY"), (F.col("o_orderkey") % 100).alias("ID_PUB"))
-            .distinct()
-        )
+        return self.given("orders").selectExpr("o_custkey AS ID_ENTITY", "o_orderkey % 100 AS ID_PUB").distinct()
 
     @cached_property
     def pub(self) -> DataFrame:
-        return self.given("supplier").select(
-            F.col("s_suppkey").alias("ID_PUB"), F.when(~every("s_suppkey", 31), F.col("s_name")).alias("citation")
-        )
+        return self.given("supplier").selectExpr("s_suppkey AS ID_PUB", "if(s_suppkey % 31 = 0, NULL, s_name) AS citation")

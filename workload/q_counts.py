@@ -55,7 +55,7 @@ def _(w):
     """SELECT s.ID_ENTITY, count(DISTINCT a.ID_SAMPLE) AS n_am FROM age_model a JOIN sample s ON a.ID_SAMPLE = s.ID_SAMPLE GROUP BY s.ID_ENTITY""",
 )
 def _(w):
-    return summary.models_per_entity(w.archive)
+    return summary.models_per_entity(w)
 
 
 @query(
@@ -243,7 +243,7 @@ def _(w):
        INTERSECT SELECT s.ID_ENTITY FROM pollen_count p JOIN sample s ON p.ID_SAMPLE = s.ID_SAMPLE""",
 )
 def _(w):
-    return summary.complete_entities(w.archive)
+    return summary.complete_entities(w)
 
 
 @query(
@@ -262,7 +262,7 @@ def _(w):
        WHERE p.amalgamation_level = 1""",
 )
 def _(w):
-    wide = snap.snapshot(w.archive).wide("intermediate")
+    wide = snap.snapshot(w).wide("intermediate")
     return reshape.to_long(wide, ["ID_SAMPLE"])
 
 

@@ -32,7 +32,7 @@ def european_sites(w):
 
 
 def picked(w):
-    return snapshot(w.archive, european_sites(w))
+    return snapshot(w, european_sites(w))
 
 
 @query("snapshot_entity", f"SELECT * FROM entity WHERE site_name IN ({_EUROPE})")
@@ -62,7 +62,7 @@ def _(w):
 def _register_counts(level: str) -> None:
     @query(f"snapshot_counts_{level}", wide_sql(level))
     def _(w):
-        return snapshot(w.archive).wide(level)
+        return snapshot(w).wide(level)
 
 
 for _level in LEVELS:
@@ -83,7 +83,7 @@ def _(w):
 def _(w):
     rich = w.given("supplier").where(F.col("s_acctbal") > 5000)
     keys = rich.select(F.col("s_nationkey").cast("bigint").alias("ID_SITE"), F.lit("any").alias("site_name"))
-    return snapshot(w.archive, keys).entity
+    return snapshot(w, keys).entity
 
 
 _STATS = """
@@ -101,7 +101,7 @@ _STATS = """
 
 @query("snapshot_stats", _STATS)
 def _(w):
-    stats = snapshot(w.archive).stats()
+    stats = snapshot(w).stats()
     return stats.select(*stats.columns[:-1], "pollen_counts.*")
 
 
@@ -123,7 +123,7 @@ _SUMMARY = f"""
 
 @query("db_summary", _SUMMARY + "SELECT * FROM full_summary")
 def _(w):
-    return summary.db_summary(w.archive)
+    return summary.db_summary(w)
 
 
 @query(
@@ -133,7 +133,7 @@ def _(w):
                 count(*) FILTER (has_COUNTS) AS with_counts FROM full_summary""",
 )
 def _(w):
-    return summary.db_summary_totals(summary.db_summary(w.archive))
+    return summary.db_summary_totals(summary.db_summary(w))
 
 
 @query(
@@ -141,7 +141,7 @@ def _(w):
     _SUMMARY + "SELECT ID_ENTITY, n_dates, n_samples, n_am, n_counts, has_DATES, has_COUNTS FROM full_summary",
 )
 def _(w):
-    path = summary.write_summary(summary.db_summary(w.archive), scratch_path(w.spark, "export"), "2022-03-01")
+    path = summary.write_summary(summary.db_summary(w), scratch_path(w.spark, "export"), "2022-03-01")
     types = "n_dates bigint, n_samples bigint, n_am bigint, n_counts bigint, has_DATES boolean, has_COUNTS boolean"
     stored = w.spark.read.csv(path, header=True).select("ID_ENTITY", *[c.split()[0] for c in types.split(", ")])
     schema = f"ID_ENTITY bigint, {types}"
@@ -742,7 +742,7 @@ def _(w):
 )
 def _(w):
     path = scratch_path(w.spark, "counts")
-    files.write_csv(snapshot(w.archive).wide("clean"), path)
+    files.write_csv(snapshot(w).wide("clean"), path)
     wide = files.read_wide_csv(w.spark, path, T.StructType([T.StructField("ID_SAMPLE", T.LongType())]))
     return reshape.to_long(wide, ["ID_SAMPLE"])
 
@@ -836,7 +836,7 @@ def _(w):
     folder = scratch_path(w.spark, "bundle")
     w.spark.createDataFrame([], "none int").write.parquet(folder)
     prefix = f"{folder}/all"
-    files.write_csvs(snapshot(w.archive), prefix)
+    files.write_csvs(snapshot(w), prefix)
     counts = []
     for name, path in files.snapshot_files(prefix).items():
         stored = w.spark.read.csv(path, header=True, multiLine=False)
