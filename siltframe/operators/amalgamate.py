@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import squish
 from ..schema import LEVELS
 from .aggregates import sum_or_zero
 from .ids import assign_ids
@@ -18,6 +19,17 @@ from .joins import drop_members, keep_members, lookup
 COUNT_COLUMNS = ["ID_SAMPLE", "ID_TAXON", "amalgamation_level", "count"]
 
 
+def prepare_taxa_map(listed: DataFrame, raw: str = "raw_taxon") -> DataFrame:
+    """A curated list as a map: excluded names out, names squished, " type" in raw names hyphenated.
+
+    A row without a clean name is left out as well.
+    """
+    excluded = squish(F.lower("clean_name")).contains("exclude")
+    return listed.where(~excluded).withColumns(
+        {raw: F.regexp_replace(raw, " type", "-type"), "clean_name": squish(F.col("clean_name"))}
+    )
+
+
 def level_map(taxa_map: DataFrame, child: str, parent: str) -> DataFrame:
     """Distinct (child, parent) names with a known parent."""
     return taxa_map.select(child, parent).distinct().where(F.col(parent).isNotNull())

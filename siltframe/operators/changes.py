@@ -13,7 +13,7 @@ from typing import TYPE_CHECKING
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import all_null, join_null_safe
+from .joins import all_null, distinct_keys, join_null_safe
 
 if TYPE_CHECKING:
     from ..sources.tables import Archive
@@ -111,7 +111,7 @@ def change_set(table: DataFrame, incoming: DataFrame, key: Keys, *, delete_missi
 
 def split_existing_new(archive: DataFrame, incoming: DataFrame, on: Keys) -> tuple[DataFrame, DataFrame]:
     """Incoming rows the archive already has, and those that still need an id."""
-    known = archive.select(*on)
+    known = distinct_keys(archive, on)
     return join_null_safe(incoming, known, on, "left_semi"), join_null_safe(incoming, known, on, "left_anti")
 
 

@@ -53,13 +53,18 @@ def lookup(df: DataFrame, dim: DataFrame, on: Mapping[str, str]) -> DataFrame:
     return df.join(other, match, "left").drop(*names)
 
 
+def distinct_keys(keys: DataFrame, on: str | Keys) -> DataFrame:
+    """A key list from any table: repeats merge before they are shuffled, so a hot key stays one row."""
+    return keys.select(*([on] if isinstance(on, str) else on)).distinct()
+
+
 def keep_members(df: DataFrame, keys: DataFrame, on: str | Keys) -> DataFrame:
-    return df.join(keys, on, "left_semi")
+    return df.join(distinct_keys(keys, on), on, "left_semi")
 
 
 def drop_members(df: DataFrame, keys: DataFrame, on: str | Keys) -> DataFrame:
     """Rows whose key is not listed; a null key is never listed, so it stays."""
-    return df.join(keys, on, "left_anti")
+    return df.join(distinct_keys(keys, on), on, "left_anti")
 
 
 def exists_flag(df: DataFrame, facts: DataFrame, key: str, name: str) -> DataFrame:

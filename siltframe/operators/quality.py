@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import if_else, strip_code
 from .aggregates import compare_counts, count_rows, with_group_size
-from .joins import all_null, join_null_safe
+from .joins import all_null, drop_members, join_null_safe
 
 Keys = Sequence[str]
 
@@ -90,7 +90,7 @@ def missing_core_tops(source_dates: DataFrame, archive_dates: DataFrame) -> Data
     def tops(dates: DataFrame) -> DataFrame:
         return dates.where(F.col("date_type").rlike("^(Top|top)"))
 
-    return tops(source_dates).join(tops(archive_dates), "ID_ENTITY", "left_anti")
+    return drop_members(tops(source_dates), tops(archive_dates), "ID_ENTITY")
 
 
 def zero_thickness(sample: DataFrame) -> DataFrame:

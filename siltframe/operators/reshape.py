@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -62,6 +63,11 @@ def sort_columns(df: DataFrame, first: Sequence[str]) -> DataFrame:
     return df.select(*first, *[_quoted(c) for c in sorted(c for c in df.columns if c not in first)])
 
 
+def rename_matching(df: DataFrame, pattern: str, replacement: str) -> DataFrame:
+    """Apply a regular expression to every header."""
+    return df.toDF(*[re.sub(pattern, replacement, c) for c in df.columns])
+
+
 def columns_starting(df: DataFrame, *prefixes: str) -> list[str]:
     return [c for c in df.columns if c.startswith(prefixes)]
 

@@ -9,6 +9,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import keep_members
 from ..operators.reshape import MAX_HEADERS
 from ..schema import LEVELS
 from ..sources.tables import Archive, literal_table
@@ -109,13 +110,13 @@ class Snapshot:
 def _select_entities(archive: Archive, key: str, values: Iterable | DataFrame) -> DataFrame:
     entity = archive.entity
     if isinstance(values, DataFrame):
-        return entity.join(values.select(key), key, "left_semi").select(*entity.columns)
+        return keep_members(entity, values, key).select(*entity.columns)
     wanted = [values] if isinstance(values, (str, int)) else list(values)
     if len(wanted) <= _MAX_LITERALS:
         return entity.where(F.col(key).isin(wanted))
     kind = entity.schema[key].dataType.simpleString()
     listed = literal_table(entity.sparkSession, [(w,) for w in wanted], f"`{key}` {kind}")
-    return entity.join(listed, key, "left_semi").select(*entity.columns)
+    return keep_members(entity, listed, key).select(*entity.columns)
 
 
 def snapshot(

@@ -60,8 +60,8 @@ def read_age_model_files(
         .withColumn("path", F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
     )
     rows = files.where(F.col("path").contains(name_part)).select(
-        F.regexp_extract("path", "([^/]+)/[^/]+$", 1).alias("entity_name"),
-        F.regexp_extract("path", "([^/]+)/[^/]+/[^/]+$", 1).alias("subfolder"),
+        F.split_part("path", F.lit("/"), F.lit(-2)).alias("entity_name"),
+        F.split_part("path", F.lit("/"), F.lit(-3)).alias("subfolder"),
         "path",
         *AGE_MODEL_FILE.names,
     )

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ..operators.joins import keep_members
 from ..schema import MODEL_NAMES, SCHEMAS, TABLES
 
 
@@ -55,10 +56,28 @@ def load_archive(spark: SparkSession, path: str) -> Archive:
     return Archive.of({t: spark.read.schema(SCHEMAS[t]).parquet(f"{path}/{t}") for t in TABLES})
 
 
-def load_archive_jdbc(spark: SparkSession, url: str, **options: str) -> Archive:
-    """Read the tables from a relational store; filters and columns are pushed into its SQL."""
-    reader = spark.read.format("jdbc").option("url", url).options(**options)
-    return Archive.of({t: reader.option("dbtable", t).load() for t in TABLES})
+# The id each table is split by when it is read from a relational store.
+_SPLIT_KEYS = {"entity": "ID_ENTITY", "external_link": "ID_ENTITY", "date_info": "ID_DATE_INFO", "sample": "ID_SAMPLE"}
+_SPLIT_KEYS |= {"taxon_name": "ID_TAXON", "pollen_count": "ID_SAMPLE", "model_name": "ID_MODEL", "age_model": "ID_SAMPLE"}
+
+
+def load_archive_jdbc(spark: SparkSession, url: str, partitions: int = 64, **options: str) -> Archive:
+    """Read the tables from a relational store, each in ``partitions`` id ranges side by side.
+
+    Filters and columns are pushed into the store's SQL.
+    """
+    def load(table: str) -> DataFrame:
+        key = _SPLIT_KEYS[table]
+        reader = spark.read.format("jdbc").options(url=url, **options)
+        low, high = reader.option("query", f"SELECT min({key}) AS low, max({key}) AS high FROM {table}").load().first()
+        return (
+            spark.read.format("jdbc")
+            .options(url=url, dbtable=table, **options)
+            .options(partitionColumn=key, lowerBound=low or 0, upperBound=(high or 0) + 1, numPartitions=partitions)
+            .load()
+        )
+
+    return Archive.of({t: load(t) for t in TABLES})
 
 
 def write_table(df: DataFrame, path: str, name: str) -> None:
@@ -86,7 +105,7 @@ def create_archive(spark: SparkSession, path: str) -> Archive:
 
 def scan_by_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows whose key is listed. The ids stay distributed and prune the scan at run time."""
-    return df.join(ids, key, "left_semi")
+    return keep_members(df, ids, key)
 
 
 def scan_id_range(df: DataFrame, key: str, low: int, high: int) -> DataFrame:

@@ -313,6 +313,28 @@ def _(w):
     return aggregates.value_catalogue(w.date_info, ["date_type", "material_dated", "age_used", "reason_age_not_used"])
 
 
+@query(
+    "prepare_taxa_map",
+    """SELECT p_name || '-type' AS raw_taxon, p_name AS clean_name, p_type FROM part WHERE p_size % 5 <> 0""",
+)
+def _(w):
+    name = F.when(F.col("p_size") % 5 == 0, "To  EXCLUDE").otherwise(F.concat(F.lit(" "), F.replace("p_name", F.lit(" "), F.lit("  "))))
+    listed = w.given("part").select(
+        F.concat("p_name", F.lit(" type")).alias("raw_taxon"), name.alias("clean_name"), "p_type"
+    )
+    return amalgamate.prepare_taxa_map(listed)
+
+
+@query(
+    "rename_columns",
+    """SELECT ID_SAMPLE, mean, median, UNCERT_5 AS uncert_5, UNCERT_25 AS uncert_25, UNCERT_75 AS uncert_75, UNCERT_95 AS uncert_95 FROM age_model""",
+)
+def _(w):
+    source = w.age_model.withColumnsRenamed({c: f"est_age_{c}" for c in w.age_model.columns if c.startswith("UNCERT")})
+    plain = reshape.rename_matching(reshape.rename_matching(source, "^est_age_", ""), "UNCERT", "uncert")
+    return plain.select("ID_SAMPLE", "mean", "median", *reshape.columns_starting(plain, "uncert"))
+
+
 _LONG_NAMES = """SELECT r.raw_taxon, r.ID_SAMPLE, m.clean_name || '|' || r.element AS taxon, r.cnt AS count
                  FROM raw_count r JOIN taxa_map m ON r.raw_taxon = m.raw_taxon"""
 
