@@ -55,11 +55,12 @@ class Snapshot:
     @property
     def counts(self) -> DataFrame:
         """(ID_SAMPLE, taxon_name, amalgamation_level, count) of all levels."""
-        return (
-            self.facts.join(self.sample, "ID_SAMPLE", "left_semi")
-            .join(self.archive.taxon_name, "ID_TAXON", "left")
-            .select("ID_SAMPLE", "taxon_name", "amalgamation_level", "count")
-        )
+        named = self._of_samples(self.facts).join(self.archive.taxon_name, "ID_TAXON", "left")
+        return named.select("ID_SAMPLE", "taxon_name", "amalgamation_level", "count")
+
+    def _of_samples(self, counts: DataFrame) -> DataFrame:
+        """Leave out counts of samples the archive does not have; a selection has lost them already."""
+        return counts if self.selective else counts.join(self.sample, "ID_SAMPLE", "left_semi")
 
     def long(self, level: str) -> DataFrame:
         at_level = F.col("amalgamation_level") == LEVELS.index(level)
@@ -96,7 +97,7 @@ class Snapshot:
             .pivot("ID_TAXON", list(taxa.values()))
             .agg(F.first("count"))
         )
-        return by_id.toDF("ID_SAMPLE", *taxa).join(self.sample, "ID_SAMPLE", "left_semi")
+        return self._of_samples(by_id.toDF("ID_SAMPLE", *taxa))
 
     @property
     def pollen_count(self) -> dict[str, DataFrame]:

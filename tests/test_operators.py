@@ -51,6 +51,16 @@ def test_duplicates_group_nulls_together(frame):
     assert rows(aggregates.find_duplicates(df, ["k"])) == [(None, 2), (None, 2)]
 
 
+def test_a_hot_key_loses_no_row(spark):
+    df = spark.range(9000).selectExpr("if(id % 3 = 0, 7, id) AS k", "id AS v")
+    assert aggregates.find_duplicates(df, ["k"]).count() == 3001
+    assert quality.redundancy(df, "k", ["v"]).where("k = 7").first()["n_all"] == 3001
+    counted = spark.range(9000).selectExpr("if(id % 3 = 0, 7, id) AS ID_SAMPLE")
+    flagged = joins.exists_flag(spark.range(10).toDF("ID_SAMPLE"), counted, "ID_SAMPLE", "hit")
+    assert flagged.count() == 10 and flagged.where("hit").count() == 6
+    assert aggregates.first_per_key(df, ["k"], ["v"]).where("k = 7").first()["v"] == 0
+
+
 # ---- reshape ------------------------------------------------------------------------------------
 
 
