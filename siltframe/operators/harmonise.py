@@ -102,6 +102,12 @@ def external_links(entity: DataFrame, external: DataFrame, on: str, source: str)
     )
 
 
+def links_from_legacy(legacy: DataFrame) -> DataFrame:
+    """The older link table, which knew one source only, as rows of the present one."""
+    renamed = {c: c.replace("neotoma_", "external_") for c in legacy.columns}
+    return legacy.withColumnsRenamed(renamed).withColumn("external_source", F.lit(DEFAULT_SOURCE))
+
+
 def default_source(entity: DataFrame, external_link: DataFrame) -> DataFrame:
     """Entities with each of their other sources, or the default one if there is none."""
     others = external_link.where(F.col("external_source") != DEFAULT_SOURCE).select("ID_ENTITY", "external_source")

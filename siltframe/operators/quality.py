@@ -121,11 +121,9 @@ def duplicate_review(totals: DataFrame, metadata: DataFrame, entity: str, depth:
     ``totals`` has (entity, depth, total, …), one row per sample; a row is kept if its entity is in
     the metadata.
     """
-    agree = totals.groupBy(entity, depth).agg(
-        (F.min("total").eqNullSafe(F.max("total")) & (F.count("total").isin(0) | (F.count("total") == F.count("*")))).alias(
-            "same_total"
-        )
-    )
+    known_totals = F.count("total")
+    one_value = F.min("total").eqNullSafe(F.max("total")) & ((known_totals == 0) | (known_totals == F.count("*")))
+    agree = totals.groupBy(entity, depth).agg(one_value.alias("same_total"))
     known = metadata.select(entity).distinct().withColumn("__known", F.lit(True))
     joined = join_null_safe(totals, agree, [entity, depth]).join(known, entity, "left")
     return joined.withColumn("keep", F.coalesce("__known", F.lit(False))).drop("__known")

@@ -26,10 +26,18 @@ def to_long(
     keep_nulls: bool = False,
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per (ids, column) with a value."""
+    """One row per (ids, column) with a value.
+
+    The measures go through one array: with thousands of columns that is several times faster than
+    an unpivot, which copies the row once per column, and names are only attached to what is left.
+    """
     measures = list(columns) if columns is not None else [c for c in wide.columns if c not in ids]
-    long = wide.unpivot([_quoted(i) for i in ids], [_quoted(m) for m in measures], name, value)
-    return long if keep_nulls else long.where(F.col(value).isNotNull())
+    cells = f"posexplode(array({', '.join(_quoted(m) for m in measures)})) AS (__column, {_quoted(value)})"
+    long = wide.selectExpr(*[_quoted(i) for i in ids], cells)
+    if not keep_nulls:
+        long = long.where(F.col(_quoted(value)).isNotNull())
+    named = F.lit(measures)[F.col("__column")].alias(name)
+    return long.select(*[_quoted(i) for i in ids], named, _quoted(value))
 
 
 def headers(long: DataFrame, name: str) -> list[str]:
@@ -84,9 +92,8 @@ def drop_empty_taxa(long: DataFrame, taxon: str = "taxon", value: str = "count")
 
 def drop_empty_columns(wide: DataFrame, ids: Sequence[str]) -> DataFrame:
     """Drop measure columns without a value: one pass over the table, whatever its width."""
-    measures = [c for c in wide.columns if c not in ids]
-    filled = wide.agg(*[F.count(_quoted(c)).alias(str(i)) for i, c in enumerate(measures)]).first()
-    return wide.select(*[_quoted(i) for i in ids], *[_quoted(c) for i, c in enumerate(measures) if filled[str(i)]])
+    filled = {row[0] for row in to_long(wide, ids, "__name", "__value").select("__name").distinct().collect()}
+    return wide.select(*[_quoted(c) for c in wide.columns if c in ids or c in filled])
 
 
 def union_sources(*frames: DataFrame) -> DataFrame:

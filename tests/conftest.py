@@ -37,7 +37,7 @@ def archive(frame):
             "ID_SITE long, ID_ENTITY long, external_ID_SITE long, external_ID_ENTITY long, "
             "external_site_name string, external_entity_name string, external_source string",
             (1, 1, 11, 101, "Alpha", "A1", "NEOTOMA"),
-            (1, 1, None, 201, "ALPHA", "a1", "RPD"),
+            (1, 1, None, 201, "ALPHA", "a1", "OTHER"),
             (2, 3, 12, 103, "Beta", "B1", "NEOTOMA"),
         ),
         date_info=frame(

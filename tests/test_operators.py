@@ -276,8 +276,8 @@ def test_deletes(frame, table, archive):
     assert rows(kept) == [(1,), (None,)] and rows(removed) == [(5,)]
     assert rows(changes.delete_rows(table, table.where("k = 1"))) == [(2, "x", "y")]
     links = archive.external_link
-    assert changes.delete_rows(links, links.where("external_source = 'RPD'")).count() == 2
-    left, before = changes.rm_links(links, 1, "RPD")
+    assert changes.delete_rows(links, links.where("external_source = 'OTHER'")).count() == 2
+    left, before = changes.rm_links(links, 1, "OTHER")
     assert left.count() == 2 and before.count() == 2
     after = changes.cascade_delete(archive, frame("ID_ENTITY long", (1,)))
     assert [after.table(t).count() for t in ("entity", "external_link", "date_info", "sample", "pollen_count", "age_model")] == [3, 1, 1, 2, 2, 1]
@@ -321,7 +321,7 @@ def test_source_with_its_own_columns(frame):
 
 def test_links_and_sources(archive):
     assert rows(harmonise.default_source(archive.entity, archive.external_link), "ID_ENTITY", "external_source") == [
-        (1, "RPD"),
+        (1, "OTHER"),
         (2, "NEOTOMA"),
         (3, "NEOTOMA"),
         (4, "NEOTOMA"),

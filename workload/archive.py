@@ -90,7 +90,7 @@ class Workload:
             "ID_ENTITY + 20000 AS external_ID_ENTITY",
             "upper(site_name) AS external_site_name",
             "lower(entity_name) AS external_entity_name",
-            "'RPD' AS external_source",
+            "'OTHER' AS external_source",
         )
         return first.unionByName(second)
 

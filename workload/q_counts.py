@@ -211,15 +211,15 @@ def _(w):
 @query(
     "tagged_union",
     """SELECT u.entity_name, u.db, e.ID_ENTITY FROM (
-         SELECT entity_name, 'archive' AS db FROM entity UNION ALL SELECT external_entity_name, 'RPD' FROM external_link WHERE external_source = 'RPD') u
+         SELECT entity_name, 'archive' AS db FROM entity UNION ALL SELECT external_entity_name, 'OTHER' FROM external_link WHERE external_source = 'OTHER') u
        LEFT JOIN entity e ON u.entity_name = e.entity_name""",
 )
 def _(w):
-    linked = w.external_link.where(F.col("external_source") == "RPD")
+    linked = w.external_link.where(F.col("external_source") == "OTHER")
     stacked = reshape.tagged_union(
         {
             "archive": w.entity.select("entity_name"),
-            "RPD": linked.select(F.col("external_entity_name").alias("entity_name")),
+            "OTHER": linked.select(F.col("external_entity_name").alias("entity_name")),
         }
     )
     return stacked.join(w.entity.select("ID_ENTITY", "entity_name"), "entity_name", "left")

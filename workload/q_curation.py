@@ -13,7 +13,7 @@ from siltframe.functions import (
 from siltframe.operators import agemodel, amalgamate, changes, dates, harmonise, ids, match, quality, reshape
 from siltframe.plans import summary
 from siltframe.plans.snapshot import snapshot
-from siltframe.schema import LEVELS
+from siltframe.schema import LEGACY_LINK_SCHEMA, LEVELS
 from siltframe.session import scratch_path
 from siltframe.sources import files, tables
 
@@ -154,7 +154,7 @@ def _(w):
 @query("append_new_records", "SELECT * FROM external_link")
 def _(w):
     stored = w.external_link.where(F.col("external_source") == "NEOTOMA")
-    new = w.external_link.where(F.col("external_source") == "RPD")
+    new = w.external_link.where(F.col("external_source") == "OTHER")
     key = ["ID_ENTITY", "external_ID_ENTITY", "external_source"]
     return changes.append_records(stored, new, key, {"ID_ENTITY": w.entity})
 
@@ -219,17 +219,17 @@ def _(w):
 
 @query(
     "rm_links",
-    """SELECT *, 'left' AS part FROM external_link WHERE NOT (ID_ENTITY = 12 AND external_source = 'RPD')
+    """SELECT *, 'left' AS part FROM external_link WHERE NOT (ID_ENTITY = 12 AND external_source = 'OTHER')
        UNION ALL SELECT *, 'before' FROM external_link WHERE ID_ENTITY = 12""",
 )
 def _(w):
-    left, before = changes.rm_links(w.external_link, 12, "RPD")
+    left, before = changes.rm_links(w.external_link, 12, "OTHER")
     return reshape.tagged_union({"left": left, "before": before}, "part")
 
 
-@query("delete_by_rows", "SELECT * FROM external_link WHERE NOT (ID_SITE >= 10 AND external_source = 'RPD')")
+@query("delete_by_rows", "SELECT * FROM external_link WHERE NOT (ID_SITE >= 10 AND external_source = 'OTHER')")
 def _(w):
-    rows = w.external_link.where((F.col("ID_SITE") >= 10) & (F.col("external_source") == "RPD"))
+    rows = w.external_link.where((F.col("ID_SITE") >= 10) & (F.col("external_source") == "OTHER"))
     return changes.delete_rows(w.external_link, rows)
 
 
@@ -585,7 +585,7 @@ def _(w):
     "external_links",
     """SELECT CASE WHEN e.ID_SITE < 20 THEN e.ID_SITE END AS ID_SITE, CASE WHEN e.ID_SITE < 20 THEN e.ID_ENTITY END AS ID_ENTITY,
               e.ID_SITE + 500 AS external_ID_SITE, e.ID_ENTITY + 70000 AS external_ID_ENTITY,
-              e.site_name AS external_site_name, e.entity_name AS external_entity_name, 'RPD' AS external_source FROM entity e""",
+              e.site_name AS external_site_name, e.entity_name AS external_entity_name, 'OTHER' AS external_source FROM entity e""",
 )
 def _(w):
     external = w.entity.select(
@@ -595,7 +595,14 @@ def _(w):
         F.col("site_name").alias("external_site_name"),
         F.col("entity_name").alias("external_entity_name"),
     )
-    return harmonise.external_links(w.entity.where(F.col("ID_SITE") < 20), external, "entity_name", "RPD")
+    return harmonise.external_links(w.entity.where(F.col("ID_SITE") < 20), external, "entity_name", "OTHER")
+
+
+@query("links_from_legacy", "SELECT * FROM external_link WHERE external_source = 'NEOTOMA'")
+def _(w):
+    legacy = w.external_link.where(F.col("external_source") == "NEOTOMA").select(*w.external_link.columns[:6])
+    stored = legacy.toDF(*LEGACY_LINK_SCHEMA.names)
+    return harmonise.links_from_legacy(stored)
 
 
 @query(

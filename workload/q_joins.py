@@ -106,10 +106,10 @@ def _(w):
 @query(
     "inner_metadata",
     """SELECT l.ID_ENTITY, l.external_ID_ENTITY, l.external_entity_name, e.site_name, e.entity_name, e.latitude, e.longitude
-       FROM external_link l JOIN entity e ON l.ID_ENTITY = e.ID_ENTITY WHERE l.external_source = 'RPD'""",
+       FROM external_link l JOIN entity e ON l.ID_ENTITY = e.ID_ENTITY WHERE l.external_source = 'OTHER'""",
 )
 def _(w):
-    links = w.external_link.where(F.col("external_source") == "RPD")
+    links = w.external_link.where(F.col("external_source") == "OTHER")
     return links.select("ID_ENTITY", "external_ID_ENTITY", "external_entity_name").join(
         w.entity.select("ID_ENTITY", "site_name", "entity_name", "latitude", "longitude"), "ID_ENTITY"
     )
@@ -210,11 +210,11 @@ def _(w):
     "match_clean_names",
     """SELECT e.ID_ENTITY, e.entity_name, l.external_ID_ENTITY, l.external_entity_name AS entity_name_source,
               regexp_replace(lower(e.entity_name), '[^a-z0-9]', '', 'g') AS entity_name_clean
-       FROM entity e JOIN external_link l ON l.external_source = 'RPD'
+       FROM entity e JOIN external_link l ON l.external_source = 'OTHER'
         AND regexp_replace(lower(e.entity_name), '[^a-z0-9]', '', 'g') = regexp_replace(lower(l.external_entity_name), '[^a-z0-9]', '', 'g')""",
 )
 def _(w):
-    links = w.external_link.where(F.col("external_source") == "RPD")
+    links = w.external_link.where(F.col("external_source") == "OTHER")
     other = links.select("external_ID_ENTITY", F.col("external_entity_name").alias("entity_name"))
     return match.match_clean_names(w.entity.select("ID_ENTITY", "entity_name"), other, "entity_name")
 
@@ -286,12 +286,12 @@ def _(w):
     "cross_source_models",
     """SELECT l.external_ID_ENTITY, l.ID_ENTITY, s.ID_SAMPLE, s.depth, m.ID_MODEL, m.mean, m.median
        FROM external_link l JOIN sample s ON l.external_ID_ENTITY = s.ID_ENTITY + 20000
-       JOIN age_model m ON m.ID_SAMPLE = s.ID_SAMPLE WHERE l.external_source = 'RPD'""",
+       JOIN age_model m ON m.ID_SAMPLE = s.ID_SAMPLE WHERE l.external_source = 'OTHER'""",
 )
 def _(w):
     other = w.sample.select((F.col("ID_ENTITY") + 20000).alias("ID_ENTITY"), "ID_SAMPLE", "depth")
     models = w.age_model.select("ID_MODEL", "ID_SAMPLE", "mean", "median")
-    return harmonise.models_across_sources(w.external_link, other, models, "RPD")
+    return harmonise.models_across_sources(w.external_link, other, models, "OTHER")
 
 
 @query(

@@ -27,7 +27,7 @@ VIEWS: dict[str, str] = {
                site_name AS external_site_name, entity_name AS external_entity_name, 'NEOTOMA' AS external_source
         FROM entity
         UNION ALL
-        SELECT ID_SITE, ID_ENTITY, NULL, ID_ENTITY + 20000, upper(site_name), lower(entity_name), 'RPD'
+        SELECT ID_SITE, ID_ENTITY, NULL, ID_ENTITY + 20000, upper(site_name), lower(entity_name), 'OTHER'
         FROM entity WHERE ID_ENTITY % 3 = 0""",
     "date_info": """
         SELECT user_id AS ID_ENTITY, event_id AS ID_DATE_INFO,
