@@ -70,8 +70,8 @@ def harmonise_source(
     entity = mapped("entity")
     if entities is not None:
         entity = entity.join(entities, "ID_ENTITY", "left_semi")
-    entity = collapse_publications(entity, tables["entity_pub"], tables["pub"])
-    out = {"metadata": entity.join(mapped("site"), "ID_SITE", "left")}
+    cited = collapse_publications(entity, tables["entity_pub"], tables["pub"])
+    out = {"metadata": cited.join(mapped("site"), "ID_SITE", "left")}
     if "date_info" in tables:
         out["date_info"] = mapped("date_info").join(entity, "ID_ENTITY", "left_semi")
     if "sample" in tables:

@@ -20,6 +20,8 @@ AGE_MODEL_FILE = T.StructType(
     ]
 )
 
+# Marks in the file name of a count sheet that do not belong to the site name.
+SHEET_MARKS = ["_list", "_LIST", "_SPH", "_sph"]
 SHEET_NAMES = ["taxon_name", "clean", "intermediate", "amalgamated"]
 
 
@@ -68,6 +70,15 @@ def read_age_model_files(
     return rows if entities is None else rows.join(entities, "entity_name", "left_semi")
 
 
+def sheet_from_path(path: str) -> tuple[str, bool]:
+    """What the name of a count file tells: the site, and whether it is a list."""
+    stem = path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
+    is_list = "_list" in stem or "_LIST" in stem
+    for mark in SHEET_MARKS:
+        stem = stem.replace(mark, "")
+    return stem, is_list
+
+
 def harmonise_count_sheet(sheet: DataFrame, *, is_list: bool = False, null_policy: str = "zero") -> DataFrame:
     """One count sheet, list or matrix, as (four names, depth, count).
 

@@ -104,7 +104,7 @@ def create_archive(spark: SparkSession, path: str) -> Archive:
 
 
 def scan_by_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is listed. The ids stay distributed and prune the scan at run time."""
+    """Rows whose key is listed. The ids stay in the cluster; a small list goes to the scan, not to the query text."""
     return keep_members(df, ids, key)
 
 

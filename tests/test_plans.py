@@ -120,6 +120,11 @@ def test_age_model_files_take_their_names_from_the_folders(spark, tmp_path):
     assert rows(found, "subfolder", "entity_name", "depths", "mean") == [("ready", "B", 1.5, 10.0), ("ready", "Lake é + 1", 1.5, 10.0)]
 
 
+def test_count_file_names():
+    assert files.sheet_from_path("/in/Blue Lake_LIST_SPH.csv") == ("Blue Lake", True)
+    assert files.sheet_from_path("Blue Lake.csv") == ("Blue Lake", False)
+
+
 def test_count_sheets_in_both_layouts(frame):
     columns = "number string, name string, clean string, intermediate string, amalgamated string"
     matrix = frame(f"{columns}, `10` string, `20.5` string", (None, "pine", " Pinus  s", "conifer", "tree", "3", None))
