@@ -4,6 +4,7 @@ import __spark_entry__ as contract
 import pytest
 
 from workload.oracle import compare, oracle_connection
+from workload.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.01"
 
@@ -14,7 +15,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
 def test_entry(spark):
@@ -23,7 +24,7 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("key", contract.queries())
+@pytest.mark.parametrize("key", QUERIES)
 def test_query(spark, con, key):
     fault = compare(contract.queries()[key](spark, SF), con.sql(contract.oracle_sql()[key]))
     assert fault in ("", "no rows; ")
