@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash
+from . import exact, minhash, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -16,6 +16,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public vocabulary file lies on this machine."""
+    from public_tokenizers import path
+
+    return path(name)
+
+
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     QUERIES[run.__name__] = run
     return run
@@ -24,3 +31,21 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 @query
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+ORACLES["op5_exact"] = r"""
+with n as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents)
+select doc_id, min(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
+  doc_id = min(doc_id) over (partition by t) as kept, sha256(t) as text_sha256
+from n
+"""
+
+
+@query
+def op5_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_duplicates(_table(spark, sf_dir, "documents"))

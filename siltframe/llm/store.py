@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 
+import numpy as np
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,3 +42,22 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id written as text, modulo ``folds``; null ids fall in fold 0."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds)), F.lit(0)).cast("int")
+
+
+def sieve(keys: DataFrame, test: Column, bits: int = 6 << 20) -> Column:
+    """A condition that holds for every value of ``test`` found in ``keys`` (one column), and for few others.
+
+    The bit table has ``bits`` bits, six to a byte, whatever the number of keys; a full table lets more rows pass and
+    is never wrong about a key. It is a filter ahead of a join, not in its place.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    place = keys.select(slot(F.col(keys.columns[0])).alias("slot"))
+    rows = (
+        place.groupBy(F.floor(F.col("slot") / 6).cast("int").alias("at"))
+        .agg(F.bit_or(F.expr("shiftleft(1, cast(slot % 6 as int))")).alias("bits"))
+        .toArrow()
+    )
+    table = np.zeros(bits // 6 + 1, np.uint8)
+    table[rows["at"].to_numpy()] = rows["bits"].to_numpy()
+    byte = F.substring(F.lit(bytearray(table.tobytes())), F.floor(slot(test) / 6).cast("int") + 1, F.lit(1))
+    return F.getbit(F.ascii(byte.cast("string")), (slot(test) % 6).cast("int")) == 1
