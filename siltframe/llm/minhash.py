@@ -7,9 +7,9 @@ half of the bands are cut from the minima, half from the maxima. With 196 permut
 similarity 0.8 shares no band with a chance of 2e-6.
 
 A shared band only proposes a pair: every link is confirmed on the full shingle sets. Within a bucket no pairs are
-spelled out. Members are first compared with the smallest id of the bucket; only where a bucket then still spans
-several components are pairs across components proposed, each once, so no link between different texts that share a
-band is lost. Equal sets are found by fingerprint and never compared.
+spelled out. Members are first compared with the smallest id of the bucket; where a bucket then still spans several
+components, the members of the larger component stream past an index of the smaller ones, so no link between different
+texts that share a band is lost. Equal sets are found by fingerprint and never compared.
 
 Null and empty texts have no shingles and are linked with nothing. Rows that share a doc_id are one node. A null
 doc_id is linked with nothing and kept. Extra columns are ignored.
@@ -23,12 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .store import prepare, stored
+from .store import prepare, sieve, stored
 from .words import mix, shingles, stream, words
 
 WIDTH, PERMUTATIONS, ROWS = 2, 196, 7
 #: Members compared with one copy of their leader's text.
 COMPANY = 64
+#: Members of smaller components that are indexed together, and members of a larger one that pass them in one task.
+PROBES, PART = 256, 1024
 _BLOCK = 512
 _U = np.uint64
 
@@ -120,6 +122,64 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
     )
 
 
+def _crosser(width: int, percent: int):
+    def cross(batches):
+        group, probes, index = None, [], None
+        for batch in batches:
+            w, out = words(batch.column("text")), []
+            stream, block, part, member, ids = (batch.column(c).to_pylist() for c in ("stream", "block", "part", "member", "doc_id"))
+            for i in range(batch.num_rows):
+                own = shingles(w.of(i), width)
+                if (stream[i], block[i], part[i]) != group:
+                    group, probes, index = (stream[i], block[i], part[i]), [], None
+                if not member[i]:
+                    probes.append((ids[i], own))
+                    continue
+                if index is None:
+                    flat = np.concatenate([x for _, x in probes]) if probes else np.zeros(0, _U)
+                    owner = np.repeat(np.arange(len(probes)), [len(x) for _, x in probes])
+                    order = np.argsort(flat, kind="stable")
+                    index, owner, left = flat[order], owner[order], np.ones(len(probes), bool)
+                    sizes = np.array([len(x) for _, x in probes])
+                lo, hi = np.searchsorted(index, own), np.searchsorted(index, own, "right")
+                n = hi - lo
+                at = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+                common = np.bincount(owner[at], minlength=len(probes))
+                hit = left & (common > 0) & (100 * common >= percent * (sizes + len(own) - common))
+                out += [(probes[k][0], ids[i]) for k in np.flatnonzero(hit)]
+                left &= ~hit  # one link joins the components
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return cross
+
+
+def _across(pairs: DataFrame, place: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between the members of two components, for ``pairs`` of components (c, d); at least one where there are any.
+
+    The members of the larger component stream past blocks of members of the smaller ones, which are indexed by
+    shingle; a large component is spread over parts.
+    """
+    size = place.groupBy("c").agg(F.count("*").alias("n"))
+    sized = pairs.join(size, "c").join(size.select(F.col("c").alias("d"), F.col("n").alias("m")), "d")
+    ahead = F.struct("n", "c") < F.struct(F.col("m").alias("n"), F.col("d").alias("c"))
+    sided = sized.select(F.when(ahead, F.col("c")).otherwise(F.col("d")).alias("probe"), F.when(ahead, F.col("d")).otherwise(F.col("c")).alias("stream"), F.least("n", "m").alias("n"), F.greatest("n", "m").alias("m"))
+    deal = sided.groupBy("stream").agg(F.ceil(F.sum("n") / PROBES).alias("blocks"), F.ceil(F.max("m") / PART).alias("parts"))
+    deal = stored(deal, "deal")
+    some = lambda n: f"pmod(xxhash64(doc_id), {n})"
+    every = lambda n: f"explode(sequence(0L, {n} - 1))"
+    order = ["stream", "block", "part", "member", "doc_id"]
+    probes = (
+        sided.select("probe", "stream").join(place.withColumnRenamed("c", "probe"), "probe").join(deal, "stream")
+        .select("stream", F.expr(some("blocks")).alias("block"), F.expr(every("parts")).alias("part"), F.lit(False).alias("member"), "doc_id")
+    )
+    streams = (
+        place.withColumnRenamed("c", "stream").join(deal, "stream")
+        .select("stream", F.expr(every("blocks")).alias("block"), F.expr(some("parts")).alias("part"), F.lit(True).alias("member"), "doc_id")
+    )
+    rows = probes.union(streams).join(texts, "doc_id").select(*order, "text")
+    return rows.repartition("stream", "block", "part").sortWithinPartitions(*order[:4]).mapInArrow(_crosser(width, percent), "a long, b long")
+
+
 def near_duplicates(
     docs: DataFrame, width: int = WIDTH, percent: int = 80, permutations: int = PERMUTATIONS, rows: int = ROWS
 ) -> DataFrame:
@@ -140,11 +200,13 @@ def near_duplicates(
     bands = known.select("doc_id", F.explode("keys").alias("key"))
     shared = bands.groupBy("key").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last")).where("leader < last")
     alone = copies.select(F.col("a").alias("doc_id")).distinct()
-    members = stored(bands.join(shared.select("key", "leader"), "key").join(alone, "doc_id", "left_anti"), "members")
+    shared = stored(shared.select("key", "leader"), "shared")
+    bands = bands.where(sieve(shared.select("key"), F.col("key")))
+    members = stored(bands.join(shared, "key").join(alone, "doc_id", "left_anti"), "members")
 
     proposed = stored(members.where("doc_id > leader").groupBy("doc_id", "leader").agg(F.count("*").alias("bands")), "proposed")
     wanted = proposed.select("doc_id").union(proposed.select("leader")).distinct()
-    texts = stored(docs.join(wanted, "doc_id", "left_semi"), "texts")
+    texts = stored(docs.where(sieve(wanted, F.col("doc_id"))), "texts")
 
     best = proposed.groupBy("doc_id").agg(F.max_by("leader", F.struct("bands", -F.col("leader"))).alias("leader"))
     links = stored(_confirmed(best, texts, width, percent), "links")
@@ -164,15 +226,14 @@ def near_duplicates(
     links = links.union(stored(_confirmed(stored(later, "later"), texts, width, percent), "links"))
     found = components(links)
 
-    # Buckets that still span several components: pairs across them that no leader has settled.
-    side = found.select(F.col("node").alias("doc_id"), "component")
-    rest = members.join(side, "doc_id", "left").select("key", "doc_id", "leader", F.coalesce("component", "doc_id").alias("c")).where("doc_id <> leader")
-    open_keys = rest.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key")
-    rest = stored(rest.join(open_keys, "key").select("key", "doc_id", "c"), "open")
-    other = rest.select("key", F.col("doc_id").alias("leader"), F.col("c").alias("c2"))
-    cross = rest.join(other, "key").where("leader < doc_id and c <> c2").select("doc_id", "leader").distinct()
-    cross = stored(cross.join(proposed, ["doc_id", "leader"], "left_anti"), "cross")
-    links = links.union(stored(_confirmed(cross, texts, width, percent), "links"))
+    # Buckets that still span several components: those components are compared as a whole.
+    place = members.select("doc_id").distinct().join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    place = stored(place.select("doc_id", F.coalesce("component", "doc_id").alias("c")), "place")
+    spans = members.select("key", "doc_id").join(place, "doc_id").groupBy("key", "c").agg(F.count("*").alias("n"))
+    several = spans.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key")
+    spans = stored(spans.join(several, "key").select("key", "c"), "spans")
+    pairs = spans.join(spans.select("key", F.col("c").alias("d")), "key").where("c < d").select("c", "d").distinct()
+    links = links.union(stored(_across(stored(pairs, "pairs"), place, texts, width, percent), "links"))
 
     found = stored(components(links.union(copies)), "components")
     return (
