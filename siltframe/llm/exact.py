@@ -115,16 +115,14 @@ def _differing(batches):
 def _unequal(members: DataFrame, docs: DataFrame) -> DataFrame:
     """Ids of ``members`` (doc_id, leader) whose text is not the leader's."""
     wanted = members.select("doc_id").union(members.select("leader")).distinct()
-    texts = stored(docs.where(sieve(wanted, F.col("doc_id"))).join(wanted, "doc_id", "left_semi"), "copies")
+    texts = sieve(wanted, docs, "doc_id")
     busy = members.groupBy("leader").agg(F.ceil(F.count("*") / COMPANY).alias("groups"))
     dealt = members.join(busy, "leader").select("leader", "doc_id", F.expr("pmod(xxhash64(doc_id), groups)").alias("part"))
-    rows = dealt.join(texts, "doc_id").select("leader", "part", F.lit(True).alias("member"), "doc_id", "text")
-    heads = (
-        dealt.select("leader", "part").distinct()
-        .join(texts.select(F.col("doc_id").alias("leader"), "text"), "leader")
-        .select("leader", "part", F.lit(False).alias("member"), F.col("leader").alias("doc_id"), "text")
-    )
-    chunks = rows.union(heads).mapInArrow(_cut, "leader long, part long, member boolean, doc_id long, chunk int, data binary")
+    heads = dealt.select("leader", "part").distinct().withColumn("doc_id", F.col("leader"))
+    roles = dealt.select("leader", "part", "doc_id", F.lit(True).alias("member")).union(heads.withColumn("member", F.lit(False)))
+    rows = texts.join(roles.hint("merge"), "doc_id")  # by id at every size: how many roles there are is not known ahead
+    rows = rows.select("leader", "part", "member", "doc_id", "text")
+    chunks = rows.mapInArrow(_cut, "leader long, part long, member boolean, doc_id long, chunk int, data binary")
     ordered = chunks.repartition("leader", "part").sortWithinPartitions("leader", "part", "chunk", "member")
     return ordered.mapInArrow(_differing, "doc_id long").distinct()
 

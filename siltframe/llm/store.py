@@ -5,11 +5,13 @@ from __future__ import annotations
 import sys
 
 import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, scratch_path
+from .words import mix
 
 # Bounds the text that a Python worker holds at once, whatever the length of a document.
 BATCH_ROWS = 256
@@ -44,20 +46,32 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds)), F.lit(0)).cast("int")
 
 
-def sieve(keys: DataFrame, test: Column, bits: int = 6 << 20) -> Column:
-    """A condition that holds for every value of ``test`` found in ``keys`` (one column), and for few others.
+def _places(bits: int):
+    def places(batches):
+        for batch in batches:
+            at = np.unique(mix(batch.column(0).to_numpy().view(np.uint64)) % np.uint64(bits)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array((at >> 5).astype(np.int32)), pa.array(1 << (at & 31))], ["at", "bit"])
 
-    The bit table has ``bits`` bits, six to a byte, whatever the number of keys; a full table lets more rows pass and
-    is never wrong about a key. It is a filter ahead of a join, not in its place.
+    return places
+
+
+def sieve(keys: DataFrame, rows: DataFrame, column: str, bits: int = 1 << 24) -> DataFrame:
+    """``rows`` whose ``column`` (long) is one of ``keys`` (one column, long), and few others.
+
+    The bit table that goes to the tasks has ``bits`` bits whatever the number of keys; a full table lets more rows
+    pass and is never wrong about a key. It thins out rows ahead of a join, not in its place.
     """
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
-    place = keys.select(slot(F.col(keys.columns[0])).alias("slot"))
-    rows = (
-        place.groupBy(F.floor(F.col("slot") / 6).cast("int").alias("at"))
-        .agg(F.bit_or(F.expr("shiftleft(1, cast(slot % 6 as int))")).alias("bits"))
-        .toArrow()
-    )
-    table = np.zeros(bits // 6 + 1, np.uint8)
-    table[rows["at"].to_numpy()] = rows["bits"].to_numpy()
-    byte = F.substring(F.lit(bytearray(table.tobytes())), F.floor(slot(test) / 6).cast("int") + 1, F.lit(1))
-    return F.getbit(F.ascii(byte.cast("string")), (slot(test) % 6).cast("int")) == 1
+    spark = rows.sparkSession
+    name = keys.columns[0]
+    found = keys.where(F.col(name).isNotNull()).mapInArrow(_places(bits), "at int, bit long").groupBy("at").agg(F.bit_or("bit").alias("bit")).toArrow()
+    table = np.zeros(bits // 32, np.int64)
+    table[found["at"].to_numpy()] = found["bit"].to_numpy()
+    shipped = spark.sparkContext.broadcast(table.astype(np.uint32))
+
+    def passed(batches):
+        known = shipped.value
+        for batch in batches:
+            at = (mix(batch.column(column).fill_null(0).to_numpy().view(np.uint64)) % np.uint64(bits)).astype(np.int64)
+            yield batch.filter(pa.array((known[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1) == 1))
+
+    return rows.mapInArrow(passed, rows.schema)
