@@ -110,14 +110,11 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
     """
     busy = pairs.groupBy("leader").agg(F.ceil(F.count("*") / COMPANY).alias("groups"))
     dealt = pairs.join(busy, "leader").select("leader", "doc_id", F.expr("pmod(xxhash64(doc_id), groups)").alias("part"))
-    members = dealt.join(texts, "doc_id").select("leader", "part", F.lit(True).alias("member"), "doc_id", "text")
-    heads = (
-        dealt.select("leader", "part").distinct()
-        .join(texts.select(F.col("doc_id").alias("leader"), "text"), "leader")
-        .select("leader", "part", F.lit(False).alias("member"), F.col("leader").alias("doc_id"), "text")
-    )
+    heads = dealt.select("leader", "part").distinct().withColumn("doc_id", F.col("leader"))
+    roles = dealt.select("leader", "part", "doc_id", F.lit(True).alias("member")).union(heads.withColumn("member", F.lit(False)))
+    rows = texts.join(roles.hint("merge"), "doc_id")  # by id at every size: how many roles there are is not known ahead
     return (
-        members.union(heads).repartition("leader", "part").sortWithinPartitions("leader", "part", "member")
+        rows.select("leader", "part", "member", "doc_id", "text").repartition("leader", "part").sortWithinPartitions("leader", "part", "member")
         .mapInArrow(_confirmer(width, percent), "a long, b long")
     )
 
@@ -176,7 +173,7 @@ def _across(pairs: DataFrame, place: DataFrame, texts: DataFrame, width: int, pe
         place.withColumnRenamed("c", "stream").join(deal, "stream")
         .select("stream", F.expr(every("blocks")).alias("block"), F.expr(some("parts")).alias("part"), F.lit(True).alias("member"), "doc_id")
     )
-    rows = probes.union(streams).join(texts, "doc_id").select(*order, "text")
+    rows = texts.join(probes.union(streams).hint("merge"), "doc_id").select(*order, "text")
     return rows.repartition("stream", "block", "part").sortWithinPartitions(*order[:4]).mapInArrow(_crosser(width, percent), "a long, b long")
 
 
@@ -201,12 +198,12 @@ def near_duplicates(
     shared = bands.groupBy("key").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last")).where("leader < last")
     alone = copies.select(F.col("a").alias("doc_id")).distinct()
     shared = stored(shared.select("key", "leader"), "shared")
-    bands = bands.where(sieve(shared.select("key"), F.col("key")))
+    bands = sieve(shared.select("key"), bands, "key")
     members = stored(bands.join(shared, "key").join(alone, "doc_id", "left_anti"), "members")
 
     proposed = stored(members.where("doc_id > leader").groupBy("doc_id", "leader").agg(F.count("*").alias("bands")), "proposed")
     wanted = proposed.select("doc_id").union(proposed.select("leader")).distinct()
-    texts = stored(docs.where(sieve(wanted, F.col("doc_id"))), "texts")
+    texts = stored(sieve(wanted, docs, "doc_id"), "texts")
 
     best = proposed.groupBy("doc_id").agg(F.max_by("leader", F.struct("bands", -F.col("leader"))).alias("leader"))
     links = stored(_confirmed(best, texts, width, percent), "links")
