@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import brown, exact, langid, minhash, packing, toxicity
+from . import brown, exact, langid, minhash, packing, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,6 +61,22 @@ def op7_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown.scores(_table(spark, sf_dir, "documents"))
 
 
+#: Host, path and verdict of the address rules.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@query
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return urls.judged(pages, URL_RULES, urls.page_links(pages))
+
+
 @query
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(_table(spark, sf_dir, "documents"))
