@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import brown, exact, langid, minhash, packing, toxicity, urls
+from . import brown, decontam, exact, langid, licenses, minhash, packing, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,6 +38,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+@query
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(_table(spark, sf_dir, "documents"))
+
+
 ORACLES["op5_exact"] = r"""
 with n as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents)
 select doc_id, min(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
@@ -61,6 +66,11 @@ def op7_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown.scores(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 #: Host, path and verdict of the address rules.
 URL_RULES = [
     ("com", "/", "allow"),
