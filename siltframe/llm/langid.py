@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .store import fold, prepare
 from .symbols import grams
@@ -139,8 +140,8 @@ def _judge(learned):
                 scores[rows] = sure
                 for i, name in zip(rows, found):
                     names[i] = name
-            keep = [c for c in batch.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays([*map(batch.column, keep), pa.array(names), pa.array(scores)], [*keep, "lang_pred", "score"])
+            keep = batch.schema.names
+            yield pa.RecordBatch.from_arrays([*map(batch.column, keep), pa.array(names, pa.string()), pa.array(scores)], [*keep, "lang_pred", "score"])
 
     return judge
 
@@ -162,12 +163,18 @@ def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Hierarchy | None:
     return Hierarchy(np.stack([np.frombuffer(x, np.float32) for _, x in rows]), [v for v, _ in rows])
 
 
-def languages(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text, lang): doc_id, held_out, lang_pred, score."""
+def tagged(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """``docs`` (doc_id, text, lang and more) with lang_pred and score, which replace columns of those names."""
     spark = prepare(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     model = learn(docs, sample_rows)
     learned = spark.sparkContext.broadcast(vars(model) if model else {})
-    return docs.select("doc_id", "text").mapInArrow(_judge(learned), "doc_id long, lang_pred string, score double").select(
+    rows = docs.drop("lang_pred", "score")
+    schema = StructType([*rows.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return rows.mapInArrow(_judge(learned), schema)
+
+
+def languages(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text, lang): doc_id, held_out, lang_pred, score."""
+    return tagged(docs.select("doc_id", "text", "lang"), sample_rows).select(
         "doc_id", (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "lang_pred", "score"
     )
