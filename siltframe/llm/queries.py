@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import brown, decontam, exact, langid, licenses, minhash, packing, toxicity, urls
+from . import brown, decontam, exact, langid, licenses, minhash, packing, pagetext, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +33,11 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_pagetext(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagetext.extracted(_table(spark, sf_dir, "pages"))
+
+
 @query
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
