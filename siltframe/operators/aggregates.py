@@ -51,14 +51,12 @@ def joined_text(
 ) -> DataFrame:
     """The texts of a group joined in ``order``; null if any of them is null.
 
-    The result cell holds the group's texts by definition; equal (order, text) pairs are merged
-    before they meet.
+    The result cell holds the group's texts by definition, repeated ones as often as they occur.
     """
     parts = F.array_sort(F.collect_list(F.struct(*order, F.col(text).alias("__text"))))
     whole = F.array_join(F.transform(parts, lambda p: p["__text"]), separator)
-    pairs = df.select(*keys, *order, text).distinct()
     nulls = F.count(F.when(F.col(text).isNull(), 1))
-    return pairs.groupBy(*keys).agg(F.when(nulls == 0, whole).alias(name))
+    return df.groupBy(*keys).agg(F.when(nulls == 0, whole).alias(name))
 
 
 def compare_counts(

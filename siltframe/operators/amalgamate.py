@@ -35,31 +35,41 @@ def level_map(taxa_map: DataFrame, child: str, parent: str) -> DataFrame:
     return taxa_map.select(child, parent).distinct().where(F.col(parent).isNotNull())
 
 
-def _summed(named: DataFrame, taxon_name: DataFrame, level: int) -> DataFrame:
-    ids = lookup(named, taxon_name, {"__name": "taxon_name"})
+def _summed(counts: DataFrame, level: int) -> DataFrame:
     return (
-        ids.groupBy("ID_SAMPLE", "ID_TAXON")
+        counts.groupBy("ID_SAMPLE", "ID_TAXON")
         .agg(sum_or_zero("count").alias("count"))
         .withColumn("amalgamation_level", F.lit(level))
         .select(*COUNT_COLUMNS)
     )
 
 
+def _merged(counts: DataFrame, raw: str) -> DataFrame:
+    """Raw counts summed by sample and raw taxon, before anything is joined to them."""
+    return counts.where(F.col("count").isNotNull()).groupBy("ID_SAMPLE", raw).agg(sum_or_zero("count").alias("count"))
+
+
 def amalgamate_clean(
     counts: DataFrame, taxa_map: DataFrame, taxon_name: DataFrame, raw: str = "raw_taxon"
 ) -> DataFrame:
-    """Level 0 from raw counts (ID_SAMPLE, raw taxon, count); unmapped taxa end up under a null id."""
-    mapped = lookup(counts.where(F.col("count").isNotNull()), taxa_map.select(raw, "clean_name"), {raw: raw})
-    return _summed(mapped.withColumnRenamed("clean_name", "__name"), taxon_name, 0)
+    """Level 0 from raw counts (ID_SAMPLE, raw taxon, count); unmapped taxa end up under a null id.
+
+    Names are turned into ids on the map; the counts are joined once, by raw taxon, after a first sum.
+    """
+    ids = lookup(taxa_map.select(raw, "clean_name"), taxon_name, {"clean_name": "taxon_name"}).select(raw, "ID_TAXON")
+    return _summed(lookup(_merged(counts, raw), ids, {raw: raw}), 0)
 
 
 def amalgamate_next(
     counts: DataFrame, taxa_map: DataFrame, taxon_name: DataFrame, child: str, parent: str, level: int
 ) -> DataFrame:
-    """A coarser level from the one below; counts without a parent end up under a null id."""
-    named = lookup(counts, taxon_name, {"ID_TAXON": "ID_TAXON"}).drop("ID_TAXON", "amalgamation_level")
-    mapped = lookup(named, level_map(taxa_map, child, parent), {"taxon_name": child})
-    return _summed(mapped.withColumnRenamed(parent, "__name"), taxon_name, level)
+    """A coarser level from the one below, by a map from id to id; counts without a parent end up under a null id."""
+    pairs = level_map(taxa_map, child, parent).join(
+        taxon_name.select(F.col("taxon_name").alias(child), F.col("ID_TAXON").alias("__child")), child
+    )
+    ids = lookup(pairs, taxon_name, {parent: "taxon_name"}).select("__child", F.col("ID_TAXON").alias("__parent"))
+    mapped = lookup(counts.select("ID_SAMPLE", "ID_TAXON", "count"), ids, {"ID_TAXON": "__child"})
+    return _summed(mapped.select("ID_SAMPLE", F.col("__parent").alias("ID_TAXON"), "count"), level)
 
 
 def amalgamate_intermediate(clean: DataFrame, taxa_map: DataFrame, taxon_name: DataFrame) -> DataFrame:
@@ -70,19 +80,25 @@ def amalgamate_amalgamated(intermediate: DataFrame, taxa_map: DataFrame, taxon_n
     return amalgamate_next(intermediate, taxa_map, taxon_name, "intermediate", "amalgamated", 2)
 
 
-def amalgamate_levels(named_counts: DataFrame, taxon_name: DataFrame) -> DataFrame:
-    """All three levels from rows that carry the three names: one join, one aggregation, one shuffle."""
+def amalgamate_levels(
+    counts: DataFrame, taxa_map: DataFrame, taxon_name: DataFrame, raw: str = "raw_taxon"
+) -> DataFrame:
+    """All three levels from raw counts; unmapped taxa end up under a null id at each.
+
+    Raw rows are summed first and joined once, to the three ids of their raw taxon; what is exploded
+    to three levels carries numbers only.
+    """
     names = ("clean_name", "intermediate", "amalgamated")
-    levels = F.array(
-        *[F.struct(F.lit(i).alias("amalgamation_level"), F.col(n).alias("__name")) for i, n in enumerate(names)]
-    )
-    rows = (
-        named_counts.where(F.col("count").isNotNull())
-        .select("ID_SAMPLE", "count", F.explode(levels).alias("__level"))
-        .select("ID_SAMPLE", "count", "__level.*")
-    )
+    ids = taxa_map.select(raw, *names)
+    for i, name in enumerate(names):
+        ids = lookup(ids, taxon_name.select("taxon_name", F.col("ID_TAXON").alias(f"__id{i}")), {name: "taxon_name"})
+    kind = taxon_name.schema["ID_TAXON"].dataType
+    ids = ids.select(raw, F.array(*[f"__id{i}" for i in range(len(names))]).alias("__ids"))
+    none = F.array(*[F.lit(None).cast(kind) for _ in names])
+    levels = F.posexplode(F.coalesce("__ids", none)).alias("amalgamation_level", "ID_TAXON")
     return (
-        lookup(rows, taxon_name, {"__name": "taxon_name"})
+        lookup(_merged(counts, raw), ids, {raw: raw})
+        .select("ID_SAMPLE", "count", levels)
         .groupBy("ID_SAMPLE", "ID_TAXON", "amalgamation_level")
         .agg(sum_or_zero("count").alias("count"))
         .select(*COUNT_COLUMNS)

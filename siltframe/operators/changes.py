@@ -13,7 +13,7 @@ from typing import TYPE_CHECKING
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import all_null, distinct_keys, join_null_safe
+from .joins import all_null, distinct_keys, drop_members, join_null_safe, keep_members
 
 if TYPE_CHECKING:
     from ..sources.tables import Archive
@@ -41,6 +41,12 @@ def key_violations(
     return reduce(DataFrame.unionByName, tagged)
 
 
+def _check_single(rows: DataFrame, key: Keys) -> None:
+    repeated = rows.groupBy(*key).count().where(F.col("count") > 1).first()
+    if repeated is not None:
+        raise KeyViolation(f"repeated key: {repeated.asDict()}")
+
+
 def append_records(
     table: DataFrame, new: DataFrame, key: Keys, parents: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:
@@ -52,12 +58,21 @@ def append_records(
 
 
 def append_unseen(table: DataFrame, new: DataFrame, key: Keys) -> DataFrame:
-    """The table with those new rows whose key it does not hold yet."""
-    return table.unionByName(new.join(table, list(key), "left_anti"), allowMissingColumns=True)
+    """The table with those new rows whose key it does not hold yet; raises if a new key is repeated."""
+    unseen = drop_members(new, table, list(key))
+    _check_single(unseen, key)
+    return table.unionByName(unseen, allowMissingColumns=True).select(*table.columns)
 
 
 def upsert(table: DataFrame, updates: DataFrame, key: Keys) -> DataFrame:
-    """Set the supplied columns, nulls included, where the key exists; insert the other keys."""
+    """Set the supplied columns, nulls included, where the key exists; insert the other keys.
+
+    Raises if a key is repeated in the updates or a column is not one of the table's.
+    """
+    unknown = [c for c in updates.columns if c not in table.columns]
+    if unknown:
+        raise KeyViolation(f"not in the table: {', '.join(unknown)}")
+    _check_single(updates, key)
     supplied = [c for c in updates.columns if c not in key]
     other = updates.select(*key, *[F.col(c).alias(f"__new_{c}") for c in supplied], F.lit(True).alias("__hit"))
     merged = table.join(other, list(key), "full_outer")
@@ -118,7 +133,7 @@ def split_existing_new(archive: DataFrame, incoming: DataFrame, on: Keys) -> tup
 def resolve_duplicates(df: DataFrame, reviewed: DataFrame, key: str, keep: str = "keep") -> DataFrame:
     """Take out all reviewed duplicates and put back those marked to keep."""
     keepers = reviewed.where(F.col(keep) > 0).drop(keep)
-    return df.join(reviewed, key, "left_anti").unionByName(keepers, allowMissingColumns=True)
+    return drop_members(df, reviewed, key).unionByName(keepers, allowMissingColumns=True)
 
 
 def drop_empty_rows(df: DataFrame, columns: Keys) -> tuple[DataFrame, DataFrame]:
@@ -128,9 +143,9 @@ def drop_empty_rows(df: DataFrame, columns: Keys) -> tuple[DataFrame, DataFrame]
 
 def cascade_delete(archive: Archive, entities: DataFrame) -> Archive:
     """Remove entities with everything that hangs on them: links, dates, samples, counts, models."""
-    gone = archive.sample.join(entities, "ID_ENTITY", "left_semi").select("ID_SAMPLE")
+    gone = keep_members(archive.sample, entities, "ID_ENTITY").select("ID_SAMPLE").distinct()
     by_entity = {
-        t: archive.table(t).join(entities, "ID_ENTITY", "left_anti")
+        t: drop_members(archive.table(t), entities, "ID_ENTITY")
         for t in ("entity", "external_link", "date_info", "sample")
     }
     by_sample = {t: archive.table(t).join(gone, "ID_SAMPLE", "left_anti") for t in ("pollen_count", "age_model")}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import null_max, to_centimetres
 from .aggregates import joined_text
+from .joins import keep_members
 
 DEFAULT_SOURCE = "NEOTOMA"
 
@@ -69,13 +70,13 @@ def harmonise_source(
 
     entity = mapped("entity")
     if entities is not None:
-        entity = entity.join(entities, "ID_ENTITY", "left_semi")
+        entity = keep_members(entity, entities, "ID_ENTITY")
     cited = collapse_publications(entity, tables["entity_pub"], tables["pub"])
     out = {"metadata": cited.join(mapped("site"), "ID_SITE", "left")}
     if "date_info" in tables:
-        out["date_info"] = mapped("date_info").join(entity, "ID_ENTITY", "left_semi")
+        out["date_info"] = keep_members(mapped("date_info"), entity, "ID_ENTITY")
     if "sample" in tables:
-        sample = mapped("sample").join(entity, "ID_ENTITY", "left_semi")
+        sample = keep_members(mapped("sample"), entity, "ID_ENTITY")
         out["sample"] = sample.withColumnRenamed("ID_ENTITY", "external_ID_ENTITY")
         for name in ("age_model", "pollen"):
             if name in tables:
@@ -127,7 +128,7 @@ def get_links(external_link: DataFrame, *id_entity: int) -> DataFrame:
 def get_entity(entity: DataFrame, external_link: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     """Entities with their external links; an entity has one row per link, unlinked ones none."""
     if ids is not None:
-        entity = entity.join(ids, "ID_ENTITY", "left_semi")
+        entity = keep_members(entity, ids, "ID_ENTITY")
     return entity.join(external_link, ["ID_SITE", "ID_ENTITY"])
 
 

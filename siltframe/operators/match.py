@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean_name, if_else, within_age_tolerance
 from .ids import pair_by_position
+from .joins import join_null_safe
 
 DEPTH_DIGITS = 3
 
@@ -16,12 +17,15 @@ DEPTH_DIGITS = 3
 def match_depth_rounded(
     left: DataFrame, right: DataFrame, entity: str = "ID_ENTITY", depth: str = "depth", how: str = "left"
 ) -> DataFrame:
-    """Equi-join on (entity, depth rounded to three digits); right's depth is kept as ``<depth>_source``."""
+    """Equi-join on (entity, depth rounded to three digits); right's depth is kept as ``<depth>_source``.
+
+    Null depths of an entity match each other.
+    """
     other = right.withColumnRenamed(depth, f"{depth}_source").withColumn(
         "__depth", F.bround(f"{depth}_source", DEPTH_DIGITS)
     )
     mine = left.withColumn("__depth", F.bround(depth, DEPTH_DIGITS))
-    return mine.join(other, [entity, "__depth"], how).drop("__depth")
+    return join_null_safe(mine, other, [entity, "__depth"], how).drop("__depth")
 
 
 def match_positional(
@@ -55,7 +59,7 @@ def match_positional(
     key = "__depth"
     left_rest = archive.join(equal, entity, "left_anti").withColumn(key, F.bround(depth, DEPTH_DIGITS))
     right_rest = other.join(equal, entity, "left_anti").withColumn(key, F.bround(renamed[depth], DEPTH_DIGITS))
-    by_depth = left_rest.join(right_rest, [entity, key], "right").drop(key)
+    by_depth = join_null_safe(left_rest, right_rest, [entity, key], "right").drop(key)
     return by_position.withColumn("matched_by", F.lit("position")).unionByName(
         by_depth.withColumn("matched_by", F.lit("depth"))
     )

@@ -22,7 +22,7 @@ def check_pk(df: DataFrame, key: Keys) -> DataFrame:
 
 def check_fk(child: DataFrame, parent: DataFrame, key: str | Keys) -> DataFrame:
     """Child rows without a parent."""
-    return child.join(parent, key, "left_anti")
+    return drop_members(child, parent, key)
 
 
 def _differs(a: Column, b: Column, numeric: bool, tolerance: float) -> Column:
@@ -112,7 +112,7 @@ def unpaired_codes(left: DataFrame, right: DataFrame, key: str, code: str = "lab
 
 
 def unknown_names(df: DataFrame, known: DataFrame, name: str) -> DataFrame:
-    return df.select(name).distinct().join(known, name, "left_anti")
+    return drop_members(df.select(name).distinct(), known, name)
 
 
 def duplicate_review(totals: DataFrame, metadata: DataFrame, entity: str, depth: str = "depth") -> DataFrame:

@@ -10,14 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import keep_members
-from ..operators.reshape import MAX_HEADERS
 from ..schema import LEVELS
+from ..session import scratch_path
 from ..sources.tables import Archive, literal_table
 
 # Which column of a key table selects, first present one first.
 KEY_ORDER = ("ID_ENTITY", "ID_SITE", "entity_name", "site_name")
-# A longer list of literal keys goes through a join, not through the query text.
-_MAX_LITERALS = 500
+# Headers of wide counts for taxa without a name, and for counts without a taxon.
+UNNAMED, UNMAPPED = "taxon {}", "unmapped"
 
 
 class NoRecords(LookupError):
@@ -52,6 +52,14 @@ class Snapshot:
         counted = self.archive.pollen_count.where(F.col("count").isNotNull())
         return counted.join(self.sample, "ID_SAMPLE", "left_semi") if self.selective else counted
 
+    @cached_property
+    def stored_facts(self) -> DataFrame:
+        """``facts`` written once, by level; headers and pivots of all levels read them from there."""
+        path = scratch_path(self.entity.sparkSession, "facts")
+        counted = self._of_samples(self.facts).select("ID_SAMPLE", "ID_TAXON", "count", "amalgamation_level")
+        counted.write.partitionBy("amalgamation_level").parquet(path)
+        return self.entity.sparkSession.read.schema(counted.schema).parquet(path)
+
     @property
     def counts(self) -> DataFrame:
         """(ID_SAMPLE, taxon_name, amalgamation_level, count) of all levels."""
@@ -67,20 +75,21 @@ class Snapshot:
         return self.counts.where(at_level).drop("amalgamation_level")
 
     @cached_property
-    def taxa(self) -> dict[str, dict[str, int]]:
-        """The taxa that occur at each level, {name: id} in code-point order; found in one pass."""
-        used = self.facts.select("amalgamation_level", "ID_TAXON").distinct()
-        most = len(LEVELS) * MAX_HEADERS
-        rows = used.join(self.archive.taxon_name, "ID_TAXON").limit(most + 1).collect()
-        if len(rows) > most:
-            raise ValueError(f"more than {MAX_HEADERS} taxa at a level; use the long counts")
-        found: dict[str, dict[str, int]] = {level: {} for level in LEVELS}
-        for row in sorted(rows, key=lambda r: r.taxon_name):
+    def taxa(self) -> dict[str, dict[str, int | None]]:
+        """The taxa that occur at each level, {header: id} in code-point order; found in one pass.
+
+        A taxon without a name is headed by its id, counts without a taxon by ``unmapped``.
+        """
+        used = self.stored_facts.select("amalgamation_level", "ID_TAXON").distinct()
+        rows = used.join(self.archive.taxon_name.select("ID_TAXON", "taxon_name"), "ID_TAXON", "left").collect()
+        found: dict[str, dict[str, int | None]] = {level: {} for level in LEVELS}
+        for row in rows:
             named = found[LEVELS[row.amalgamation_level]]
-            if row.taxon_name in named:
-                raise ValueError(f"two taxa are called {row.taxon_name}")
-            named[row.taxon_name] = row.ID_TAXON
-        return found
+            header = row.taxon_name or (UNMAPPED if row.ID_TAXON is None else UNNAMED.format(row.ID_TAXON))
+            if header in named:
+                raise ValueError(f"two taxa are called {header}")
+            named[header] = row.ID_TAXON
+        return {level: dict(sorted(named.items())) for level, named in found.items()}
 
     def wide(self, level: str) -> DataFrame:
         """One level wide: a row per sample, a column per taxon that occurs at the level.
@@ -89,15 +98,17 @@ class Snapshot:
         of a sample meet once: the key of the counts allows one per taxon, so no sample is large.
         """
         taxa = self.taxa[level]
-        at_level = self.facts.where(F.col("amalgamation_level") == LEVELS.index(level))
+        at_level = self.stored_facts.where(F.col("amalgamation_level") == LEVELS.index(level))
+        # A pivot value cannot be null, and no id is negative.
+        key = F.coalesce("ID_TAXON", F.lit(-1)).alias("ID_TAXON")
         by_id = (
-            at_level.select("ID_SAMPLE", "ID_TAXON", "count")
+            at_level.select("ID_SAMPLE", key, "count")
             .repartition("ID_SAMPLE")
             .groupBy("ID_SAMPLE")
-            .pivot("ID_TAXON", list(taxa.values()))
+            .pivot("ID_TAXON", [-1 if i is None else i for i in taxa.values()])
             .agg(F.first("count"))
         )
-        return self._of_samples(by_id.toDF("ID_SAMPLE", *taxa))
+        return by_id.toDF("ID_SAMPLE", *taxa)
 
     @property
     def pollen_count(self) -> dict[str, DataFrame]:
@@ -113,8 +124,6 @@ def _select_entities(archive: Archive, key: str, values: Iterable | DataFrame) -
     if isinstance(values, DataFrame):
         return keep_members(entity, values, key).select(*entity.columns)
     wanted = [values] if isinstance(values, (str, int)) else list(values)
-    if len(wanted) <= _MAX_LITERALS:
-        return entity.where(F.col(key).isin(wanted))
     kind = entity.schema[key].dataType.simpleString()
     listed = literal_table(entity.sparkSession, [(w,) for w in wanted], f"`{key}` {kind}")
     return keep_members(entity, listed, key).select(*entity.columns)

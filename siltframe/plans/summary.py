@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import distinct_keys
 from ..sources.tables import Archive
 from .snapshot import counted_levels, levels_per_entity
 
@@ -107,8 +108,8 @@ def uncounted_entities(archive: Archive) -> DataFrame:
 def complete_entities(archive: Archive) -> DataFrame:
     """Ids of the entities that have dates, samples, age models and counts."""
     sets = [
-        archive.date_info.select("ID_ENTITY"),
-        archive.sample.select("ID_ENTITY"),
+        distinct_keys(archive.date_info, "ID_ENTITY"),
+        distinct_keys(archive.sample, "ID_ENTITY"),
         models_per_entity(archive).select("ID_ENTITY"),
         levels_per_entity(archive.pollen_count, archive.sample).select("ID_ENTITY"),
     ]

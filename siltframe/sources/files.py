@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import snake_case, squish
+from ..operators.joins import keep_members
 from ..operators.reshape import long_from_matrix, union_sources
 from ..schema import LEVELS
 
@@ -25,17 +26,23 @@ SHEET_MARKS = ["_list", "_LIST", "_SPH", "_sph"]
 SHEET_NAMES = ["taxon_name", "clean", "intermediate", "amalgamated"]
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A CSV table with header; the schema is declared, so nothing is read twice to infer it."""
-    return spark.read.csv(path, schema=schema, header=True, enforceSchema=False)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, null_value: str = "") -> DataFrame:
+    """A CSV table with header, quoted as ``write_csv`` quotes; the schema is declared, so nothing is read twice.
+
+    Where there are text columns a field may hold line breaks, so a file is read in one piece.
+    """
+    text = any(isinstance(f.dataType, T.StringType) for f in schema.fields)
+    return spark.read.csv(
+        path, schema=schema, header=True, enforceSchema=False, quote='"', escape='"', nullValue=null_value, multiLine=text
+    )
 
 
-def read_wide_csv(spark: SparkSession, path: str, ids: T.StructType) -> DataFrame:
+def read_wide_csv(spark: SparkSession, path: str, ids: T.StructType, null_value: str = "") -> DataFrame:
     """A CSV whose measure columns are only known from its header; measures become doubles."""
     head = spark.read.csv(path, header=True, inferSchema=False)
     known = {f.name: f for f in ids.fields}
     fields = [known.get(c, T.StructField(c, T.DoubleType())) for c in head.columns]
-    return read_csv(spark, path, T.StructType(fields))
+    return read_csv(spark, path, T.StructType(fields), null_value)
 
 
 def read_sheet(spark: SparkSession, path: str, schema: T.StructType, required: str | None = None) -> DataFrame:
@@ -51,23 +58,31 @@ def read_age_model_files(
     """All age-model files below ``path`` with where they come from.
 
     The entity is the parent folder of a file and ``subfolder`` the one above; only files whose
-    path contains ``name_part`` are taken.
+    path contains ``name_part`` are taken. Columns are found by the header of each file, in whatever
+    order; a file that lacks one fails. A file holds the depths of one core, so it is read whole.
     """
-    files = (
-        spark.read.schema(AGE_MODEL_FILE)
-        .option("header", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .csv(path)
-        .withColumn("path", F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path, wholetext=True)
+    location = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    lines = files.withColumn("path", location).where(F.col("path").contains(name_part)).select(
+        "path", F.filter(F.split("value", r"\r?\n"), lambda line: F.trim(line) != "").alias("lines")
     )
-    rows = files.where(F.col("path").contains(name_part)).select(
+    plain = lambda line: F.transform(F.split(line, ","), lambda cell: F.trim(F.replace(cell, F.lit('"'), F.lit(""))))
+    cells = lines.select("path", plain(F.get("lines", F.lit(0))).alias("header"), F.explode(F.expr("slice(lines, 2, size(lines))")).alias("line"))
+    cells = cells.select("path", "header", plain(F.col("line")).alias("cells"))
+
+    def column(field: T.StructField):
+        at = F.array_position("header", field.name)
+        missing = F.raise_error(F.concat(F.lit(f"no column {field.name} in "), "path"))
+        value = F.nullif(F.get("cells", at.cast("int") - 1), F.lit(""))
+        return F.when(at == 0, missing.cast("string")).otherwise(value).cast(field.dataType).alias(field.name)
+
+    rows = cells.select(
         F.split_part("path", F.lit("/"), F.lit(-2)).alias("entity_name"),
         F.split_part("path", F.lit("/"), F.lit(-3)).alias("subfolder"),
         "path",
-        *AGE_MODEL_FILE.names,
+        *[column(f) for f in AGE_MODEL_FILE.fields],
     )
-    return rows if entities is None else rows.join(entities, "entity_name", "left_semi")
+    return rows if entities is None else keep_members(rows, entities, "entity_name")
 
 
 def sheet_from_path(path: str) -> tuple[str, bool]:

@@ -84,8 +84,9 @@ def write_table(df: DataFrame, path: str, name: str) -> None:
     """Replace one table; counts are laid out by level, so a level reads only its own files."""
     writer = df.write.mode("overwrite").option("compression", "zstd")
     if name == "pollen_count":
-        # Rows of one sample stay near each other, which keeps min/max pruning by ID_SAMPLE useful.
-        writer = df.sortWithinPartitions("amalgamation_level", "ID_SAMPLE").write.mode("overwrite")
+        # Every file covers a range of samples of few levels, so an id range skips files by their min and max.
+        ranged = df.repartitionByRange("amalgamation_level", "ID_SAMPLE")
+        writer = ranged.sortWithinPartitions("amalgamation_level", "ID_SAMPLE").write.mode("overwrite")
         writer = writer.option("compression", "zstd").partitionBy("amalgamation_level")
     writer.parquet(f"{path}/{name}")
 

@@ -41,6 +41,30 @@ def test_first_row_is_taken_whole_with_null_order_last(frame):
     assert rows(aggregates.first_per_key(df, ["k"], ["o"])) == [(1, 1, None), (2, None, "only")]
 
 
+def test_joined_text_keeps_repeats(frame):
+    df = frame("e int, p int, c string", (1, 1, "A"), (1, 1, "A"))
+    assert rows(aggregates.joined_text(df, ["e"], ["p"], "c", "pub")) == [(1, "A;\nA")]
+
+
+def test_null_depths_of_an_entity_match(frame):
+    df = frame("ID_ENTITY int, depth double", (1, None), (1, 2.0004), (2, None))
+    other = frame("ID_ENTITY int, depth double, age int", (1, None, 10), (1, 2.0, 20))
+    assert [r[-1] for r in rows(match.match_depth_rounded(df, other).select("ID_ENTITY", "depth", "age"))] == [20, 10, None]
+
+
+def test_repeated_and_unknown_keys_are_refused(frame):
+    table = frame("k int, v string", (1, "a"))
+    twice = frame("k int, v string", (2, "x"), (2, "y"))
+    with pytest.raises(changes.KeyViolation):
+        changes.upsert(table, twice, ["k"])
+    with pytest.raises(changes.KeyViolation):
+        changes.append_unseen(table, twice, ["k"])
+    with pytest.raises(changes.KeyViolation):
+        changes.upsert(table, frame("k int, w string", (1, "x")), ["k"])
+    grown = changes.append_unseen(table, frame("k int, v string, w string", (1, "b", "c"), (3, "d", "e")), ["k"])
+    assert rows(grown) == [(1, "a"), (3, "d")]
+
+
 def test_joined_text_is_null_if_any_text_is(frame):
     df = frame("e int, p int, c string", (1, 2, "B"), (1, 1, "A"), (2, 1, "A"), (2, 2, None))
     assert rows(aggregates.joined_text(df, ["e"], ["p"], "c", "pub")) == [(1, "A;\nB"), (2, None)]
@@ -124,9 +148,9 @@ def test_three_levels_conserve_the_total_and_report_what_is_unmapped(frame, taxa
     top = amalgamate.amalgamate_amalgamated(inter, taxa_map, taxa)
     assert {df.agg(F.sum("count")).first()[0] for df in (clean, inter, top)} == {10.0}
     assert rows(amalgamate.unmapped(inter)) == [(1, 1, 4.0), (2, 1, 1.0)]
-    named = raw.join(taxa_map.where("intermediate IS NOT NULL"), "raw_taxon")
-    at_once = amalgamate.amalgamate_levels(named, taxa)
-    assert rows(at_once.where("amalgamation_level = 2")) == [(1, 4, 2, 5.0)]
+    at_once = amalgamate.amalgamate_levels(raw, taxa_map, taxa)
+    assert rows(at_once.where("amalgamation_level = 0")) == rows(clean)
+    assert rows(at_once.where("amalgamation_level = 2")) == [(1, 4, 2, 5.0), (1, None, 2, 4.0), (2, None, 2, 1.0)]
 
 
 def test_a_map_with_two_parents_is_reported(frame, taxa_map):

@@ -8,7 +8,9 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from siltframe.operators.amalgamate import amalgamate_levels
 from siltframe.session import configure
 from siltframe.sources.tables import Archive, literal_table
 
@@ -26,10 +28,6 @@ GIVEN = {
 }
 
 
-def taxon_id(name: str) -> str:
-    return f"CAST(conv(substring(md5({name}), 1, 13), 16, 10) AS BIGINT)"
-
-
 class Workload:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = configure(spark)
@@ -166,22 +164,14 @@ class Workload:
 
     @cached_property
     def taxon_name(self) -> DataFrame:
-        names = self.taxa_map.selectExpr("explode(array(clean_name, intermediate, amalgamated)) AS taxon_name")
-        return names.distinct().selectExpr(f"{taxon_id('taxon_name')} AS ID_TAXON", "taxon_name")
+        # A taxon is numbered after the first map row and level that name it.
+        names = self.taxa_map.selectExpr("raw_taxon", "posexplode(array(clean_name, intermediate, amalgamated)) AS (level, taxon_name)")
+        return names.groupBy("taxon_name").agg(F.expr("min(raw_taxon * 3 + level)").alias("ID_TAXON")).select("ID_TAXON", "taxon_name")
 
     @cached_property
     def pollen_count(self) -> DataFrame:
-        # Repeats of a raw taxon merge before each row becomes three. The ids are worked out on the
-        # map, once per raw taxon, so the counts only carry numbers.
-        ids = ", ".join(taxon_id(c) for c in ("clean_name", "intermediate", "amalgamated"))
-        level_map = self.taxa_map.selectExpr("raw_taxon", f"posexplode(array({ids})) AS (amalgamation_level, ID_TAXON)")
-        merged = self.raw_count.where("count IS NOT NULL").groupBy("ID_SAMPLE", "raw_taxon").sum("count")
-        return (
-            merged.join(level_map, "raw_taxon")
-            .groupBy("ID_SAMPLE", "ID_TAXON", "amalgamation_level")
-            .sum("sum(count)")
-            .withColumnRenamed("sum(sum(count))", "count")
-        )
+        raw = self.raw_count.select("ID_SAMPLE", "raw_taxon", "count")
+        return amalgamate_levels(raw, self.taxa_map, self.taxon_name).where("ID_TAXON IS NOT NULL")
 
     @cached_property
     def model_name(self) -> DataFrame:

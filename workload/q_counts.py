@@ -298,7 +298,7 @@ def _(w):
 def _(w):
     words = w.given("part").select(F.split_part("p_name", F.lit(" "), F.lit(1)).alias("word"), "p_brand")
     wide = words.groupBy("word").pivot("p_brand").count()
-    return reshape.transpose(wide, "word", "brand", _ADJECTIVES)
+    return reshape.transpose(wide, "word", "brand")
 
 
 @query(
@@ -363,7 +363,7 @@ def _(w):
     + " FROM raw_count r GROUP BY r.ID_SAMPLE",
 )
 def _(w):
-    elements = ["A|F", "A|O", "N|F", "N|O", "R|F", "R|O"]
+    elements = reshape.headers(w.raw_count, "element")
     wide = w.raw_count.groupBy("ID_SAMPLE").pivot("element", elements).agg(F.sum("count"))
     return reshape.drop_empty_columns(wide, ["ID_SAMPLE"])
 
@@ -424,9 +424,14 @@ def _(w):
     return amalgamate.amalgamate_amalgamated(inter, w.taxa_map, w.taxon_name)
 
 
-@query("amalgamate_levels", "SELECT ID_SAMPLE, ID_TAXON, amalgamation_level, cnt AS count FROM pollen_count")
+@query(
+    "amalgamate_levels",
+    """SELECT ID_SAMPLE, ID_TAXON, amalgamation_level, cnt AS count FROM pollen_count
+       UNION ALL SELECT ID_SAMPLE, NULL, l.level, sum(cnt) FROM raw_count CROSS JOIN (VALUES (0), (1), (2)) l(level)
+       WHERE cnt IS NOT NULL AND raw_taxon NOT IN (SELECT raw_taxon FROM taxa_map) GROUP BY ALL""",
+)
 def _(w):
-    return amalgamate.amalgamate_levels(w.raw_count.join(w.taxa_map, "raw_taxon"), w.taxon_name)
+    return amalgamate.amalgamate_levels(w.raw_count.select("ID_SAMPLE", "raw_taxon", "count"), w.taxa_map, w.taxon_name)
 
 
 @query(

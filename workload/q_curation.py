@@ -784,7 +784,7 @@ _SHEETS = """
     WITH cells AS (SELECT m.clean_name, m.intermediate, m.amalgamated, r.line, r.element, r.cnt
                    FROM raw_count r JOIN taxa_map m ON r.raw_taxon = m.raw_taxon),
     taxa AS (SELECT DISTINCT clean_name, intermediate, amalgamated FROM taxa_map),
-    depths AS (SELECT unnest([1, 2, 3, 4, 5, 6, 7]) AS line),
+    depths AS (SELECT DISTINCT line FROM cells),
     matrix AS (SELECT t.*, CAST(d.line * 10 AS DOUBLE) AS depth, c.total FROM taxa t CROSS JOIN depths d
                LEFT JOIN (SELECT clean_name, line, sum(cnt) AS total FROM cells WHERE element <> 'A|F' GROUP BY ALL) c
                ON t.clean_name = c.clean_name AND d.line = c.line),
@@ -795,12 +795,13 @@ _SHEETS = """
 def count_sheets(w):
     cells = w.raw_count.join(w.taxa_map, "raw_taxon").withColumn("depth", F.col("line") * 10)
     names = ["clean_name", "intermediate", "amalgamated"]
+    depths = reshape.headers(cells, "depth")
     matrix = (
         cells.where(F.col("element") != "A|F")
         .groupBy(*names)
-        .pivot("depth", list(range(10, 80, 10)))
+        .pivot("depth", depths)
         .agg(F.sum("count"))
-        .select(F.col("clean_name").alias("name"), *names, *[str(d) for d in range(10, 80, 10)])
+        .select(F.col("clean_name").alias("name"), *names, *map(str, depths))
     )
     listed = (
         cells.where(F.col("element") == "A|F")
@@ -846,6 +847,6 @@ def _(w):
     files.write_csvs(snapshot(w), prefix)
     counts = []
     for name, path in files.snapshot_files(prefix).items():
-        stored = w.spark.read.csv(path, header=True, multiLine=False)
+        stored = files.read_csv(w.spark, path, w.spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"').schema)
         counts.append(stored.agg(F.lit(name).alias("file"), F.count("*").alias("n"), F.lit(len(stored.columns)).alias("n_columns")))
     return reshape.union_sources(*counts)

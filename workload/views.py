@@ -9,8 +9,6 @@ from __future__ import annotations
 
 import re
 
-_TAXON_ID = "CAST('0x' || substr(md5({0}), 1, 13) AS BIGINT)"
-
 VIEWS: dict[str, str] = {
     "entity": """
         SELECT CAST(c.c_nationkey AS BIGINT) AS ID_SITE, c.c_custkey AS ID_ENTITY, n.n_name AS site_name,
@@ -73,16 +71,18 @@ VIEWS: dict[str, str] = {
         SELECT p_partkey AS raw_taxon, p_name AS clean_name, split_part(p_name, ' ', 2) AS intermediate,
                CASE WHEN split_part(p_name, ' ', 2) < 'h' THEN 'group a' ELSE 'group b' END AS amalgamated
         FROM part WHERE p_size < 50""",
-    "taxon_name": f"""
-        SELECT {_TAXON_ID.format("taxon_name")} AS ID_TAXON, taxon_name
-        FROM (SELECT clean_name AS taxon_name FROM taxa_map UNION SELECT intermediate FROM taxa_map
-              UNION SELECT amalgamated FROM taxa_map) u""",
-    "pollen_count": f"""
-        SELECT r.ID_SAMPLE, {_TAXON_ID.format("x.name")} AS ID_TAXON, x.amalgamation_level, sum(r.cnt) AS cnt
+    "taxon_name": """
+        SELECT min(number) AS ID_TAXON, taxon_name
+        FROM (SELECT raw_taxon * 3 AS number, clean_name AS taxon_name FROM taxa_map
+              UNION ALL SELECT raw_taxon * 3 + 1, intermediate FROM taxa_map
+              UNION ALL SELECT raw_taxon * 3 + 2, amalgamated FROM taxa_map) u GROUP BY taxon_name""",
+    "pollen_count": """
+        SELECT r.ID_SAMPLE, n.ID_TAXON, x.amalgamation_level, sum(r.cnt) AS cnt
         FROM raw_count r
         JOIN (SELECT raw_taxon, 0 AS amalgamation_level, clean_name AS name FROM taxa_map
               UNION ALL SELECT raw_taxon, 1, intermediate FROM taxa_map
               UNION ALL SELECT raw_taxon, 2, amalgamated FROM taxa_map) x ON r.raw_taxon = x.raw_taxon
+        JOIN taxon_name n ON n.taxon_name = x.name
         WHERE r.cnt IS NOT NULL GROUP BY ALL""",
     "model_name": """
         SELECT * FROM (VALUES (3, 'linear interpolation'), (8, 'BACON_INTCAL20')) m(ID_MODEL, model_name)""",
