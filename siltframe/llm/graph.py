@@ -8,17 +8,31 @@ from pyspark.sql import functions as F
 from .store import stored
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One round on edges (a, b). The minimum of each node is aggregated before it is joined back, so a node with
-    very many edges is combined on the map side and its join partition can be split."""
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else (
-        edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    )
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Larger neighbours of a node move to the smallest of it and its neighbours.
+
+    The smallest neighbour is aggregated before it is joined back, so a node with very many edges is combined on the
+    map side and its join partition can be split. The same holds for the small star.
+    """
+    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    if large:
-        return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-    down = both.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return down.union(least.where("a <> m").select("a", F.col("m").alias("b"))).distinct()
+    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """A node and its smaller neighbours move to the smallest of them."""
+    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    moved = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node hangs on one centre, and no centre on another."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("centre"))
+    ends = ends.union(edges.select("b", F.lit(0), F.lit(1)))
+    node = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("centre").alias("centre"))
+    return node.where("up + centre > 1").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -26,12 +40,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     Loops and edges with a null end are ignored; nodes without another edge are not returned.
     """
-    edges = stored(edges.where("a <> b").select("a", "b").distinct(), "edges")
-    seen = None
-    while True:
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003), F.sum(F.xxhash64("b", "a") % 999_983)).first()
-        if state == seen or state[0] == 0:
-            found = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-            return found.union(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        seen = state
-        edges = stored(_star(_star(edges, True), False), "edges")
+    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    edges = stored(edges.distinct(), "edges")
+    while not _settled(edges):
+        edges = stored(_small_star(_large_star(edges)), "edges")
+    centres = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(centres)

@@ -7,12 +7,12 @@ half of the bands are cut from the minima, half from the maxima. With 196 permut
 similarity 0.8 shares no band with a chance of 2e-6.
 
 A shared band only proposes a pair: every link is confirmed on the full shingle sets. Within a bucket no pairs are
-spelled out. Members are first compared with the smallest id of the bucket; where a bucket then still spans several
-components, the members of the larger component stream past an index of the smaller ones, so no link between different
-texts that share a band is lost. Equal sets are found by fingerprint and never compared.
+spelled out. A document is first compared with the smallest id of the buckets it shares most of; where a bucket then
+still spans several components, members of the larger component stream past an index of the smaller ones, so no link
+between different texts that share a band is lost. Equal sets are found by fingerprint and never compared.
 
-Null and empty texts have no shingles and are linked with nothing. Rows that share a doc_id are one node. A null
-doc_id is linked with nothing and kept. Extra columns are ignored.
+Null and empty texts have no shingles and are linked with nothing. Rows that repeat a doc_id are taken for the same
+document. A null doc_id is linked with nothing and kept. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -177,6 +177,29 @@ def _across(pairs: DataFrame, place: DataFrame, texts: DataFrame, width: int, pe
     return rows.repartition("stream", "block", "part").sortWithinPartitions(*order[:4]).mapInArrow(_crosser(width, percent), "a long, b long")
 
 
+def _merged(place: DataFrame, links: DataFrame) -> DataFrame:
+    """``place`` (doc_id, c) with the components that ``links`` (a, b) connect made one."""
+    of = lambda end: place.select(F.col("doc_id").alias(end), F.col("c").alias(f"c_{end}"))
+    edges = links.join(of("a"), "a").join(of("b"), "b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
+    joined = components(edges).withColumnsRenamed({"node": "c", "component": "root"})
+    return stored(place.join(joined, "c", "left").select("doc_id", F.coalesce("root", "c").alias("c")), "place")
+
+
+def _open_pairs(members: DataFrame, place: DataFrame, with_largest: bool) -> DataFrame:
+    """Pairs (c, d) of components that share a bucket: each with the bucket's largest only, or all."""
+    spans = members.select("key", "doc_id").join(place, "doc_id").select("key", "c").distinct()
+    several = spans.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key")
+    spans = spans.join(several, "key")
+    if with_largest:
+        size = place.groupBy("c").agg(F.count("*").alias("n"))
+        largest = spans.join(size, "c").groupBy("key").agg(F.max_by("c", F.struct("n", -F.col("c"))).alias("d"))
+        pairs = spans.join(largest, "key").where("c <> d")
+    else:
+        spans = stored(spans, "spans")
+        pairs = spans.join(spans.select("key", F.col("c").alias("d")), "key").where("c < d")
+    return pairs.select(F.least("c", "d").alias("c"), F.greatest("c", "d").alias("d")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame, width: int = WIDTH, percent: int = 80, permutations: int = PERMUTATIONS, rows: int = ROWS
 ) -> DataFrame:
@@ -201,40 +224,20 @@ def near_duplicates(
     bands = sieve(shared.select("key"), bands, "key")
     members = stored(bands.join(shared, "key").join(alone, "doc_id", "left_anti"), "members")
 
-    proposed = stored(members.where("doc_id > leader").groupBy("doc_id", "leader").agg(F.count("*").alias("bands")), "proposed")
-    wanted = proposed.select("doc_id").union(proposed.select("leader")).distinct()
-    texts = stored(sieve(wanted, docs, "doc_id"), "texts")
-
-    best = proposed.groupBy("doc_id").agg(F.max_by("leader", F.struct("bands", -F.col("leader"))).alias("leader"))
-    links = stored(_confirmed(best, texts, width, percent), "links")
-    found = components(links)
-
-    def across(pairs: DataFrame, other: str) -> DataFrame:
-        """Pairs that are not in one component yet."""
-        side = found.select(F.col("node").alias("doc_id"), F.col("component").alias("c1"))
-        return (
-            pairs.join(side, "doc_id", "left")
-            .join(side.select(F.col("doc_id").alias(other), F.col("c1").alias("c2")), other, "left")
-            .where(~F.coalesce("c1", "doc_id").eqNullSafe(F.coalesce("c2", other)))
-            .drop("c1", "c2")
-        )
-
-    later = across(proposed.select("doc_id", "leader").join(best, ["doc_id", "leader"], "left_anti"), "leader")
-    links = links.union(stored(_confirmed(stored(later, "later"), texts, width, percent), "links"))
-    found = components(links)
-
-    # Buckets that still span several components: those components are compared as a whole.
-    place = members.select("doc_id").distinct().join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    place = stored(place.select("doc_id", F.coalesce("component", "doc_id").alias("c")), "place")
-    spans = members.select("key", "doc_id").join(place, "doc_id").groupBy("key", "c").agg(F.count("*").alias("n"))
-    several = spans.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key")
-    spans = stored(spans.join(several, "key").select("key", "c"), "spans")
-    pairs = spans.join(spans.select("key", F.col("c").alias("d")), "key").where("c < d").select("c", "d").distinct()
-    links = links.union(stored(_across(stored(pairs, "pairs"), place, texts, width, percent), "links"))
-
-    found = stored(components(links.union(copies)), "components")
-    return (
-        signed.select("doc_id", "n_shingles").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    # First the smallest id of the buckets that a document shares most of: one pair for each document at most.
+    pairs = members.where("doc_id > leader").groupBy("doc_id", "leader").agg(F.count("*").alias("bands"))
+    best = pairs.groupBy("doc_id").agg(F.max_by("leader", F.struct("bands", -F.col("leader"))).alias("leader"))
+    place = stored(members.select("doc_id", F.col("doc_id").alias("c")).distinct(), "place")
+    texts = stored(sieve(place.select("doc_id"), docs, "doc_id"), "texts")
+    place = _merged(place, stored(_confirmed(best, texts, width, percent), "links"))
+
+    # Then buckets that still span several components: their largest one against the others, and what is left.
+    for with_largest in (True, False):
+        pairs = stored(_open_pairs(members, place, with_largest), "pairs")
+        place = _merged(place, stored(_across(pairs, place, texts, width, percent), "links"))
+
+    placed = signed.select("doc_id", "n_shingles").join(copies.withColumnsRenamed({"a": "doc_id", "b": "first"}).groupBy("doc_id").agg(F.min("first").alias("first")), "doc_id", "left")
+    placed = placed.withColumn("node", F.coalesce("first", "doc_id")).join(place.select(F.col("doc_id").alias("node"), "c"), "node", "left")
+    return placed.select(
+        "doc_id", "n_shingles", F.coalesce("c", "node").alias("component_id"), F.coalesce(F.col("doc_id") == F.coalesce("c", "node"), F.lit(True)).alias("kept")
     )
