@@ -6,8 +6,8 @@ chunk is a polynomial in its bytes modulo two primes of 31 bits; the fingerprint
 cut gives the same number. Texts of equal fingerprint and length are then compared chunk by chunk with the smallest
 id of their group; those that differ after all are grouped anew until none is left.
 
-Null text counts as empty. Rows that share the smallest doc_id of their group all stay. A null doc_id comes last; a
-group of null ids alone keeps all its rows. Extra columns are ignored.
+Null text counts as empty. Rows that share the smallest doc_id of their group all stay. Rows without a doc_id cannot be
+named by one: they are grouped among themselves and all stay. Extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -28,6 +28,8 @@ from .store import prepare
 SAMPLE_PAGES = 4000
 #: Kinds of surroundings and tags that weights are kept for, by how often they are met.
 KINDS = 8192
+#: No tag scores less, so that an advert does not cut off the short rest of an article.
+TAG_FLOOR = -3.25
 
 #: Names of HTML elements and of their usual classes.
 INLINE = frozenset(
@@ -100,7 +102,7 @@ def parts(page: str):
             if known:
                 del stack[known:]
             if name not in INLINE and not stack[-1].hidden:
-                yield "tag", "/" + key, "", block, stack[-1].aside, stack[-1].article
+                yield "tag", "/" + key, "", block, stack[-1].aside and not stack[-1].article, stack[-1].article
             continue
         if name == "br":
             yield from text(" ")
@@ -127,7 +129,7 @@ def parts(page: str):
         if name not in INLINE:
             block += 1
             if not hidden:
-                yield "tag", key, "", block, aside, article
+                yield "tag", key, "", block, aside and not article, article
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}\b", re.I).search(page, at)
             at = close.start() if close else len(page)
@@ -163,7 +165,7 @@ def main_text(page: str | None, weights: dict) -> str:
             words = html.unescape(text)
             score = of * len(words.split())
         else:
-            words, score = "", math.log(of)
+            words, score = "", max(math.log(of), TAG_FLOOR)
         if total <= 0:
             total, start = 0.0, len(items)
         total += score
