@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from llm_samples import LONG
+from llm_samples import LONG, docs  # noqa: F401
 
 from siltframe.llm import brown
 

@@ -1,4 +1,4 @@
-from llm_samples import LONG
+from llm_samples import LONG, docs  # noqa: F401
 
 from siltframe.llm import decontam
 

@@ -5,7 +5,7 @@ from collections import defaultdict
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from llm_samples import LONG
+from llm_samples import LONG, docs  # noqa: F401
 
 from siltframe.llm import exact
 

@@ -1,6 +1,6 @@
 import re
 
-from llm_samples import LONG
+from llm_samples import LONG, docs  # noqa: F401
 
 from siltframe.llm import licenses as lic
 

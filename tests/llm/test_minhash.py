@@ -3,7 +3,7 @@ from collections import Counter
 
 import numpy as np
 
-from llm_samples import LONG
+from llm_samples import LONG, docs  # noqa: F401
 
 from siltframe.llm import minhash
 from siltframe.llm.words import stream

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from llm_samples import LONG
+from llm_samples import LONG, docs  # noqa: F401
 
 from siltframe.llm import packing
 from siltframe.llm.queries import tokenizer_path
