@@ -74,6 +74,12 @@ def assign_group_ids(df: DataFrame, keys: Sequence[str], id_name: str, start: in
     return join_null_safe(df, numbered, keys)
 
 
+def rows_at(df: DataFrame, order: Sequence[str], low: int, high: int) -> DataFrame:
+    """The rows at positions ``low`` to ``high`` (from 1) in ``order``, which must be unique."""
+    placed = with_position(df, order, "__position")
+    return placed.where(F.col("__position").between(low, high)).drop("__position")
+
+
 def current_max_id(df: DataFrame, id_name: str) -> int:
     """Largest stored id, 1 for an empty table."""
     return df.agg(F.coalesce(F.max(id_name), F.lit(1))).first()[0]

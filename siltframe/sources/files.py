@@ -45,9 +45,22 @@ def read_wide_csv(spark: SparkSession, path: str, ids: T.StructType, null_value:
     return read_csv(spark, path, T.StructType(fields), null_value)
 
 
-def read_sheet(spark: SparkSession, path: str, schema: T.StructType, required: str | None = None) -> DataFrame:
-    """One sheet, exported as CSV from its header line on; rows without ``required`` are left out."""
-    sheet = read_csv(spark, path, schema)
+def read_sheet(
+    spark: SparkSession, path: str, schema: T.StructType, required: str | None = None, skip: int = 0
+) -> DataFrame:
+    """One sheet, exported as CSV; rows without ``required`` are left out.
+
+    ``skip`` lines stand before the header line of every part; such a sheet is read whole and must
+    not have line breaks inside a field.
+    """
+    if skip:
+        lines = spark.read.text(path, wholetext=True).select(F.split("value", r"\r?\n").alias("lines"))
+        line = lines.select(F.explode(F.slice("lines", skip + 2, F.size("lines"))).alias("line")).where("line <> ''")
+        options = {"quote": '"', "escape": '"', "nullValue": ""}
+        cells = F.from_csv("line", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields), options)
+        sheet = line.select(cells.alias("cells")).select("cells.*")
+    else:
+        sheet = read_csv(spark, path, schema)
     sheet = sheet.toDF(*snake_case(sheet.columns))
     return sheet.where(F.col(required).isNotNull()) if required else sheet
 
@@ -122,6 +135,54 @@ def harmonise_count_sheets(sheets: Sequence[tuple[str, str, DataFrame, bool]], n
     return union_sources(*frames).withColumns({c: squish(F.col(c)) for c in SHEET_NAMES[1:]})
 
 
+# Commas outside of quotes.
+_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def read_count_sheets(spark: SparkSession, path: str, pattern: str = "*.csv", null_policy: str = "zero") -> DataFrame:
+    """All count sheets below ``path`` as (site_name, four names, depth, count); layouts may be mixed.
+
+    The site comes from the file name. A sheet with "list" in its name or a column named like
+    "count" has depth and count columns, any other one column per depth. A column before the names
+    goes if the next header is like "name" or blank and it is empty itself. A sheet holds the counts
+    of one core, so each is read whole; the plan is the same for any number of sheets. Fields must
+    not hold line breaks.
+    """
+    if null_policy not in ("zero", "drop"):
+        raise ValueError("null_policy is 'zero' or 'drop'")
+    unquoted = lambda c: F.nullif(F.trim(F.regexp_replace(F.trim(c), '^"|"$', "")), F.lit(""))
+    cells = lambda line: F.transform(F.split(line, _COMMA), unquoted)
+    location = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path, wholetext=True)
+    stem = F.regexp_replace(F.split_part(location, F.lit("/"), F.lit(-1)), r"\.[^.]*$", "")
+    lines = F.filter(F.split("value", r"\r?\n"), lambda line: F.trim(line) != "")
+    sheet = files.select(stem.alias("stem"), lines.alias("lines")).select(
+        "stem", cells(F.get("lines", F.lit(0))).alias("header"),
+        F.transform(F.slice("lines", 2, F.size("lines")), cells).alias("rows"),
+    )
+    second = F.coalesce(F.lower(F.get("header", F.lit(1))), F.lit("name"))
+    led = second.contains("name") & ~F.exists("rows", lambda r: r[0].isNotNull())
+    counted = F.exists("header", lambda h: F.coalesce(F.lower(h).contains("count"), F.lit(False)))
+    sheet = sheet.select(
+        F.regexp_replace("stem", "|".join(SHEET_MARKS), "").alias("site_name"), "header", F.explode("rows").alias("row"),
+        F.when(led, 1).otherwise(0).alias("at"), (F.lower("stem").contains("_list") | counted).alias("is_list"),
+    )
+    pair = lambda depth, count: F.struct(depth.try_cast("double").alias("depth"), count.try_cast("double").alias("count"))
+    listed = F.array(pair(F.get("row", F.col("at") + 4), F.get("row", F.col("at") + 5)))
+    places = F.sequence(F.col("at") + 4, F.greatest(F.size("header") - 1, F.col("at") + 4))
+    matrix = F.transform(places, lambda i: pair(F.get("header", i), F.get("row", i)))
+    long = sheet.select(
+        "site_name", *[F.get("row", F.col("at") + i).alias(c) for i, c in enumerate(SHEET_NAMES)], "is_list",
+        F.explode(F.when(F.col("is_list"), listed).otherwise(matrix)).alias("cell"),
+    ).select("site_name", *SHEET_NAMES, "is_list", "cell.depth", "cell.count")
+    if null_policy == "zero":
+        filled = F.when(F.col("is_list"), F.col("count")).otherwise(F.coalesce("count", F.lit(0.0)))
+        long = long.withColumn("count", filled).where(F.col("is_list") | F.col("taxon_name").isNotNull())
+    else:
+        long = long.where(F.col("is_list") | F.col("count").isNotNull())
+    return long.drop("is_list").withColumns({c: squish(F.col(c)) for c in SHEET_NAMES[1:]})
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)

@@ -135,3 +135,47 @@ def test_count_sheets_in_both_layouts(frame):
         ("E", "pine", "Pinus s", 20.5, 0.0),
         ("F", "oak", "oak", 7.0, None),
     ]
+
+
+def test_age_model_columns_are_found_by_header(spark, tmp_path):
+    for name, head, row in [
+        ("a", "depths,sample_ids,median,mean,uncert_95,uncert_25,uncert_75,uncert_5", "7.0,s,2,1,95,25,75,5"),
+        ("b", '"sample_ids","depths","mean","median","uncert_5","uncert_25","uncert_75","uncert_95"', '"s",8.0,1,2,5,25,75,95'),
+    ]:
+        folder = tmp_path / "runs" / name
+        folder.mkdir(parents=True)
+        (folder / "bacon.csv").write_text(f"{head}\n{row}\n")
+    found = files.read_age_model_files(spark, str(tmp_path / "runs"))
+    assert rows(found, *files.AGE_MODEL_FILE.names) == [("s", d, 1.0, 2.0, 5.0, 25.0, 75.0, 95.0) for d in (7.0, 8.0)]
+    (tmp_path / "runs" / "b" / "bacon2.csv").write_text("sample_ids,depths\ns,1\n")
+    with pytest.raises(Exception, match="no column mean"):
+        files.read_age_model_files(spark, str(tmp_path / "runs")).collect()
+
+
+def test_csv_comes_back_as_it_was_written(spark, frame, tmp_path):
+    df = frame("k int, v string", (1, 'A;\nB'), (2, 'say "x", y'), (3, None), (4, "back\\slash"))
+    files.write_csv(df, str(tmp_path / "t"), "NA")
+    assert rows(files.read_csv(spark, str(tmp_path / "t"), df.schema, "NA")) == rows(df)
+
+
+def test_counts_without_a_name_keep_their_column(archive, frame):
+    more = frame("ID_SAMPLE long, ID_TAXON long, amalgamation_level int, count double", (10, 99, 0, 5.0), (11, None, 0, 6.0), (20, 7, 0, 8.0))
+    named = archive.taxon_name.unionByName(frame("ID_TAXON long, taxon_name string", (7, None)))
+    wide = snapshot(archive.with_tables(pollen_count=archive.pollen_count.unionByName(more), taxon_name=named)).wide("clean")
+    assert wide.columns == ["ID_SAMPLE", "oak", "pine", "taxon 7", "taxon 99", "unmapped"]
+    assert rows(wide, "ID_SAMPLE", "taxon 99", "unmapped", "taxon 7") == [(10, 5.0, None, None), (11, None, 6.0, None), (20, None, None, 8.0)]
+
+
+def test_lists_of_any_length_select_by_a_join(archive):
+    plans = [snapshot(archive, id_entity=list(range(n))).entity._jdf.queryExecution().optimizedPlan().toString() for n in (10, 1000)]
+    assert all("Join LeftSemi" in p and " IN (" not in p for p in plans)
+
+
+def test_count_sheets_of_a_folder(spark, tmp_path):
+    (tmp_path / "Blue Lake.csv").write_text(',name,clean,intermediate,amalgamated,10,20.5\n,"pine, x", Pinus  s,conifer,tree,3,\n,,a,b,c,1,1\n')
+    (tmp_path / "Red Bog_LIST.csv").write_text("name,clean,intermediate,amalgamated,depth,count\noak,oak,oak,tree,7,\noak,oak,oak,tree,8,2\n")
+    names = ("site_name", "taxon_name", "clean", "depth", "count")
+    zero = [("Blue Lake", "pine, x", "Pinus s", 10.0, 3.0), ("Blue Lake", "pine, x", "Pinus s", 20.5, 0.0), ("Red Bog", "oak", "oak", 7.0, None), ("Red Bog", "oak", "oak", 8.0, 2.0)]
+    assert rows(files.read_count_sheets(spark, str(tmp_path)), *names) == zero
+    dropped = rows(files.read_count_sheets(spark, str(tmp_path), null_policy="drop"), *names)
+    assert ("Blue Lake", None, "a", 10.0, 1.0) in dropped and len(dropped) == 5

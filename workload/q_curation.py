@@ -850,3 +850,31 @@ def _(w):
         stored = files.read_csv(w.spark, path, w.spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"').schema)
         counts.append(stored.agg(F.lit(name).alias("file"), F.count("*").alias("n"), F.lit(len(stored.columns)).alias("n_columns")))
     return reshape.union_sources(*counts)
+
+
+@query("snapshot_by_id", "SELECT * FROM date_info WHERE ID_ENTITY IN (3, 14, 15)")
+def _(w):
+    return snapshot(w, id_entity=[3, 14, 15]).date_info
+
+
+@query("snapshot_by_name", "SELECT s.* FROM sample s JOIN entity e ON s.ID_ENTITY = e.ID_ENTITY WHERE e.entity_name IN ('Customer#000000003', 'Customer#000000014')")
+def _(w):
+    return snapshot(w, entity_name=["Customer#000000003", "Customer#000000014"]).sample
+
+
+@query("snapshot_by_site", "SELECT * FROM entity WHERE ID_SITE IN (7, 8)")
+def _(w):
+    return snapshot(w, id_site=[7, 8]).entity
+
+
+@query("read_sheet_skip", "SELECT ID_ENTITY AS entity_id, depth AS depth_cm, lab_num FROM date_info WHERE depth IS NOT NULL")
+def _(w):
+    path = scratch_path(w.spark, "skipped")
+    row = F.concat_ws(",", F.col("ID_ENTITY").cast("string"), F.coalesce(F.col("depth").cast("string"), F.lit("")), F.concat(F.lit('"'), "lab_num", F.lit('"')))
+    # One sheet for each remainder, with two lines of remarks before the header.
+    part = (F.col("ID_ENTITY") % 16).alias("part")
+    sheets = w.date_info.groupBy(part).agg(F.array_join(F.collect_list(row), "\n").alias("rows"))
+    text = F.concat(F.lit("dates\nas exported\nentityId,Depth (cm),lab num\n"), "rows").alias("value")
+    sheets.select("part", text).write.partitionBy("part").text(path)
+    schema = T.StructType.fromDDL("entityId bigint, `Depth (cm)` double, `lab num` string")
+    return files.read_sheet(w.spark, path, schema, required="depth_cm", skip=2)

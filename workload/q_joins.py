@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from siltframe.functions import clean_name
-from siltframe.operators import amalgamate, dates, harmonise, ids, joins, match, reshape
+from siltframe.operators import amalgamate, changes, dates, harmonise, ids, joins, match, reshape
+from siltframe.session import scratch_path
 from siltframe.sources import tables
 
 from .registry import query
@@ -313,3 +314,26 @@ def _(w):
 )
 def _(w):
     return ids.id_gaps(w.date_info.where(F.col("depth").isNotNull()), "ID_DATE_INFO")
+
+
+@query("get_links", "SELECT * FROM external_link WHERE ID_ENTITY IN (3, 6, 7)")
+def _(w):
+    return harmonise.get_links(w.external_link, 3, 6, 7)
+
+
+@query("rows_by_position", "SELECT ID_ENTITY, ID_SAMPLE, depth FROM (SELECT *, row_number() OVER (ORDER BY ID_SAMPLE) AS n FROM sample) WHERE n BETWEEN 101 AND 250")
+def _(w):
+    return ids.rows_at(w.sample.select("ID_ENTITY", "ID_SAMPLE", "depth"), ["ID_SAMPLE"], 101, 250)
+
+
+@query("filter_like", "SELECT ID_TAXON, taxon_name FROM taxon_name WHERE taxon_name LIKE '%ring' OR taxon_name LIKE 'group _'")
+def _(w):
+    name = F.col("taxon_name")
+    return w.taxon_name.where(name.like("%ring") | name.like("group _"))
+
+
+@query("create_archive", "SELECT ID_SITE, ID_ENTITY, site_name, entity_name FROM entity")
+def _(w):
+    empty = tables.create_archive(w.spark, scratch_path(w.spark, "created")).entity
+    new = w.entity.select(*[c for c in empty.columns if c in w.entity.columns])
+    return changes.append_records(empty, new, ["ID_ENTITY"]).select("ID_SITE", "ID_ENTITY", "site_name", "entity_name")
