@@ -19,6 +19,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import literal_table
 from .store import prepare, stored
 
 #: Phrases and their labels.
@@ -99,7 +100,7 @@ def scanned(
     for k, ((label, tokens), least) in enumerate(zip(sets, need)):
         ranks = sorted(rank[t] for t in tokens)
         rows += [(ranks[p], k, label, p, least, ranks) for p in range(len(ranks) - least + 1)]
-    prefixes = spark.createDataFrame(rows, "rank int, template int, label string, place int, need int, ranks array<int>")
+    prefixes = literal_table(spark, rows, "rank int, template int, label string, place int, need int, ranks array<int>")
 
     ranked = F.create_map(*(F.lit(x) for item in rank.items() for x in item))
     blocks = blocks.select("row", "block", F.array_sort(F.transform("tokens", lambda t: ranked[t])).alias("own"))
