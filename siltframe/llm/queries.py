@@ -47,6 +47,31 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(_table(spark, sf_dir, "documents"))
 
+_TEMPLATE_ROWS = ", ".join(f"({k}, '{label}', '{text}')" for k, (label, text) in enumerate(licenses.TEMPLATES))
+_WORDS = "list_distinct(regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{1}'))"
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+ORACLES["op4_licenses"] = rf"""
+with d as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+  w as (select doc_id, regexp_extract_all(t, '{_WORD}') as words from d),
+  placed as (select doc_id, unnest(words) as word, unnest(range(len(words))) as pos from w),
+  runs as (select *, lead(word) over (partition by doc_id order by pos) as second, lead(word, 2) over (partition by doc_id order by pos) as third from placed),
+  base as (select doc_id, pos, case when word = 'cc' and second = 'by' then 'cc-by' when word = 'general' and second = 'public' and third = 'license' then 'gpl'
+      when word = 'all' and second = 'rights' and third = 'reserved' then 'reserved' end as label from runs),
+  found as (select doc_id, count(*) as n_base, min(pos) as first_word, max(pos) as last_word from base where label is not null group by doc_id),
+  b as (select doc_id, unnest(string_split(regexp_replace(t, '([.!?])[ \t]+', '\1' || chr(10), 'g'), chr(10))) as block from d),
+  numbered as (select doc_id, row_number() over () as block_no, {_WORDS.format("block", _WORD)} as own from b),
+  t as (select label, {_WORDS.format("text", _WORD)} as tokens from (values {_TEMPLATE_ROWS}) v(k, label, text)),
+  hit as (select doc_id, block_no, label, len(list_intersect(own, tokens)) / len(tokens) as share from numbered, t
+    where len(own) >= 4 and len(list_intersect(own, tokens)) >= ceil(0.8 * len(tokens))),
+  best as (select * from hit qualify share = max(share) over (partition by doc_id, block_no)),
+  named as (select doc_id, label, 1 as base from base where label is not null union select doc_id, label, 0 from best),
+  labels as (select doc_id, string_agg(distinct label, ',' order by label) as labels, string_agg(distinct label, ',' order by label) filter (base = 1) as base_labels from named group by doc_id),
+  shares as (select doc_id, max(share) as share from best group by doc_id)
+select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word, coalesce(base_labels, '') as base_labels,
+  coalesce(labels, '') as labels, case when n_base > 0 then 1.0::double else coalesce(share, 0)::double end as score
+from w left join found using (doc_id) left join labels using (doc_id) left join shares using (doc_id)
+"""
+
 
 ORACLES["op5_exact"] = r"""
 with n as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents)
@@ -85,6 +110,25 @@ URL_RULES = [
     ("net", "/fr/", "block"),
 ]
 
+ORACLES["op9_urls"] = r"""
+with recursive rules(h, p, v) as (values ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+    ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+  tags as (select url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) as tag from pages where url is not null and html is not null),
+  links as (select url, regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) as dst from tags where regexp_matches(tag, '(?is)\brel\s*=\s*["'']?\s*canonical\b')
+    union all select url, regexp_extract(tag, '(?is)\burl\s*=\s*["'']?\s*([^"''>;\s]+)', 1) from tags where regexp_matches(tag, '(?is)\bhttp-equiv\s*=\s*["'']?\s*refresh\b')),
+  edges as (select trim(regexp_replace(url, '(?s)#.*$', '')) as a, trim(regexp_replace(dst, '(?s)#.*$', '')) as b from links where dst like '%://%'),
+  nodes as (select a as url from edges union select b from edges union select trim(regexp_replace(url, '(?s)#.*$', '')) from pages where url is not null),
+  parts as (select url, translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path from nodes),
+  ruled as (select parts.*, h || p as rule, v from parts left join rules on (host = h or host like '%.' || h) and starts_with(path, p)
+    qualify row_number() over (partition by url order by length(h || p) desc) = 1),
+  reach(a, b) as (select a, b from edges union select b, a from edges union select r.a, e.b from reach r join (select a, b from edges union select b, a from edges) e on r.b = e.a),
+  seen as (select url, v from ruled where v is not null union all select r.a, u.v from reach r join ruled u on r.b = u.url where u.v is not null),
+  method as (select url, case when bool_or(v = 'allow') then 'allow' when bool_or(v = 'block') then 'block' else 'allow' end as verdict from seen group by url)
+select page_id, coalesce(ruled.host, '') as host, coalesce(ruled.path, '') as path, rule, coalesce(v, method.verdict, 'allow') as verdict
+from pages left join ruled on ruled.url = trim(regexp_replace(pages.url, '(?s)#.*$', '')) left join method on method.url = ruled.url
+"""
+
 
 @query
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
