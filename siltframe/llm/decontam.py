@@ -65,7 +65,7 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, width
     items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null")
     form = lambda rows, key: rows.select(key, _words(canonical(F.col("text"))).alias("words"))
 
-    own = stored(windows(form(items, "item_id"), ["item_id"], width).distinct(), "windows")
+    own = stored(windows(form(items, "item_id"), ["item_id"], width).distinct(), "windows", narrow=True)
     size = own.groupBy("item_id").agg(F.count_distinct("at").alias("n_windows"))
     hits = (
         windows(form(docs, "doc_id"), ["doc_id"], width).join(own.withColumnRenamed("at", "place"), "window")
@@ -74,7 +74,7 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, width
     hits = stored(hits, "hits")
     enough = F.col("n_found") >= F.lit(threshold) * F.col("n_windows")
     counted = hits.groupBy("doc_id", "item_id").agg(F.count_distinct("place").alias("n_found"))
-    likely = stored(counted.join(size, "item_id").where(enough).select("doc_id", "item_id", "n_windows"), "likely")
+    likely = stored(counted.join(size, "item_id").where(enough).select("doc_id", "item_id", "n_windows"), "likely", narrow=True)
 
     # Slots of the likely pairs: a value for every word of every shared window.
     both = hits.alias("h").join(likely.alias("l"), F.col("h.item_id").eqNullSafe(F.col("l.item_id")) & F.col("h.doc_id").eqNullSafe(F.col("l.doc_id")))
@@ -97,7 +97,7 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, width
     judged = stored(
         judged.groupBy("doc_id", "item_id", "shift")
         .agg(F.max(F.col("low") != F.col("high")).alias("torn"), F.max((F.col("low") != F.col("mine")) | (F.col("high") != F.col("mine"))).alias("changed")),
-        "slots",
+        "slots", narrow=True,
     )
     match = [F.col(f"p.{c}").eqNullSafe(F.col(f"j.{c}")) for c in ("doc_id", "item_id", "shift")]
     kept = placed.alias("p").join(judged.alias("j"), match, "left").where("not coalesce(torn, false)")

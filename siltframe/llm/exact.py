@@ -136,8 +136,8 @@ def exact_duplicates(docs: DataFrame, primes: tuple[int, int] = PRIMES) -> DataF
     open_rows = hashed.where("doc_id is not null").select("doc_id", *mark)
     while True:
         groups = open_rows.groupBy(*mark).agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last")).where("leader < last")
-        members = stored(open_rows.join(groups, mark).where("doc_id > leader").select("doc_id", *mark, "leader").distinct(), "members")
-        unequal = stored(_unequal(members, docs), "unequal")
+        members = stored(open_rows.join(groups, mark).where("doc_id > leader").select("doc_id", *mark, "leader").distinct(), "members", narrow=True)
+        unequal = stored(_unequal(members, docs), "unequal", narrow=True)
         same = members.join(unequal, "doc_id", "left_anti")
         settled = same if settled is None else settled.union(same)
         if unequal.isEmpty():

@@ -41,8 +41,8 @@ def components(edges: DataFrame) -> DataFrame:
     Loops and edges with a null end are ignored; nodes without another edge are not returned.
     """
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    edges = stored(edges.distinct(), "edges")
+    edges = stored(edges.distinct(), "edges", narrow=True)
     while not _settled(edges):
-        edges = stored(_small_star(_large_star(edges)), "edges")
+        edges = stored(_small_star(_large_star(edges)), "edges", narrow=True)
     centres = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(centres)

@@ -161,7 +161,7 @@ def _across(pairs: DataFrame, place: DataFrame, texts: DataFrame, width: int, pe
     ahead = F.struct("n", "c") < F.struct(F.col("m").alias("n"), F.col("d").alias("c"))
     sided = sized.select(F.when(ahead, F.col("c")).otherwise(F.col("d")).alias("probe"), F.when(ahead, F.col("d")).otherwise(F.col("c")).alias("stream"), F.least("n", "m").alias("n"), F.greatest("n", "m").alias("m"))
     deal = sided.groupBy("stream").agg(F.ceil(F.sum("n") / PROBES).alias("blocks"), F.ceil(F.max("m") / PART).alias("parts"))
-    deal = stored(deal, "deal")
+    deal = stored(deal, "deal", narrow=True)
     some = lambda n: f"pmod(xxhash64(doc_id), {n})"
     every = lambda n: f"explode(sequence(0L, {n} - 1))"
     order = ["stream", "block", "part", "member", "doc_id"]
@@ -182,7 +182,7 @@ def _merged(place: DataFrame, links: DataFrame) -> DataFrame:
     of = lambda end: place.select(F.col("doc_id").alias(end), F.col("c").alias(f"c_{end}"))
     edges = links.join(of("a"), "a").join(of("b"), "b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
     joined = components(edges).withColumnsRenamed({"node": "c", "component": "root"})
-    return stored(place.join(joined, "c", "left").select("doc_id", F.coalesce("root", "c").alias("c")), "place")
+    return stored(place.join(joined, "c", "left").select("doc_id", F.coalesce("root", "c").alias("c")), "place", narrow=True)
 
 
 def _open_pairs(members: DataFrame, place: DataFrame, with_largest: bool) -> DataFrame:
@@ -195,7 +195,7 @@ def _open_pairs(members: DataFrame, place: DataFrame, with_largest: bool) -> Dat
         largest = spans.join(size, "c").groupBy("key").agg(F.max_by("c", F.struct("n", -F.col("c"))).alias("d"))
         pairs = spans.join(largest, "key").where("c <> d")
     else:
-        spans = stored(spans, "spans")
+        spans = stored(spans, "spans", narrow=True)
         pairs = spans.join(spans.select("key", F.col("c").alias("d")), "key").where("c < d")
     return pairs.select(F.least("c", "d").alias("c"), F.greatest("c", "d").alias("d")).distinct()
 
@@ -215,26 +215,26 @@ def near_duplicates(
     # Equal sets: the smallest id of a class stands for it from here on.
     mark = ["mark1", "mark2", "n_shingles"]
     classes = known.groupBy(*mark).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    copies = stored(known.select("doc_id", *mark).join(classes, mark).where("doc_id > first").select(F.col("doc_id").alias("a"), F.col("first").alias("b")), "copies")
+    copies = stored(known.select("doc_id", *mark).join(classes, mark).where("doc_id > first").select(F.col("doc_id").alias("a"), F.col("first").alias("b")), "copies", narrow=True)
 
     bands = known.select("doc_id", F.explode("keys").alias("key"))
     shared = bands.groupBy("key").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last")).where("leader < last")
     alone = copies.select(F.col("a").alias("doc_id")).distinct()
-    shared = stored(shared.select("key", "leader"), "shared")
+    shared = stored(shared.select("key", "leader"), "shared", narrow=True)
     bands = sieve(shared.select("key"), bands, "key")
-    members = stored(bands.join(shared, "key").join(alone, "doc_id", "left_anti"), "members")
+    members = stored(bands.join(shared, "key").join(alone, "doc_id", "left_anti"), "members", narrow=True)
 
     # First the smallest id of the buckets that a document shares most of: one pair for each document at most.
     pairs = members.where("doc_id > leader").groupBy("doc_id", "leader").agg(F.count("*").alias("bands"))
     best = pairs.groupBy("doc_id").agg(F.max_by("leader", F.struct("bands", -F.col("leader"))).alias("leader"))
-    place = stored(members.select("doc_id", F.col("doc_id").alias("c")).distinct(), "place")
+    place = stored(members.select("doc_id", F.col("doc_id").alias("c")).distinct(), "place", narrow=True)
     texts = stored(sieve(place.select("doc_id"), docs, "doc_id"), "texts")
-    place = _merged(place, stored(_confirmed(best, texts, width, percent), "links"))
+    place = _merged(place, stored(_confirmed(best, texts, width, percent), "links", narrow=True))
 
     # Then buckets that still span several components: their largest one against the others, and what is left.
     for with_largest in (True, False):
-        pairs = stored(_open_pairs(members, place, with_largest), "pairs")
-        place = _merged(place, stored(_across(pairs, place, texts, width, percent), "links"))
+        pairs = stored(_open_pairs(members, place, with_largest), "pairs", narrow=True)
+        place = _merged(place, stored(_across(pairs, place, texts, width, percent), "links", narrow=True))
 
     placed = signed.select("doc_id", "n_shingles").join(copies.withColumnsRenamed({"a": "doc_id", "b": "first"}).groupBy("doc_id").agg(F.min("first").alias("first")), "doc_id", "left")
     placed = placed.withColumn("node", F.coalesce("first", "doc_id")).join(place.select(F.col("doc_id").alias("node"), "c"), "node", "left")

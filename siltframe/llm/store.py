@@ -34,8 +34,14 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` below ``spark.checkpoint.dir`` and read it again."""
+def stored(df: DataFrame, label: str, narrow: bool = False) -> DataFrame:
+    """Write ``df`` below ``spark.checkpoint.dir`` and read it again.
+
+    ``narrow`` tables, a few numbers in a row, are written by four tasks a core at most, each of which goes through
+    several partitions: many small files cost more than the rows in them.
+    """
+    if narrow:
+        df = df.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism)
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

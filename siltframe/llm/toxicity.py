@@ -117,12 +117,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
         labels.where("toxic in (0, 1) and doc_id is not null").where(fold(F.col("doc_id"), FOLDS) != HELD_OUT)
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     )
-    known = stored(known, "labelled")
+    known = stored(known, "labelled", narrow=True)
     share = known.agg(F.avg("toxic")).first()[0]
     place = F.xxhash64(F.lit("sample"), "doc_id")
     sample = [known.where(F.col("toxic") == c).orderBy(place, "doc_id").limit(sample_rows) for c in (0, 1)]
     part = F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(4)) == 0
-    sample = stored(sample[0].union(sample[1]).withColumn("curve", part), "sample")  # 2 x sample_rows rows at most
+    sample = stored(sample[0].union(sample[1]).withColumn("curve", part), "sample", narrow=True)  # 2 x sample_rows rows at most
     texts = docs.where("text is not null").join(F.broadcast(sample), "doc_id")
     counts = (
         texts.where("not curve").select("toxic", "text").mapInArrow(_counter(order), "slot int, ordinary long, toxic long")

@@ -75,17 +75,17 @@ def judged(pages: DataFrame, rules: list[tuple[str, str, str]], links: DataFrame
     prepare(pages.sparkSession)
     edges = stored(
         links.select(_key(F.col("src")).alias("src"), _key(F.col("dst")).alias("dst")).where("src <> dst")
-        .withColumns({"a": F.xxhash64("src"), "b": F.xxhash64("dst")}).distinct(), "links",
+        .withColumns({"a": F.xxhash64("src"), "b": F.xxhash64("dst")}).distinct(), "links", narrow=True,
     )
     nodes = edges.select(F.col("a").alias("node"), F.col("src").alias("url")).union(edges.select("b", "dst")).distinct()
     decided = nodes.withColumn("own", rule_of(host(F.col("url")), path(F.col("url")), rules)[1])
-    classes = stored(components(edges.select("a", "b")), "classes")
+    classes = stored(components(edges.select("a", "b")), "classes", narrow=True)
     found = (
         decided.join(classes, "node").groupBy("component")
-        .agg(F.max(F.col("own") == "allow").alias("allowed"), F.max(F.col("own") == "block").alias("blocked"))
+        .agg(F.max(F.col("own") == "allow").alias("allowed"), F.max(F.col("own") == "block").alias("blocked", narrow=True))
         .where("coalesce(blocked, false) and not coalesce(allowed, false)")
     )
-    blocked = stored(classes.join(found, "component").select("node").distinct(), "blocked")
+    blocked = stored(classes.join(found, "component").select("node").distinct(), "blocked", narrow=True)
     rows = pages.select("page_id", "url", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
     rows = rows.select("page_id", F.xxhash64(_key(F.col("url"))).alias("node"), "host", "path", name.alias("rule"), verdict.alias("own"))
