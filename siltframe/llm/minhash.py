@@ -8,8 +8,8 @@ similarity 0.8 shares no band with a chance of 2e-6.
 
 A shared band only proposes a pair: every link is confirmed on the full shingle sets. Within a bucket no pairs are
 spelled out. A document is first compared with the smallest id of the buckets it shares most of; where a bucket then
-still spans several components, members of the larger component stream past an index of the smaller ones, so no link
-between different texts that share a band is lost. Equal sets are found by fingerprint and never compared.
+still spans several components, its largest component streams past an index of the others, and these past each other, so
+no link between different texts that share a band is lost. Equal sets are found by fingerprint and never compared.
 
 Null and empty texts have no shingles and are linked with nothing. Rows that repeat a doc_id are taken for the same
 document. A null doc_id is linked with nothing and kept. Extra columns are ignored.
@@ -120,61 +120,84 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
 
 
 def _crosser(width: int, percent: int):
+    """Links between documents of different components; rows come by group, probes before members.
+
+    The probes of a group are indexed by shingle and its members pass them one after the other. A link makes two
+    components of the group one, so a group of n components gives n - 1 links at most.
+    """
+
     def cross(batches):
-        group, probes, index = None, [], None
+        group, probes, index, root = None, [], None, {}
+
+        def of(c):
+            while c in root:
+                c = root[c]
+            return c
+
         for batch in batches:
             w, out = words(batch.column("text")), []
-            stream, block, part, member, ids = (batch.column(c).to_pylist() for c in ("stream", "block", "part", "member", "doc_id"))
-            for i in range(batch.num_rows):
+            columns = (batch.column(c).to_pylist() for c in ("g1", "g2", "g3", "member", "doc_id", "c"))
+            for i, (g1, g2, g3, member, doc, c) in enumerate(zip(*columns)):
                 own = shingles(w.of(i), width)
-                if (stream[i], block[i], part[i]) != group:
-                    group, probes, index = (stream[i], block[i], part[i]), [], None
-                if not member[i]:
-                    probes.append((ids[i], own))
+                if (g1, g2, g3) != group:
+                    group, probes, index, root = (g1, g2, g3), [], None, {}
+                if not member:
+                    probes.append((doc, c, own))
                     continue
                 if index is None:
-                    flat = np.concatenate([x for _, x in probes]) if probes else np.zeros(0, _U)
-                    owner = np.repeat(np.arange(len(probes)), [len(x) for _, x in probes])
+                    flat = np.concatenate([x for *_, x in probes]) if probes else np.zeros(0, _U)
+                    sizes = np.array([len(x) for *_, x in probes], np.int64)
+                    owner = np.repeat(np.arange(len(probes)), sizes)
                     order = np.argsort(flat, kind="stable")
-                    index, owner, left = flat[order], owner[order], np.ones(len(probes), bool)
-                    sizes = np.array([len(x) for _, x in probes])
+                    index, owner = flat[order], owner[order]
                 lo, hi = np.searchsorted(index, own), np.searchsorted(index, own, "right")
                 n = hi - lo
                 at = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
                 common = np.bincount(owner[at], minlength=len(probes))
-                hit = left & (common > 0) & (100 * common >= percent * (sizes + len(own) - common))
-                out += [(probes[k][0], ids[i]) for k in np.flatnonzero(hit)]
-                left &= ~hit  # one link joins the components
+                for k in np.flatnonzero((common > 0) & (100 * common >= percent * (sizes + len(own) - common))):
+                    x, y = of(probes[k][1]), of(c)
+                    if x != y:
+                        root[x] = y
+                        out.append((probes[k][0], doc))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     return cross
 
 
-def _across(pairs: DataFrame, place: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links between the members of two components, for ``pairs`` of components (c, d); at least one where there are any.
+def _compared(roles: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links inside the groups of ``roles`` (g1, g2, g3, member, doc_id, c) between probes and members."""
+    order = ["g1", "g2", "g3", "member"]
+    rows = texts.join(roles.hint("merge"), "doc_id").select(*order, "doc_id", "c", "text")
+    return rows.repartition(*order[:3]).sortWithinPartitions(*order).mapInArrow(_crosser(width, percent), "a long, b long")
+
 
-    The members of the larger component stream past blocks of members of the smaller ones, which are indexed by
-    shingle; a large component is spread over parts.
+def _to_largest(rest: DataFrame, place: DataFrame) -> DataFrame:
+    """Roles that compare components c with the largest one d of a bucket: d streams past blocks of members of c.
+
+    A large component is spread over parts.
     """
     size = place.groupBy("c").agg(F.count("*").alias("n"))
-    sized = pairs.join(size, "c").join(size.select(F.col("c").alias("d"), F.col("n").alias("m")), "d")
-    ahead = F.struct("n", "c") < F.struct(F.col("m").alias("n"), F.col("d").alias("c"))
-    sided = sized.select(F.when(ahead, F.col("c")).otherwise(F.col("d")).alias("probe"), F.when(ahead, F.col("d")).otherwise(F.col("c")).alias("stream"), F.least("n", "m").alias("n"), F.greatest("n", "m").alias("m"))
-    deal = sided.groupBy("stream").agg(F.ceil(F.sum("n") / PROBES).alias("blocks"), F.ceil(F.max("m") / PART).alias("parts"))
+    pairs = rest.select("c", "d").distinct().join(size, "c")
+    deal = pairs.groupBy("d").agg(F.ceil(F.sum("n") / PROBES).alias("blocks"))
+    deal = deal.join(size.select(F.col("c").alias("d"), F.ceil(F.col("n") / PART).alias("parts")), "d")
     deal = stored(deal, "deal", narrow=True)
-    some = lambda n: f"pmod(xxhash64(doc_id), {n})"
-    every = lambda n: f"explode(sequence(0L, {n} - 1))"
-    order = ["stream", "block", "part", "member", "doc_id"]
-    probes = (
-        sided.select("probe", "stream").join(place.withColumnRenamed("c", "probe"), "probe").join(deal, "stream")
-        .select("stream", F.expr(some("blocks")).alias("block"), F.expr(every("parts")).alias("part"), F.lit(False).alias("member"), "doc_id")
-    )
-    streams = (
-        place.withColumnRenamed("c", "stream").join(deal, "stream")
-        .select("stream", F.expr(every("blocks")).alias("block"), F.expr(some("parts")).alias("part"), F.lit(True).alias("member"), "doc_id")
-    )
-    rows = texts.join(probes.union(streams).hint("merge"), "doc_id").select(*order, "text")
-    return rows.repartition("stream", "block", "part").sortWithinPartitions(*order[:4]).mapInArrow(_crosser(width, percent), "a long, b long")
+    some = lambda n: f"pmod(xxhash64(doc_id), {n}) AS "
+    every = lambda n: f"explode(sequence(0L, {n} - 1)) AS "
+    probes = pairs.select("c", "d").join(place, "c").join(deal, "d").selectExpr("d AS g1", some("blocks") + "g2", every("parts") + "g3", "false AS member", "doc_id", "c")
+    streams = place.withColumnRenamed("c", "d").join(deal, "d").selectExpr("d AS g1", every("blocks") + "g2", some("parts") + "g3", "true AS member", "doc_id", "d AS c")
+    return probes.union(streams)
+
+
+def _in_bucket(rest: DataFrame, place: DataFrame) -> DataFrame:
+    """Roles that compare what is outside of a bucket's largest component, where it spans several components.
+
+    A bucket of many documents is cut into blocks, and every two blocks meet in a group of their own.
+    """
+    rows = rest.select("key", "doc_id").join(place, "doc_id")
+    wide = rows.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.ceil(F.count("*") / PROBES).alias("blocks")).where("low < high")
+    rows = rows.join(wide.select("key", "blocks"), "key").selectExpr("key", "doc_id", "c", "pmod(xxhash64(doc_id), blocks) AS own", "explode(sequence(0L, blocks - 1)) AS other")
+    both = "explode(if(own = other, array(false, true), array(own > other))) AS member"
+    return rows.selectExpr("key AS g1", "least(own, other) AS g2", "greatest(own, other) AS g3", both, "doc_id", "c")
 
 
 def _merged(place: DataFrame, links: DataFrame) -> DataFrame:
@@ -185,21 +208,6 @@ def _merged(place: DataFrame, links: DataFrame) -> DataFrame:
     return stored(place.join(joined, "c", "left").select("doc_id", F.coalesce("root", "c").alias("c")), "place", narrow=True)
 
 
-def _open_pairs(members: DataFrame, place: DataFrame, with_largest: bool) -> DataFrame:
-    """Pairs (c, d) of components that share a bucket: each with the bucket's largest only, or all."""
-    spans = members.select("key", "doc_id").join(place, "doc_id").select("key", "c").distinct()
-    several = spans.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key")
-    spans = spans.join(several, "key")
-    if with_largest:
-        size = place.groupBy("c").agg(F.count("*").alias("n"))
-        largest = spans.join(size, "c").groupBy("key").agg(F.max_by("c", F.struct("n", -F.col("c"))).alias("d"))
-        pairs = spans.join(largest, "key").where("c <> d")
-    else:
-        spans = stored(spans, "spans", narrow=True)
-        pairs = spans.join(spans.select("key", F.col("c").alias("d")), "key").where("c < d")
-    return pairs.select(F.least("c", "d").alias("c"), F.greatest("c", "d").alias("d")).distinct()
-
-
 def near_duplicates(
     docs: DataFrame, width: int = WIDTH, percent: int = 80, permutations: int = PERMUTATIONS, rows: int = ROWS
 ) -> DataFrame:
@@ -231,10 +239,13 @@ def near_duplicates(
     texts = stored(sieve(place.select("doc_id"), docs, "doc_id"), "texts")
     place = _merged(place, stored(_confirmed(best, texts, width, percent), "links", narrow=True))
 
-    # Then buckets that still span several components: their largest one against the others, and what is left.
-    for with_largest in (True, False):
-        pairs = stored(_open_pairs(members, place, with_largest), "pairs", narrow=True)
-        place = _merged(place, stored(_across(pairs, place, texts, width, percent), "links", narrow=True))
+    # Then buckets that still span several components: the largest one against the others, and these among each other.
+    spans = members.select("key", "doc_id").join(place, "doc_id")
+    size = place.groupBy("c").agg(F.count("*").alias("n"))
+    largest = spans.join(size, "c").groupBy("key").agg(F.max_by("c", F.struct("n", -F.col("c"))).alias("d"), F.min("c").alias("low"), F.max("c").alias("high"))
+    rest = stored(spans.join(largest.where("low < high").select("key", "d"), "key").where("c <> d"), "rest", narrow=True)
+    place = _merged(place, stored(_compared(_to_largest(rest, place), texts, width, percent), "links", narrow=True))
+    place = _merged(place, stored(_compared(_in_bucket(rest, place), texts, width, percent), "links", narrow=True))
 
     placed = signed.select("doc_id", "n_shingles").join(copies.withColumnsRenamed({"a": "doc_id", "b": "first"}).groupBy("doc_id").agg(F.min("first").alias("first")), "doc_id", "left")
     placed = placed.withColumn("node", F.coalesce("first", "doc_id")).join(place.select(F.col("doc_id").alias("node"), "c"), "node", "left")
