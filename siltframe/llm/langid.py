@@ -25,7 +25,7 @@ from .store import fold, prepare
 from .symbols import grams
 
 BUCKETS = 4096
-SAMPLE_ROWS = 600
+SAMPLE_ROWS = 300
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
 
