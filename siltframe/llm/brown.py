@@ -3,14 +3,17 @@
 Tokens are the words of a text and one end. Counts of all tokens come from all training rows. The UNITS - GROUPS - 1
 most frequent words are units of their own; all other words are grouped into GROUPS units by their last bytes. Exchange
 clustering moves one unit after the other into the class that raises the likelihood of the class bigrams most, until
-nothing moves. A token has the probability
+nothing moves. That seeds the classes. In each of ROUNDS rounds, the neighbours of every training word are then counted
+by class over all training rows, and every word but the most frequent ones, which stay where they are, goes to the class
+that raises the likelihood most by itself. As words go at the same time, a round that lowers the likelihood is undone
+and is the last. Words without training rows have the class of their last bytes. A token has the probability
 
     LAMBDA * P(class | class before) * (c + 1) / (N_class + V_class + 1)  +  (1 - LAMBDA) * (c + 1) / (N + V + 1)
 
 with its count c, and the tokens N and distinct tokens V of the class and of all training rows; class transitions are
 smoothed by class frequencies. As c + 1 is a factor of both terms, the sum of log10(c + 1) is shared with the add-one
-unigram score, and only the rest depends on the context. Up to HEAD words are looked up in a table sent to the tasks;
-all others are joined.
+unigram score, and only the rest depends on the context. Counts and classes of up to HEAD words are looked up in a table
+sent to the tasks; those of all others are joined.
 
 Null text is empty: one end. Every row is scored on its own, repeated or not. Null ids are trained on and scored. Extra
 columns are ignored. Without training rows every token has probability 1 / 1.
@@ -28,6 +31,8 @@ from .words import Words, mix, words
 
 UNITS, GROUPS, CLASSES = 1024, 511, 48
 HEAD = 1 << 20
+#: Rounds in which all words choose their class.
+ROUNDS = 2
 LAMBDA = 0.95
 #: Weight of the class frequencies in a transition, in tokens.
 PRIOR = 20.0
@@ -157,20 +162,355 @@ def exchange(pairs: np.ndarray, classes: int, rounds: int = 30) -> np.ndarray:
     return of
 
 
+def best_classes(table: np.ndarray, own: np.ndarray, bound: np.ndarray, code: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """For every word the class that raises the likelihood most, all other words staying where they are.
+
+    ``table`` counts class bigrams with the words in their classes ``own``. Word i has the neighbours
+    ``bound[i]:bound[i + 1]``: ``n`` times one of class ``code`` after it, of class ``code`` - classes before it, or, with
+    the last code, itself. Codes of a word are distinct.
+    """
+    k, m = len(table), len(own)
+    word, i = np.repeat(np.arange(m), np.diff(bound)), np.arange(m)
+    dense = np.zeros((m, 2 * k + 1))
+    dense[word, code] = n
+    after, before, same = dense[:, :k], dense[:, k : 2 * k], dense[:, 2 * k]
+    raised = np.zeros((len(code), k))
+    for side, cells, others in ((code < k, table.T, before), ((code >= k) & (code < 2 * k), table, after)):
+        w, x, j = word[side], n[side].astype(float), code[side] % k
+        rest = cells[j].copy()  # cells of the neighbours' class with every class, less those of the word itself
+        rest[np.arange(len(w)), own[w]] -= x
+        both = np.flatnonzero(j == own[w])
+        rest[both] -= others[w[both]]
+        rest[both, own[w[both]]] -= same[w[both]]
+        raised[side] = _xlogx(rest + x[:, None]) - _xlogx(rest)
+    gain = np.add.reduceat(raised, bound[:-1], axis=0)
+    corner = np.tile(np.diag(table), (m, 1))
+    corner[i, own] -= after[i, own] + before[i, own] + same
+    gain += _xlogx(corner + after + before + same[:, None]) - _xlogx(corner + after) - _xlogx(corner + before) + _xlogx(corner)
+    for sums, side in ((table.sum(1), after), (table.sum(0), before)):
+        tokens = side.sum(1) + same
+        rest = np.tile(sums, (m, 1))
+        rest[i, own] -= tokens
+        gain -= _xlogx(rest + tokens[:, None]) - _xlogx(rest)
+    best = gain.argmax(1)
+    return np.where(gain[i, best] > gain[i, own] + 1e-9, best, own)
+
+
+def likelihood(table: np.ndarray) -> float:
+    return float(_xlogx(table).sum() - _xlogx(table.sum(0)).sum() - _xlogx(table.sum(1)).sum())
+
+
+def _places_in(head: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Places of words in the sorted ``head``, -1 for others."""
+    if not len(head):
+        return np.full(len(number), -1)
+    at = np.minimum(np.searchsorted(head, number), len(head) - 1)
+    return np.where(head[at] == number, at, -1)
+
+
+def classes_of(w: Words, m: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Class of every word, and its place in the head; words outside of the head have the class of their last bytes."""
+    place = _places_in(m["head"], w.number)
+    far = place < 0
+    of = np.zeros(len(place), np.int64) if far.all() else m["classes"][place]
+    if far.any():
+        of[far] = m["group"][endings(w._replace(start=w.start[far], end=w.end[far]))]
+    return of, place
+
+
+#: A kind of neighbour of a word, and how often.
+ENTRY = np.dtype([("code", "<u2"), ("n", "<u4")])
+#: Rows of a shuffled table that a task looks at together.
+ROWS = 1 << 14
+
+
+def _packed(word: np.ndarray, bound: np.ndarray, code: np.ndarray, n: np.ndarray):
+    """Batches (word, kinds) of the entries ``bound[i]:bound[i + 1]`` of every word."""
+    entries = np.empty(len(code), ENTRY)
+    entries["code"], entries["n"] = code, n
+    for at in range(0, len(word), 1 << 15):
+        part = bound[at : at + (1 << 15) + 1]
+        offsets = ((part - part[0]) * ENTRY.itemsize).astype(np.int32)
+        kinds = pa.Array.from_buffers(pa.binary(), len(part) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(entries[part[0] : part[-1]].tobytes())])
+        yield pa.RecordBatch.from_arrays([pa.array(word[at : at + (1 << 15)]), kinds], ["word", "kinds"])
+
+
+def _pairs_of(batch, m: dict):
+    """Number, class and place in the head of the first and the second word of all pairs of neighbours; an end has the last place."""
+    w = words(batch.column("text"))
+    of, place = classes_of(w, m)
+    number = np.insert(w.number, w.bound[1:], _U(END)).view(np.int64)
+    of, place = np.insert(of, w.bound[1:], m["end_class"]), np.insert(place, w.bound[1:], len(m["head"]))
+    second = number, of, place
+    first = tuple(np.concatenate(([x], y[:-1])) for x, y in zip((END, m["end_class"], len(m["head"])), second))
+    return first, second
+
+
+def _near(model):
+    """Neighbours of the words in the head, and of ends, that are in it too: (word, kinds)."""
+
+    def count(batches):
+        m = model.value
+        k, names, held, n_held = m["k"], np.append(m["head"], _U(END)).view(np.int64), [], 0
+        width = 2 * k + 1
+
+        def merged():
+            keys, n = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
+            order = np.argsort(keys, kind="stable")
+            keys, n = keys[order], n[order]
+            first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+            return keys[first], np.add.reduceat(n, first)
+
+        def rows(keys, n):
+            place = keys // width
+            first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+            return _packed(names[place[first]], np.append(first, len(keys)), keys % width, n)
+
+        for batch in batches:
+            (_, class_a, a), (_, class_b, b) = _pairs_of(batch, m)
+            near = (a >= 0) & (b >= 0)
+            a, b, class_a, class_b = a[near], b[near], class_a[near], class_b[near]
+            if not len(a):
+                continue
+            same = a == b
+            keys = np.concatenate((a[~same] * width + class_b[~same], b[~same] * width + k + class_a[~same], a[same] * width + 2 * k))
+            keys = np.sort(keys)
+            first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+            held.append((keys[first], np.diff(np.append(first, len(keys)))))
+            n_held += len(first)
+            if n_held > 2 * HOLD:
+                keys, n = merged()
+                held, n_held = [(keys, n)], len(keys)
+                if n_held > HOLD:
+                    yield from rows(keys, n)
+                    held, n_held = [], 0
+        if held:
+            yield from rows(*merged())
+
+    return count
+
+
+def _far_pairs(model):
+    """Pairs of neighbours with a word outside of the head: numbers and places."""
+
+    def found(batches):
+        m = model.value
+        for batch in batches:
+            (first, _, a), (second, _, b) = _pairs_of(batch, m)
+            far = np.flatnonzero((a < 0) | (b < 0))
+            for at in range(0, len(far), 1 << 15):
+                part = far[at : at + (1 << 15)]
+                columns = [pa.array(first[part]), pa.array(second[part]), pa.array(a[part].astype(np.int32)), pa.array(b[part].astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, ["a", "b", "place_a", "place_b"])
+
+    return found
+
+
+def _classes(batch, m: dict) -> list[np.ndarray]:
+    """Classes of the first and the second word of joined pairs."""
+    of, out = np.append(m["classes"], m["end_class"]), []
+    for side in "ab":
+        place = batch.column(f"place_{side}").to_numpy()
+        out.append(np.where(place >= 0, of[place], batch.column(f"class_{side}").to_numpy()))
+    return out
+
+
+def _far_kinds(model):
+    """(word, kinds) of both words of the joined pairs."""
+
+    def kinds(batches):
+        m = model.value
+        k = m["k"]
+        for batch in batches:
+            a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
+            class_a, class_b = _classes(batch, m)
+            same = a == b
+            word = np.concatenate((a, b[~same]))
+            code = np.concatenate((np.where(same, 2 * k, class_b), k + class_a[~same]))
+            yield from _packed(word, np.arange(len(word) + 1), code, np.ones(len(word)))
+
+    return kinds
+
+
+def _own_kinds(k: int):
+    """The class of a word, as if it were the count of one more kind."""
+
+    def kinds(batches):
+        for batch in batches:
+            word = batch.column("word").to_numpy()
+            yield from _packed(word, np.arange(len(word) + 1), np.full(len(word), 2 * k + 1), batch.column("class").to_numpy())
+
+    return kinds
+
+
+def _table(model, joined: bool):
+    """Class bigrams: of pairs in the head from texts, of others from joined pairs."""
+
+    def count(batches):
+        m = model.value
+        k = m["k"]
+        total = np.zeros(k * k, np.int64)
+        for batch in batches:
+            if joined:
+                a, b = _classes(batch, m)
+            else:
+                (_, a, place_a), (_, b, place_b) = _pairs_of(batch, m)
+                near = (place_a >= 0) & (place_b >= 0)
+                a, b = a[near], b[near]
+            total += np.bincount(a * k + b, minlength=k * k)
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(total[found])], ["slot", "n"])
+
+    return count
+
+
+def _choose(model):
+    """Classes of words from their kinds of neighbours, sorted by word."""
+
+    def choose(batches):
+        m = model.value
+        k = m["k"]
+        width = 2 * k + 2
+
+        def chosen(word, size, entries):
+            first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+            of = np.repeat(np.repeat(np.arange(len(first)), np.diff(np.append(first, len(word)))), size)
+            keys, at = np.unique(of * width + entries["code"], return_inverse=True)
+            n = np.bincount(at, entries["n"]).astype(np.int64)
+            word, of, code = word[first].view(_U), keys // width, keys % width
+            place = _places_in(m["head"], word)
+            own = m["classes"][place].copy() if len(m["head"]) else np.zeros(len(word), np.int64)
+            own[of[code == width - 1]] = n[code == width - 1]
+            own[word == END] = m["end_class"]
+            of, n, code = of[code < width - 1], n[code < width - 1], code[code < width - 1]
+            new = best_classes(m["table"], own, np.searchsorted(of, np.arange(len(word) + 1)), code, n)
+            new = np.where((_places_in(m["frequent"], word) >= 0) | (word == END), own, new)
+            return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(place.astype(np.int32)), pa.array(new.astype(np.int32))], ["word", "place", "class"])
+
+        held, n_held = [], 0
+        for batch in batches:
+            column = batch.column("kinds")
+            _, offsets, data = column.buffers()
+            offsets = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
+            if not len(column):
+                continue
+            entries = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view(ENTRY)
+            held.append((batch.column("word").to_numpy(), np.diff(offsets) // ENTRY.itemsize, entries))
+            n_held += len(column)
+            if n_held >= ROWS:
+                word, size, entries = (np.concatenate(x) for x in zip(*held))
+                cut = int(np.searchsorted(word, word[-1]))  # the last word may go on
+                if cut:
+                    at = int(size[:cut].sum())
+                    yield chosen(word[:cut], size[:cut], entries[:at])
+                    word, size, entries = word[cut:], size[cut:], entries[at:]
+                held, n_held = [(word, size, entries)], len(word)
+        if held:
+            yield chosen(*(np.concatenate(x) for x in zip(*held)))
+
+    return choose
+
+
+def _joined(pairs: DataFrame, far: DataFrame) -> DataFrame:
+    """Pairs with the classes of the words outside of the head, which are rare; all others are not joined by."""
+    a, b = (far.select(F.col("word").alias(x), F.col("class").alias(f"class_{x}")) for x in "ab")
+    sides = ["a", "b", "place_a", "place_b", "class_a", "class_b"]
+    first = pairs.where("place_a < 0 and place_b >= 0").join(a, "a").withColumn("class_b", F.lit(-1))
+    second = pairs.where("place_a >= 0 and place_b < 0").join(b, "b").withColumn("class_a", F.lit(-1))
+    both = pairs.where("place_a < 0 and place_b < 0").join(a, "a").join(b, "b")
+    return first.select(*sides).union(second.select(*sides)).union(both.select(*sides))
+
+
+def cluster(train: DataFrame, model: dict, far: DataFrame | None, rounds: int = ROUNDS):
+    """The model with the classes of all words, the classes (word, class) of those outside of the head, and their bigrams.
+
+    ``model`` has the first classes of the words in the head, ``far`` those of all others, if there are any.
+    """
+    spark, k, kept = train.sparkSession, model["k"], None
+    if far is not None:
+        pairs = stored(train.mapInArrow(_far_pairs(spark.sparkContext.broadcast(model)), "a long, b long, place_a int, place_b int"), "pairs")
+    for at in range(rounds + 1):
+        shipped = spark.sparkContext.broadcast(model)
+        sums = train.mapInArrow(_table(shipped, False), "slot int, n long")
+        if far is not None:
+            joined = stored(_joined(pairs, far), "joined")
+            sums = sums.union(joined.mapInArrow(_table(shipped, True), "slot int, n long"))
+        sums = sums.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+        table = np.zeros(k * k)
+        table[sums["slot"].to_numpy()] = sums["n"].to_numpy()
+        table = table.reshape(k, k)
+        if kept is not None and likelihood(table) <= likelihood(kept[2]):
+            break
+        kept = model, far, table
+        if at == rounds:
+            break
+        shipped = spark.sparkContext.broadcast(model | {"table": table})
+        kinds = train.mapInArrow(_near(shipped), "word long, kinds binary")
+        if far is not None:
+            kinds = kinds.union(joined.mapInArrow(_far_kinds(shipped), "word long, kinds binary")).union(far.mapInArrow(_own_kinds(k), "word long, kinds binary"))
+        sorted_ = kinds.repartition("word").sortWithinPartitions("word")
+        chosen = stored(sorted_.mapInArrow(_choose(shipped), "word long, place int, class int"), "chosen")
+        top = chosen.where("place >= 0").select("place", "class").toArrow()  # the head at most
+        classes = model["classes"].copy()
+        classes[top["place"].to_numpy()] = top["class"].to_numpy()
+        model = model | {"classes": classes}
+        if far is not None:
+            far = chosen.where((F.col("place") < 0) & (F.col("word") != END)).select("word", "class")
+    model, far, table = kept
+    types = np.bincount(model["classes"], minlength=k).astype(float)
+    for row in [] if far is None else far.groupBy("class").count().collect():
+        types[row["class"]] += row["count"]
+    types[model["end_class"]] += float(table.sum() > 0)
+    return model, far, table, types
+
+
+def _joined_context(model):
+    """What the context of pairs gains by the joined classes."""
+
+    def gain(batches):
+        c = model.value["context"]
+        for batch in batches:
+            a, b, new_a, new_b, times = (batch.column(x).to_numpy() for x in ("ca", "cb", "new_a", "new_b", "times"))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array((c[new_a, new_b] - c[a, b]) * times)], ["row", "gain"])
+
+    return gain
+
+
+def _open_pairs(w: Words, of: np.ndarray, place: np.ndarray, m: dict) -> pa.ListArray:
+    """By text the pairs of neighbours with a word outside of the head; ``a`` and ``b`` are null inside of it."""
+    size = len(m["head"])
+    number = np.insert(w.number, w.bound[1:], _U(END)).view(np.int64)
+    of, place = np.insert(of, w.bound[1:], m["end_class"]), np.insert(place, w.bound[1:], size)
+    text = np.repeat(np.arange(len(w.bound) - 1), np.diff(w.bound) + 1)
+    last = [np.concatenate(([x], y[:-1])) for x, y in ((END, number), (m["end_class"], of), (size, place))]
+    open_ = (place < 0) | (last[2] < 0)
+    if not m["far"] or not open_.any():
+        table, times = np.zeros((0, 7), np.int64), np.zeros(0, np.int64)
+    else:
+        table = np.stack([x[open_] for x in (text, last[0], number, last[1], of, (last[2] >= 0).astype(np.int64), (place >= 0).astype(np.int64))], 1)
+        table, times = np.unique(table, axis=0, return_counts=True)
+    flat = pa.StructArray.from_arrays(
+        [
+            pa.array(table[:, 1], mask=table[:, 5] > 0), pa.array(table[:, 2], mask=table[:, 6] > 0),
+            pa.array(table[:, 3].astype(np.int32)), pa.array(table[:, 4].astype(np.int32)), pa.array(times.astype(np.int64)),
+        ],
+        ["a", "b", "ca", "cb", "times"],
+    )
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(table[:, 0], np.arange(len(w.bound))).astype(np.int32)), flat)
+
+
 def _scorer(model):
     def score(batches):
         m = model.value
         end_log = float(np.log10(m["end"] + 1))
         for batch in batches:
             w = words(batch.column("text"))
-            row, after = units_of(w, m["frequent"])
-            row = m["of"][row]
-            context = np.concatenate(([0.0], np.cumsum(m["context"][np.concatenate((m["of"][:1], row[:-1])), row])))
+            of, place = classes_of(w, m)
+            row, after = np.insert(of, w.bound[1:], m["end_class"]), w.bound[1:] + np.arange(1, len(w.bound))
+            context = np.concatenate(([0.0], np.cumsum(m["context"][np.concatenate(([m["end_class"]], row[:-1])), row])))
             edge = np.concatenate(([0], after))
-            head, logs = m["head"], m["logs"]
-            at = np.minimum(np.searchsorted(head, w.number), max(len(head) - 1, 0))
-            known = head[at] == w.number if len(head) else np.zeros(len(w.number), bool)
-            gain = np.concatenate(([0.0], np.cumsum(np.where(known, logs[at] if len(head) else 0.0, 0.0))))
+            logs, known = m["logs"], place >= 0
+            gain = np.concatenate(([0.0], np.cumsum(np.where(known, logs[place] if len(logs) else 0.0, 0.0))))
             seen = np.concatenate(([0], np.cumsum(known)))
             tails = [np.unique(w.number[a:b][~known[a:b]], return_counts=True) for a, b in zip(w.bound, w.bound[1:])]
             places = pa.array(np.concatenate(([0], np.cumsum([len(t[0]) for t in tails]))).astype(np.int32))
@@ -184,8 +524,9 @@ def _scorer(model):
                 pa.array(context[edge[1:]] - context[edge[:-1]]),
                 pa.ListArray.from_arrays(places, pa.array(flat[0], pa.int64())),
                 pa.ListArray.from_arrays(places, pa.array(flat[1], pa.int64())),
+                _open_pairs(w, of, place, m),
             ]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_tokens", "n_known", "logs", "context", "words", "times"])
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_tokens", "n_known", "logs", "context", "words", "times", "open"])
 
     return score
 
@@ -218,37 +559,51 @@ def scores(docs: DataFrame, classes: int = CLASSES, head: int = HEAD) -> DataFra
     table = table.reshape(UNITS, UNITS)
     of = exchange(table, classes)
 
-    # Tokens and distinct tokens of each unit, then of each class.
-    tokens, types = np.zeros(UNITS), np.zeros(UNITS)
-    tokens[0], types[0] = end, float(end > 0)
-    for group, n_group, v_group in counts.where(F.col("ending") >= 0).groupBy("ending").agg(F.sum("n"), F.count("*")).collect():
-        tokens[UNITS - GROUPS + group], types[UNITS - GROUPS + group] = n_group, v_group
     by_word = np.argsort(word.view(_U), kind="stable")
-    at = by_word[np.searchsorted(word.view(_U)[by_word], frequent)] if len(frequent) else np.zeros(0, int)
-    for unit, k in enumerate(at, 1):
-        tokens[unit], types[unit] = n[k], 1
-        tokens[UNITS - GROUPS + ending[k]] -= n[k]
-        types[UNITS - GROUPS + ending[k]] -= 1
-    one = np.eye(classes)[of]
-    class_tokens, class_types, moves = one.T @ tokens, one.T @ types, one.T @ table @ one
-    overall = moves.sum(0) / max(moves.sum(), 1)
+    by_word = by_word[real[by_word]]
+    group = of[UNITS - GROUPS :]
+    first = group[ending[by_word]]
+    known = word.view(_U)[by_word]
+    first[np.searchsorted(known, frequent)] = of[1 : len(frequent) + 1]
+    model = {"k": classes, "head": known, "classes": first, "group": group, "end_class": int(of[0]), "frequent": frequent}
+    far = None
+    if distinct > len(word):
+        own = F.get(F.array(*(F.lit(int(x)) for x in group)), F.col("ending"))
+        far = counts.where((F.col("n") < cut) & (F.col("ending") >= 0)).select("word", own.cast("int").alias("class"))
+    model, far, moves, class_types = cluster(train, model, far)
+
+    class_tokens = moves.sum(0)  # every token is the second of one pair
+    overall = class_tokens / max(moves.sum(), 1)
     step = (moves + PRIOR * overall) / (moves.sum(1, keepdims=True) + PRIOR)
     context = np.log10(LAMBDA * step / (class_tokens + class_types + 1) + (1 - LAMBDA) / (total + distinct + 1))
-    by_word = by_word[real[by_word]]
-    model = spark.sparkContext.broadcast(
-        {"frequent": frequent, "of": of.astype(np.int32), "context": context, "end": end, "head": word.view(_U)[by_word], "logs": np.log10(n[by_word] + 1.0)}
-    )
+    model |= {"context": context, "end": end, "logs": np.log10(n[by_word] + 1.0), "far": far is not None}
+    model = spark.sparkContext.broadcast(model)
 
-    schema = "doc_id long, n_tokens long, n_known long, logs double, context double, words array<long>, times array<long>"
+    schema = "doc_id long, n_tokens long, n_known long, logs double, context double, words array<long>, times array<long>, "
+    schema += "open array<struct<a: long, b: long, ca: int, cb: int, times: long>>"
     scored = stored(docs.mapInArrow(_scorer(model), schema).withColumn("row", F.monotonically_increasing_id()), "scored")
     tail = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("t")).select("row", "t.words", "t.times")
     rare = (
         tail.join(counts.where(F.col("n") < cut).select(F.col("word").alias("words"), "n"), "words").groupBy("row")
         .agg(F.sum("times").alias("known"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more"))
     )
+    context = F.col("context")
+    scored_rows = scored.drop("words", "times", "open").join(rare, "row", "left")
+    if far is not None:
+        pairs = scored.select("row", F.explode("open").alias("p")).select("row", "p.*")
+        alone = pairs.where("a is null or b is null").withColumn("word", F.coalesce("a", "b")).join(far, "word")
+        alone = alone.select("row", "ca", "cb", F.when(F.col("a").isNull(), F.col("ca")).otherwise(F.col("class")).alias("new_a"),
+                             F.when(F.col("b").isNull(), F.col("cb")).otherwise(F.col("class")).alias("new_b"), "times")
+        both = pairs.where("a is not null and b is not null")
+        for side in "ab":
+            both = both.join(far.select(F.col("word").alias(side), F.col("class").alias(f"new_{side}")), side, "left")
+        both = both.select("row", "ca", "cb", F.coalesce("new_a", "ca").alias("new_a"), F.coalesce("new_b", "cb").alias("new_b"), "times")
+        gains = alone.union(both).mapInArrow(_joined_context(model), "row long, gain double").groupBy("row").agg(F.sum("gain").alias("gain"))
+        scored_rows = scored_rows.join(gains, "row", "left")
+        context = context + F.coalesce("gain", F.lit(0.0))
     logs = F.col("logs") + F.coalesce("more", F.lit(0.0))
-    return scored.drop("words", "times").join(rare, "row", "left").select(
+    return scored_rows.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(int(total)).cast("long").alias("train_tokens"),
-        (logs - F.col("n_tokens") * F.lit(float(np.log10(total + distinct + 1)))).alias("base_score"), (logs + F.col("context")).alias("score"),
+        (logs - F.col("n_tokens") * F.lit(float(np.log10(total + distinct + 1)))).alias("base_score"), (logs + context).alias("score"),
     )

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_samples import LONG, docs  # noqa: F401
@@ -61,3 +62,54 @@ def test_exchange_never_lowers_the_likelihood():
     start[np.argsort(-(pairs.sum(0) + pairs.sum(1)), kind="stable")] = np.arange(40) % 2
     assert likelihood(of, 2) >= likelihood(start, 2)
     assert len(set(of[:20])) == 1 == len(set(of[20:])) and of[0] != of[39]
+
+
+def test_best_class_equals_brute_force():
+    chance, classes = np.random.default_rng(3), 4
+    pairs = chance.poisson(0.8, (12, 12)).astype(float)
+    of = chance.integers(0, classes, 12)
+
+    def table_of(of):
+        one = np.eye(classes)[of]
+        return one.T @ pairs @ one
+
+    bound, code, n = [0], [], []
+    for u in range(12):
+        off = np.arange(12) != u
+        after, before = (np.bincount(of[off], x[off], classes) for x in (pairs[u], pairs[:, u]))
+        row = np.concatenate((after, before, pairs[u, u : u + 1]))
+        code += list(np.flatnonzero(row))
+        n += list(row[row > 0])
+        bound.append(len(code))
+    got = brown.best_classes(table_of(of), of, np.array(bound), np.array(code), np.array(n))
+    for u in range(12):
+        ways = [brown.likelihood(table_of(np.where(np.arange(12) == u, k, of))) for k in range(classes)]
+        assert math.isclose(ways[got[u]], max(ways), rel_tol=1e-12)
+
+
+@pytest.mark.parametrize("head", [1 << 20, 10])
+def test_rare_words_get_the_class_of_their_neighbours(docs, monkeypatch, head):
+    # Few words are units of their own; endings say nothing about the two kinds of words.
+    monkeypatch.setattr(brown, "UNITS", 16)
+    monkeypatch.setattr(brown, "GROUPS", 7)
+    chance = random.Random(5)
+    left, right = ([f"{c}{i:03d}" for i in range(60)] for c in "lr")
+    texts = []
+    for _ in range(400):
+        words = []
+        for _ in range(12):
+            words += [chance.choice("the a one".split()), chance.choice(left), chance.choice("and or but".split()), chance.choice(right)]
+        texts.append(" ".join(words))
+    kept, cluster = [], brown.cluster
+    monkeypatch.setattr(brown, "cluster", lambda *a, **b: kept.append(cluster(*a, **b)) or kept[-1])
+    probe = [" ".join(f"the {a} and {b}" for a, b in pairs) for pairs in (zip(left, right), zip(right, left))]
+    rows = {r["doc_id"]: r for r in brown.scores(docs(*texts, *probe, ids=[*range(400), 1002, 1002 + 1]), classes=8, head=head).collect()}
+    model, far, moves, _ = kept[0]
+    of = dict(zip(model["head"].tolist(), model["classes"].tolist()))
+    of |= {r["word"] % (1 << 64): r["class"] for r in (far.collect() if far is not None else [])}
+    sides = [[of[x] for x in brown.words(pa.array([" ".join(side)])).number.tolist()] for side in (left, right)]
+    common = [Counter(side).most_common(1)[0] for side in sides]
+    assert common[0][0] != common[1][0] and not set(sides[0]) & set(sides[1])
+    assert rows[1002]["n_tokens"] == rows[1003]["n_tokens"] and rows[1002]["score"] > rows[1003]["score"]
+    tokens = sum(len(t.split()) + 1 for i, t in [*enumerate(texts), *enumerate(probe, 1002)] if not held_out(i))
+    assert moves.sum() == tokens == rows[0]["train_tokens"]
