@@ -5,7 +5,9 @@ are typed placeholders; every placeholder stands for exactly one word. The canon
 cut into windows of WINDOW words, whose hashes are joined. Where enough windows of an item are found in a document, the
 slots behind the placeholders are compared along each alignment: a value of the item must stand for one and the same
 value of the document throughout, else that alignment does not count. A document holds an item when the windows of
-consistent alignments make up at least ``threshold`` of the item's. Everything is DataFrame expressions.
+consistent alignments make up at least ``threshold`` of the item's. All this is done twice: at the start of a text or a
+sentence, behind a quote, a bracket or a line break, a capitalised word may be a name or not, so it is a word in the
+first form and a placeholder in the second, and either form suffices. Everything is DataFrame expressions.
 
 Texts of fewer words are one window as a whole, which only the same whole text can match. Null and empty texts hold and
 match nothing. Rows that share a doc_id (or an item_id) are one document (or item); null doc_ids too are one. Null
@@ -29,11 +31,13 @@ UNITS = (
 _NUMBER = r"\d+(?:[.,:]\d+)*"
 _UNIT = r"(?i)(?<=§n ?)(?:" + "|".join(sorted(set(UNITS.split()), key=lambda u: (-len(u), u))) + r")(?![\p{L}\p{N}])"
 _NAME = r"(?<=[\p{Ll}\p{N},;] )\p{Lu}\p{Ll}+"
+#: Any capitalised word, wherever it stands.
+_CAPITALISED = r"(?<![\p{L}\p{N}§])\p{Lu}\p{Ll}+"
 _NOISE = r"[^\p{L}\p{N}§\s]+"
 
 
-def canonical(text: Column) -> Column:
-    marked = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, _NUMBER, "§n"), _UNIT, "§u"), _NAME, "§p")
+def canonical(text: Column, name: str = _NAME) -> Column:
+    marked = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, _NUMBER, "§n"), _UNIT, "§u"), name, "§p")
     return F.lower(F.regexp_replace(marked, _NOISE, ""))
 
 
@@ -63,7 +67,15 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, width
     prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
     items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null")
-    form = lambda rows, key: rows.select(key, _words(canonical(F.col("text"))).alias("words"))
+    forms = [_leaks(docs, items, threshold, width, name).withColumn("form", F.lit(k)) for k, name in enumerate((_NAME, _CAPITALISED))]
+    columns = ["n_windows", "n_found", "containment", "changed"]
+    best = F.min_by(F.struct(*columns), "form").alias("best")  # the first form where both find the item
+    return forms[0].union(forms[1]).groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", *(f"best.{c}" for c in columns))
+
+
+def _leaks(docs: DataFrame, items: DataFrame, threshold: float, width: int, name: str) -> DataFrame:
+    """What ``leaks`` returns, by the canonical form in which ``name`` finds the names."""
+    form = lambda rows, key: rows.select(key, _words(canonical(F.col("text"), name)).alias("words"))
 
     own = stored(windows(form(items, "item_id"), ["item_id"], width).distinct(), "windows", narrow=True)
     size = own.groupBy("item_id").agg(F.count_distinct("at").alias("n_windows"))
@@ -83,7 +95,7 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, width
     wanted_items, wanted_docs = likely.select("item_id").distinct(), likely.select("doc_id").distinct()
     slots = (
         items.join(wanted_items, "item_id", "left_semi")
-        .select("item_id", F.posexplode(F.arrays_zip(_words(canonical(F.col("text"))).alias("sign"), _words(plain(F.col("text"))).alias("value"))).alias("word", "s"))
+        .select("item_id", F.posexplode(F.arrays_zip(_words(canonical(F.col("text"), name)).alias("sign"), _words(plain(F.col("text"))).alias("value"))).alias("word", "s"))
         .where(F.col("s.sign").contains("§")).select("item_id", "word", F.col("s.value").alias("mine")).distinct()
     )
     asked = spread.join(slots, ["item_id", "word"]).select("doc_id", "item_id", "shift", "mine", (F.col("word") + F.col("shift")).alias("at"))

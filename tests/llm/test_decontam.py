@@ -30,3 +30,12 @@ def test_null_and_repeated_ids_are_one_document(docs, frame):
     items = frame("item_id long, text string", (1, ITEM), (1, ITEM))
     got = decontam.leaks(docs(ITEM, ITEM, "clean text", ITEM, ids=[4, 4, 5, None]), items).collect()
     assert sorted(r["doc_id"] or 0 for r in got) == [0, 4]
+
+
+def test_names_at_the_start_of_sentences_are_slots(docs, frame):
+    text = "{0} has 5 red apples. {0} buys 3 more apples. {1} then eats 2 of them. How many apples does {0} have now?"
+    quoted = "\"{0} went to the old market\"\n{0} bought a loaf of bread (which {0} then ate at home)"
+    items = frame("item_id long, text string", (1, text.format("Tom", "Tom")), (2, quoted.format("Tom")))
+    texts = [text.format("Tom", "Tom"), text.format("Anna", "Anna"), text.format("Anna", "Maria"), quoted.format("Anna"), "so " + quoted.format("Tom").lower()]
+    got = {(r["doc_id"], r["item_id"]): r["changed"] for r in decontam.leaks(docs(*texts), items).collect()}
+    assert got == {(0, 1): False, (1, 1): True, (3, 2): True}
