@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and of the pipeline, with the SQL of those that SQL can express."""
+"""The registered queries of the thirteen operators and of the pipeline, with the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import brown, decontam, exact, langid, licenses, minhash, packing, pagetext, toxicity, urls
+from . import brown, collocations, decontam, divergence, exact, langid, licenses, minhash, packing, pagetext, toxicity, urls, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -139,3 +139,58 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_divergence"] = r"""
+with d as (select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as words from documents),
+  w as (select r, lang, source, unnest(words) as term from d),
+  c as (select lang, source, term, count(*) as n, count(distinct r) as docs from w group by all),
+  kept as (select lang, term, sum(n) as n from c group by all having sum(docs) >= 30),
+  v as (select lang, count(*) as v, sum(n) as n from kept group by lang),
+  g as (select distinct lang, source from d),
+  cells as (select lang, source, term, coalesce(c.n, 0) as n, kept.n as in_lang from g join kept using (lang) left join c using (lang, source, term)),
+  totals as (select lang, source, sum(n) as total from cells group by all),
+  priced as (select lang, source, term, cells.n, 1 + (1000000000::hugeint * (cells.n + 5)) // (total + 5 * v) as p,
+    1 + (1000000000::hugeint * (in_lang + 5)) // (v.n + 5 * v) as q from cells join totals using (lang, source) join v using (lang)),
+  pairs as (select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value from priced a join priced b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+  pair as (select a.lang, a.source, 'pair' as part, b.source as item, cast(coalesce(value, 0) as bigint) as value from g a join g b on a.lang = b.lang and a.source <> b.source
+    left join pairs on pairs.lang = a.lang and pairs.source = a.source and pairs.item = b.source),
+  term as (select lang, source, 'term' as part, term as item, cast(p - q as bigint) as value from priced where n > 0 and p > q),
+  ranked as (select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as integer) as rank from (select * from pair union all select * from term))
+select * from ranked where part = 'pair' or rank <= 50
+"""
+
+
+@query
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(_table(spark, sf_dir, "documents"))
+
+
+_GRAMS = " union all ".join(f"select lang, {k} as k, unnest([words[i:i + {k - 1}] for i in range(1, len(words) - {k - 2})]) as words from p" for k in range(1, 6))
+ORACLES["op12_collocations"] = rf"""
+with d as (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+  s as (select lang, unnest(string_split(regexp_replace(t, '[.,;:!?\x0A-\x0D]', chr(10), 'g'), chr(10))) as piece from d),
+  p as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as words from s),
+  f as (select lang, k, array_to_string(words, ' ') as phrase, any_value(words) as words, count(*) as f from ({_GRAMS}) group by lang, k, phrase),
+  totals as (select lang, sum(f) as n from f where k = 1 group by lang),
+  a as (select * from f where k >= 2 and f >= 100),
+  cuts as (select lang, phrase, f, words, k, unnest(range(1, k)) as j from a),
+  parts as (select cuts.lang, cuts.phrase, cuts.f as a, j, l.f as l, r.f as r, cast(n as bigint) as n, cast((1000::hugeint * cuts.f * n) // (l.f::hugeint * r.f) as bigint) as score
+    from cuts join totals using (lang) join f l on l.lang = cuts.lang and l.k = j and l.phrase = array_to_string(cuts.words[1:j], ' ')
+    join f r on r.lang = cuts.lang and r.k = cuts.k - j and r.phrase = array_to_string(cuts.words[j + 1:], ' ')),
+  best as (select * from parts qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+  held as (select distinct x.lang, x.phrase from a x join a y on x.lang = y.lang and y.k > x.k and 100 * y.f >= 100 * x.f and contains(' ' || y.phrase || ' ', ' ' || x.phrase || ' ')),
+  ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from best anti join held using (lang, phrase))
+select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000
+"""
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
