@@ -152,7 +152,8 @@ def _pair_counts(level: int, head, table, held: int):
     """left, right and n of the phrases of ``level`` words, as pairs of frequent units of one word less."""
 
     def parts(batches):
-        ranks, passes = head.value, table.value
+        ranks, passes = Head.__new__(Head), table.value
+        ranks.__dict__.update(head.value)
         waiting, size = [], 0
 
         def counted():
@@ -193,7 +194,7 @@ def _shipped(units: DataFrame, head: int):
     table = np.zeros(BITS // 64, np.int64)
     table[found["at"].to_numpy()] = found["bits"].to_numpy()
     ranks = Head(most["key"].to_numpy().view(_U), most["lang"].to_pylist(), most["a"].to_numpy())
-    return sc.broadcast(ranks), sc.broadcast(table.view(_U))
+    return sc.broadcast(vars(ranks)), sc.broadcast(table.view(_U))  # arrays alone: tasks need no copy of this package
 
 
 def _unique(units: DataFrame) -> DataFrame:

@@ -41,6 +41,8 @@ from .store import prepare, stored
 END_ID = 2
 #: Ids in a shard and in the rows that one task writes.
 SHARD_TOKENS, TASK_TOKENS = 1 << 22, 1 << 26
+#: Words, and letters of words, whose ids a worker remembers.
+MEMO_WORDS = 500_000
 #: Bits between two counts of ones.
 BLOCK = 512
 MAGIC = b"SWM1"
@@ -51,40 +53,57 @@ _WORDS = BLOCK // 64
 _STEM = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
 
 
-class WordEncoder(Encoder):
-    """Ids of a text from those of its words, where letters and a run of marks behind them are looked up apart."""
+class _Words(dict):
+    """Ids of words as bytes; a word that is asked for first is encoded then."""
+
+    def __init__(self, encoder: Encoder, kind: np.dtype):
+        self.encoder, self.kind, self.code, self.stems = encoder, kind, {2: "H", 4: "I"}[kind.itemsize], {}
+
+    def full(self, text: str) -> bytes:
+        return np.frombuffer(self.encoder._full([text])[0], "<u4").astype(self.kind).tobytes()
 
-    def _plain(self, match: re.Match) -> bytes:
-        stem, stop = match.groups()
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode()
+        if word.isalpha():
+            stem, stop = text, ""
+        else:
+            found = _STEM.fullmatch(text) if self.encoder.direct else None
+            if not found:
+                self[word] = ids = self.full(text)
+                return ids
+            stem, stop = found.groups()
         ids = self.stems.get(stem)
         if ids is None:
-            low = stem.lower()
-            signs = low if low.isascii() else low.encode().decode("latin-1").translate(self.signs)
-            ids = self.stems[stem] = array("I", [t.id for t in self.merges.tokenize(signs)]).tobytes()
+            if not self.encoder.direct:
+                ids = self.full(stem)
+            else:
+                low = stem.lower()
+                signs = low if low.isascii() else low.encode().decode("latin-1").translate(self.encoder.signs)
+                ids = array(self.code, [t.id for t in self.encoder.merges.tokenize(signs)]).tobytes()
+            self.stems[stem] = ids
         if stop:
-            if stop not in self.stems:
-                self.stems[stop] = self._full([stop])[0]
-            return ids + self.stems[stop]
+            tail = self.stems.get(stop)
+            if tail is None:
+                tail = self.stems[stop] = self.full(stop)
+            ids += tail
+        self[word] = ids
         return ids
 
+
+class WordEncoder:
+    """Ids of a text from those of its words, where letters and a run of marks behind them are looked up apart."""
+
+    def __init__(self, vocabulary: str, kind: str = "<u4"):
+        self.words = _Words(Encoder(vocabulary), np.dtype(kind))
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        if not self.direct:
-            return super().__call__(texts)
+        words = self.words
+        for memo in (words, words.stems):
+            if len(memo) > MEMO_WORDS:
+                memo.clear()
         raw = [(x or "").encode() for x in texts]
-        parts = [(x if b"<|" in x else x.lower()).split() for x in raw]  # special tokens are told from other words by case
-        if len(self.memo) > 400_000:
-            self.memo.clear()
-            self.stems.clear()
-        memo, rest, match, plain = self.memo, [], _STEM.fullmatch, self._plain
-        for word in set().union(*parts).difference(memo):
-            found = match(word.decode())
-            if found:
-                memo[word] = plain(found)
-            else:
-                rest.append(word)
-        if rest:
-            memo.update(zip(rest, self._full(x.decode() for x in rest)))
-        return [b"".join([memo[w] for w in x]) for x in parts]
+        # Special tokens are told from other words by case.
+        return [b"".join(map(words.__getitem__, (x if b"<|" in x else x.lower()).split())) for x in raw]
 
 
 class Plane(NamedTuple):
@@ -151,9 +170,9 @@ class WaveletMatrix:
     def of(cls, ids: np.ndarray, depth: int) -> WaveletMatrix:
         planes = []
         for k in range(depth - 1, -1, -1):
-            bits = (ids >> ids.dtype.type(k)) & ids.dtype.type(1) == 1
+            bits = ids & ids.dtype.type(1 << k) != 0
             planes.append(Plane.of(bits))
-            ids = np.concatenate([ids[~bits], ids[bits]])
+            ids = np.concatenate([ids.compress(~bits), ids.compress(bits)])
         return cls(len(ids), planes)
 
     def _bits(self):
@@ -204,8 +223,8 @@ class WaveletMatrix:
         for k, plane in reversed(self._bits()):
             bits = np.unpackbits(plane.words.view(np.uint8), count=self.n, bitorder="little").view(bool)
             above = np.empty(self.n, np.uint32)
-            above[~bits] = out[: plane.zeros]
-            above[bits] = out[plane.zeros :] | np.uint32(1 << k)
+            above[np.flatnonzero(~bits)] = out[: plane.zeros]
+            above[np.flatnonzero(bits)] = out[plane.zeros :] | np.uint32(1 << k)
             out = above
         return out
 
@@ -252,9 +271,12 @@ class Shard(NamedTuple):
 
 def _encoder(vocabulary, end_id: int, kind: str):
     def encoded(batches):
-        encode, end = WordEncoder(vocabulary.value), np.array([end_id], kind).tobytes()
+        held, end = vocabulary.value, np.array([end_id], kind).tobytes()
+        if "encoder" not in held:  # a worker keeps what it was sent, so its next tasks find the words it knows
+            held["encoder"] = WordEncoder(held["text"], kind)
+        encode = held["encoder"]
         for batch in batches:
-            ids = [np.frombuffer(x, "<u4").astype(kind).tobytes() + end for x in encode(batch.column("text").to_pylist())]
+            ids = [x + end for x in encode(batch.column("text").to_pylist())]
             sizes, marks = [len(x) // np.dtype(kind).itemsize for x in ids], [zlib.crc32(x) for x in ids]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(marks, pa.int64()), pa.array(ids, pa.binary())],
@@ -323,7 +345,7 @@ def write_shards(
 
     largest = max(end_id, *Tokenizer.from_str(text).get_vocab(with_added_tokens=True).values())
     depth, kind = max(1, largest.bit_length()), "<u2" if largest < 1 << 16 else "<u4"
-    vocabulary = spark.sparkContext.broadcast(text)
+    vocabulary = spark.sparkContext.broadcast({"text": text})
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     encoded = stored(rows.mapInArrow(_encoder(vocabulary, end_id, kind), "doc_id long, n_tokens long, mark long, ids binary"), "token_ids")
     total = encoded.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
