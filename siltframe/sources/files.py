@@ -12,6 +12,8 @@ from ..functions import snake_case, squish
 from ..operators.joins import keep_members
 from ..operators.reshape import long_from_matrix, union_sources
 from ..schema import LEVELS
+from ..session import scratch
+from .lines import csv_cells, numbered_lines, with_header
 
 AGE_MODEL_FILE = T.StructType(
     [T.StructField("sample_ids", T.StringType())]
@@ -50,15 +52,14 @@ def read_sheet(
 ) -> DataFrame:
     """One sheet, exported as CSV; rows without ``required`` are left out.
 
-    ``skip`` lines stand before the header line of every part; such a sheet is read whole and must
-    not have line breaks inside a field.
+    ``skip`` lines stand before the header line of every part; the lines of such a sheet are numbered
+    split by split, and it must not have line breaks inside a field. A cell that is missing or not of
+    its column's type is null.
     """
     if skip:
-        lines = spark.read.text(path, wholetext=True).select(F.split("value", r"\r?\n").alias("lines"))
-        line = lines.select(F.explode(F.slice("lines", skip + 2, F.size("lines"))).alias("line")).where("line <> ''")
-        options = {"quote": '"', "escape": '"', "nullValue": ""}
-        cells = F.from_csv("line", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields), options)
-        sheet = line.select(cells.alias("cells")).select("cells.*")
+        lines = numbered_lines(spark, path).where((F.col("line") > skip) & (F.trim("value") != ""))
+        cells = lines.select(csv_cells(F.col("value")).alias("cells"))
+        sheet = cells.select(*[F.get("cells", F.lit(i)).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
     else:
         sheet = read_csv(spark, path, schema)
     sheet = sheet.toDF(*snake_case(sheet.columns))
@@ -72,21 +73,17 @@ def read_age_model_files(
 
     The entity is the parent folder of a file and ``subfolder`` the one above; only files whose
     path contains ``name_part`` are taken. Columns are found by the header of each file, in whatever
-    order; a file that lacks one fails. A file holds the depths of one core, so it is read whole.
+    order; a file that lacks one fails, and so does a row with another number of cells than its
+    header. Files are read split by split, whatever their size.
     """
-    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path, wholetext=True)
-    location = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    lines = files.withColumn("path", location).where(F.col("path").contains(name_part)).select(
-        "path", F.filter(F.split("value", r"\r?\n"), lambda line: F.trim(line) != "").alias("lines")
-    )
-    plain = lambda line: F.transform(F.split(line, ","), lambda cell: F.trim(F.replace(cell, F.lit('"'), F.lit(""))))
-    cells = lines.select("path", plain(F.get("lines", F.lit(0))).alias("header"), F.explode(F.expr("slice(lines, 2, size(lines))")).alias("line"))
-    cells = cells.select("path", "header", plain(F.col("line")).alias("cells"))
+    found = with_header(numbered_lines(spark, path, pattern, name_part))
+    uneven = F.raise_error(F.concat(F.lit("line "), (F.col("line") + 1).cast("string"), F.lit(" has another number of cells than the header of "), "path"))
+    cells = found.where(F.when(F.size("cells") == F.size("header"), True).otherwise(uneven.cast("boolean")))
 
     def column(field: T.StructField):
         at = F.array_position("header", field.name)
         missing = F.raise_error(F.concat(F.lit(f"no column {field.name} in "), "path"))
-        value = F.nullif(F.get("cells", at.cast("int") - 1), F.lit(""))
+        value = F.get("cells", at.cast("int") - 1)
         return F.when(at == 0, missing.cast("string")).otherwise(value).cast(field.dataType).alias(field.name)
 
     rows = cells.select(
@@ -135,36 +132,31 @@ def harmonise_count_sheets(sheets: Sequence[tuple[str, str, DataFrame, bool]], n
     return union_sources(*frames).withColumns({c: squish(F.col(c)) for c in SHEET_NAMES[1:]})
 
 
-# Commas outside of quotes.
-_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-
-
-def read_count_sheets(spark: SparkSession, path: str, pattern: str = "*.csv", null_policy: str = "zero") -> DataFrame:
-    """All count sheets below ``path`` as (site_name, four names, depth, count); layouts may be mixed.
+def read_count_sheets(
+    spark: SparkSession,
+    path: str,
+    pattern: str = "*.csv",
+    null_policy: str = "zero",
+    entities: DataFrame | None = None,
+    site_from: str = "file",
+) -> DataFrame:
+    """All count sheets below ``path`` as (site_name, entity_name, four names, depth, count); layouts may be mixed.
 
-    The site comes from the file name. A sheet with "list" in its name or a column named like
-    "count" has depth and count columns, any other one column per depth. A column before the names
-    goes if the next header is like "name" or blank and it is empty itself. A sheet holds the counts
-    of one core, so each is read whole; the plan is the same for any number of sheets. Fields must
-    not hold line breaks.
+    The site comes from the name of the file, or of its folder. ``entities`` (site_name, entity_name) names the core of a
+    site; a site it does not list has none. A sheet with "list" in its name or a column named like "count" has depth and
+    count columns, any other one column per depth. A column before the names goes if the next header is like "name" or
+    blank and it is empty itself. Sheets are read split by split and meet their header by a join on the path, so a sheet
+    may be larger than any cell or task. Fields must not hold line breaks.
     """
     if null_policy not in ("zero", "drop"):
         raise ValueError("null_policy is 'zero' or 'drop'")
-    unquoted = lambda c: F.nullif(F.trim(F.regexp_replace(F.trim(c), '^"|"$', "")), F.lit(""))
-    cells = lambda line: F.transform(F.split(line, _COMMA), unquoted)
-    location = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path, wholetext=True)
-    stem = F.regexp_replace(F.split_part(location, F.lit("/"), F.lit(-1)), r"\.[^.]*$", "")
-    lines = F.filter(F.split("value", r"\r?\n"), lambda line: F.trim(line) != "")
-    sheet = files.select(stem.alias("stem"), lines.alias("lines")).select(
-        "stem", cells(F.get("lines", F.lit(0))).alias("header"),
-        F.transform(F.slice("lines", 2, F.size("lines")), cells).alias("rows"),
-    )
+    place = {"file": -1, "folder": -2}[site_from]
+    stem = F.regexp_replace(F.split_part("path", F.lit("/"), F.lit(place)), r"\.[^.]*$", "")
     second = F.coalesce(F.lower(F.get("header", F.lit(1))), F.lit("name"))
-    led = second.contains("name") & ~F.exists("rows", lambda r: r[0].isNotNull())
+    led = second.contains("name") & (F.col("leading") == 0)
     counted = F.exists("header", lambda h: F.coalesce(F.lower(h).contains("count"), F.lit(False)))
-    sheet = sheet.select(
-        F.regexp_replace("stem", "|".join(SHEET_MARKS), "").alias("site_name"), "header", F.explode("rows").alias("row"),
+    sheet = with_header(numbered_lines(spark, path, pattern)).withColumn("stem", stem).select(
+        F.regexp_replace("stem", "|".join(SHEET_MARKS), "").alias("site_name"), "header", F.col("cells").alias("row"),
         F.when(led, 1).otherwise(0).alias("at"), (F.lower("stem").contains("_list") | counted).alias("is_list"),
     )
     pair = lambda depth, count: F.struct(depth.try_cast("double").alias("depth"), count.try_cast("double").alias("count"))
@@ -180,7 +172,12 @@ def read_count_sheets(spark: SparkSession, path: str, pattern: str = "*.csv", nu
         long = long.withColumn("count", filled).where(F.col("is_list") | F.col("taxon_name").isNotNull())
     else:
         long = long.where(F.col("is_list") | F.col("count").isNotNull())
-    return long.drop("is_list").withColumns({c: squish(F.col(c)) for c in SHEET_NAMES[1:]})
+    long = long.drop("is_list").withColumns({c: squish(F.col(c)) for c in SHEET_NAMES[1:]})
+    if entities is None:
+        named = long.withColumn("entity_name", F.lit(None).cast("string"))
+    else:
+        named = long.join(entities.select("site_name", "entity_name"), "site_name", "left")
+    return named.select("site_name", "entity_name", *SHEET_NAMES, "depth", "count")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -190,7 +187,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def write_csv(df: DataFrame, path: str, null_value: str = "", *, single_file: bool = False) -> None:
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").csv(path, header=True, nullValue=null_value, quote='"', escape='"')
+    # White space around a value is part of it; by default Spark drops it when writing.
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    out.write.mode("overwrite").csv(path, header=True, nullValue=null_value, quote='"', escape='"', **kept)
 
 
 def snapshot_files(prefix: str) -> dict[str, str]:
@@ -223,6 +222,10 @@ def write_csvs(snapshot, prefix: str, *, single_file: bool = False):
     }
     for name, df in tables.items():
         write_csv(df, paths[name], single_file=single_file)
-    for level, wide in snapshot.pollen_count.items():
-        write_csv(wide, paths[level], "NA", single_file=single_file)
+    held = "stored_facts" in vars(snapshot)
+    with scratch(spark):
+        for level, wide in snapshot.pollen_count.items():
+            write_csv(wide, paths[level], "NA", single_file=single_file)
+        if not held:  # the counts that were stored for these pivots go with the scope
+            vars(snapshot).pop("stored_facts", None)
     return snapshot
