@@ -1,7 +1,7 @@
 """Keyed changes of a table as plans.
 
-Every function returns what the table would be; nothing is written. A change is applied by writing
-the result to a new path and switching readers to it, never onto the path it was read from.
+Every function returns what the table would be; nothing is written. ``sources.versions`` applies a
+change to a stored table: it writes the touched slots to a new folder and then moves the pointer.
 """
 
 from __future__ import annotations
@@ -58,9 +58,9 @@ def append_records(
 
 
 def append_unseen(table: DataFrame, new: DataFrame, key: Keys) -> DataFrame:
-    """The table with those new rows whose key it does not hold yet; raises if a new key is repeated."""
+    """The table with those new rows whose key it does not hold yet; raises if ``new`` repeats a key."""
+    _check_single(new, key)
     unseen = drop_members(new, table, list(key))
-    _check_single(unseen, key)
     return table.unionByName(unseen, allowMissingColumns=True).select(*table.columns)
 
 
@@ -101,12 +101,13 @@ def rm_links(external_link: DataFrame, id_entity: int, external_source: str) ->
 
 def delete_rows(df: DataFrame, rows: DataFrame, columns: Keys | None = None) -> DataFrame:
     """Remove rows equal to a listed one in all ``columns`` (default: all), nulls included."""
-    return join_null_safe(df, rows, columns or df.columns, "left_anti")
+    listed = list(columns or df.columns)
+    return join_null_safe(df, distinct_keys(rows, listed), listed, "left_anti")
 
 
 def replace_slice(table: DataFrame, slots: DataFrame, new: DataFrame, key: Keys) -> DataFrame:
     """Remove every row at the listed key slots, then add the new rows."""
-    return table.join(slots, list(key), "left_anti").unionByName(new)
+    return drop_members(table, slots, list(key)).unionByName(new)
 
 
 def change_set(table: DataFrame, incoming: DataFrame, key: Keys, *, delete_missing: bool = False) -> DataFrame:

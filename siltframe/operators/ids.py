@@ -48,13 +48,15 @@ def pair_by_position(
 ) -> DataFrame:
     """Rows of both tables at the same position of their group: (group, struct ``l``, struct ``r``).
 
-    Both tables are stacked and numbered in one pass.
+    Both tables are stacked and numbered in one pass. Rows that are equal in the given order follow a fingerprint of
+    the whole row, so every run pairs them the same way; only rows that are equal in all columns can change places.
     """
     sides = []
     for side, df, order in (("l", left, left_order), ("r", right, right_order)):
         keys = [F.col(c).alias(f"__{side}{i}") for i, c in enumerate(order)]
+        keys.append(F.xxhash64(*df.columns).alias(f"__{side}{len(order)}"))
         sides.append(df.select(*group, F.lit(side).alias("__side"), *keys, F.struct(*df.columns).alias(side)))
-    order = [f"__{side}{i}" for side, o in (("l", left_order), ("r", right_order)) for i in range(len(o))]
+    order = [f"__{side}{i}" for side, o in (("l", left_order), ("r", right_order)) for i in range(len(o) + 1)]
     stacked = sides[0].unionByName(sides[1], allowMissingColumns=True)
     placed = with_position(stacked, order, "__position", [*group, "__side"])
     pairs = placed.groupBy(*group, "__position").agg(

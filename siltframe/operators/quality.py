@@ -135,3 +135,28 @@ def redundancy(df: DataFrame, entity: str, columns: Keys) -> DataFrame:
     return distinct_rows.groupBy(entity).agg(
         F.sum("__n").alias("n_all"), F.count("*").alias("n_unique")
     )
+
+
+def _digits(text: Column) -> Column:
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
+def fingerprint(df: DataFrame, name: str, places: int = 3) -> DataFrame:
+    """What a table holds, whatever the order of its rows: (table_name, column_name, n, filled, total).
+
+    ``total`` sums, over the rows, eight hexadecimal digits of the md5 of a value written as text, fractions rounded to
+    ``places`` decimals; the column ``*`` does so for whole rows. Any engine that has md5 can compute it, in one pass.
+    """
+    from pyspark.sql.types import FractionalType
+
+    scaled = lambda c: F.floor(c * 10**places + 0.5).cast("long").cast("string")
+    texts = {
+        f.name: scaled(F.col(f"`{f.name}`")) if isinstance(f.dataType, FractionalType) else F.col(f"`{f.name}`").cast("string")
+        for f in df.schema.fields
+    }
+    row = F.concat_ws("|", *[F.coalesce(t, F.lit("~")) for t in texts.values()])
+    cells = [
+        F.struct(F.lit(c).alias("column_name"), F.count("*").alias("n"), F.count(t).alias("filled"), F.coalesce(F.sum(_digits(t)), F.lit(0)).alias("total"))
+        for c, t in {**texts, "*": row}.items()
+    ]
+    return df.agg(F.array(*cells).alias("cells")).select(F.lit(name).alias("table_name"), F.inline("cells"))

@@ -9,6 +9,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ids import with_position
+
+# Headers of columns for ids without a name, and for rows without an id.
+UNNAMED, UNMAPPED = "taxon {}", "unmapped"
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -54,10 +60,55 @@ def to_wide(
     return long.groupBy(*ids).pivot(name, shown).agg(F.first(value))
 
 
-def transpose(wide: DataFrame, row_name: str, new_name: str, names: Sequence[str] | None = None) -> DataFrame:
-    """Columns become rows, and the values of ``row_name`` (or only those of ``names``) become columns."""
-    long = to_long(wide, [row_name], new_name, "__value", keep_nulls=True)
-    return to_wide(long, [new_name], row_name, "__value", names)
+def id_headers(used: DataFrame, names: DataFrame, key: str, name: str) -> dict[str, int | None]:
+    """{header: id} in code-point order for the distinct ids of ``used``: as many as the table gets columns.
+
+    An id without a name is headed by itself, rows without an id by ``unmapped``.
+    """
+    found: dict[str, int | None] = {}
+    for row in used.select(key).distinct().join(names.select(key, name), key, "left").collect():
+        header = row[name] or (UNMAPPED if row[key] is None else UNNAMED.format(row[key]))
+        if header in found:
+            raise ValueError(f"two columns are called {header}")
+        found[header] = row[key]
+    return dict(sorted(found.items()))
+
+
+def to_wide_by_id(
+    long: DataFrame, ids: Sequence[str], key: str, headers_: dict[str, int | None], value: str = "count"
+) -> DataFrame:
+    """One column per id, renamed afterwards: names are never joined to the rows. No id is negative."""
+    keyed = long.select(*ids, F.coalesce(key, F.lit(-1)).alias(key), value)
+    wide = keyed.groupBy(*ids).pivot(key, [-1 if i is None else i for i in headers_.values()]).agg(F.first(value))
+    return wide.toDF(*ids, *headers_)
+
+
+def transpose(
+    wide: DataFrame, row_name: str, new_name: str, names: Sequence[str] | None = None, *, long: bool = False
+) -> DataFrame:
+    """Columns become rows, and the values of ``row_name`` (or only those of ``names``) become columns.
+
+    A table has no room for a column per row of a long table: ``transpose_blocks`` gives several, and ``long`` returns
+    (new_name, row_name, value) without a pivot.
+    """
+    cells = to_long(wide, [row_name], new_name, "value" if long else "__value", keep_nulls=True)
+    return cells.select(new_name, row_name, "value") if long else to_wide(cells, [new_name], row_name, "__value", names)
+
+
+def transpose_blocks(wide: DataFrame, row_name: str, new_name: str, width: int = 1000) -> list[DataFrame]:
+    """The transpose as tables of at most ``width`` new columns each, by the order of the values of ``row_name``.
+
+    Every block has a row for every former column. The driver sees the headers of one block at a time.
+    """
+    placed = with_position(wide.select(row_name).where(F.col(row_name).isNotNull()).distinct(), [row_name], "__place")
+    blocks = placed.select(row_name, F.floor((F.col("__place") - 1) / width).alias("__block"))
+    cells = to_long(wide, [row_name], new_name, "__value", keep_nulls=True).join(blocks, row_name)
+    last = blocks.agg(F.max("__block")).first()[0]
+    out = []
+    for block in range(0 if last is None else last + 1):
+        own = F.col("__block") == block
+        out.append(to_wide(cells.where(own), [new_name], row_name, "__value", headers(blocks.where(own), row_name)))
+    return out
 
 
 def sort_columns(df: DataFrame, first: Sequence[str]) -> DataFrame:

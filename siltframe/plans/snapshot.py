@@ -10,14 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import keep_members
+from ..operators.reshape import UNMAPPED, UNNAMED, to_wide_by_id
 from ..schema import LEVELS
 from ..session import scratch_path
 from ..sources.tables import Archive, literal_table
 
 # Which column of a key table selects, first present one first.
 KEY_ORDER = ("ID_ENTITY", "ID_SITE", "entity_name", "site_name")
-# Headers of wide counts for taxa without a name, and for counts without a taxon.
-UNNAMED, UNMAPPED = "taxon {}", "unmapped"
 
 
 class NoRecords(LookupError):
@@ -97,18 +96,8 @@ class Snapshot:
         The pivot runs on ids and its columns are renamed, so no name is joined to the counts. Rows
         of a sample meet once: the key of the counts allows one per taxon, so no sample is large.
         """
-        taxa = self.taxa[level]
         at_level = self.stored_facts.where(F.col("amalgamation_level") == LEVELS.index(level))
-        # A pivot value cannot be null, and no id is negative.
-        key = F.coalesce("ID_TAXON", F.lit(-1)).alias("ID_TAXON")
-        by_id = (
-            at_level.select("ID_SAMPLE", key, "count")
-            .repartition("ID_SAMPLE")
-            .groupBy("ID_SAMPLE")
-            .pivot("ID_TAXON", [-1 if i is None else i for i in taxa.values()])
-            .agg(F.first("count"))
-        )
-        return by_id.toDF("ID_SAMPLE", *taxa)
+        return to_wide_by_id(at_level.repartition("ID_SAMPLE"), ["ID_SAMPLE"], "ID_TAXON", self.taxa[level])
 
     @property
     def pollen_count(self) -> dict[str, DataFrame]:
