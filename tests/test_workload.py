@@ -3,6 +3,7 @@
 import __spark_entry__ as contract
 import pytest
 
+from siltframe.session import scratch
 from workload.oracle import compare, oracle_connection
 from workload.registry import ORACLES, QUERIES
 
@@ -26,5 +27,6 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("key", QUERIES)
 def test_query(spark, con, key):
-    fault = compare(contract.queries()[key](spark, SF), con.sql(contract.oracle_sql()[key]))
+    with scratch(spark):
+        fault = compare(contract.queries()[key](spark, SF), con.sql(contract.oracle_sql()[key]))
     assert fault == ""

@@ -202,7 +202,7 @@ class Workload:
             .selectExpr("*", "explode(if(ID_SAMPLE % 10 = 0, array(1, 2), array(1))) AS copy")
             .selectExpr(
                 "ID_ENTITY",
-                "concat(copy, '-', ID_SAMPLE) AS sample_ids",
+                "concat(copy, if(ID_SAMPLE % 7 = 0, ',', '-'), ID_SAMPLE) AS sample_ids",
                 "if(ID_ENTITY % 10 = 1, depth + 0.01D, depth) AS depths",
                 "age + 0.7D AS mean",
                 "age + 0.2D AS median",

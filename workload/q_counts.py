@@ -6,8 +6,11 @@ from siltframe.functions import if_else, null_text
 from siltframe.operators import aggregates, amalgamate, dates, harmonise, quality, reshape
 from siltframe.plans import snapshot as snap
 from siltframe.plans import summary
+from siltframe.schema import SCHEMAS, TABLES
+from siltframe.session import scratch_path
 from siltframe.sources import tables
 
+from .fingerprints import table_sql
 from .registry import query
 
 # The words taxon names are made of in the given tables.
@@ -266,17 +269,21 @@ def _(w):
     return reshape.to_long(wide, ["ID_SAMPLE"])
 
 
+def pivoted(w, level, reverse=False):
+    """One level wide: the pivot runs on ids, which the headers are a dictionary of."""
+    counts = w.pollen_count.where(F.col("amalgamation_level") == level)
+    named = reshape.id_headers(counts, w.taxon_name, "ID_TAXON", "taxon_name")
+    return reshape.to_wide_by_id(counts, ["ID_SAMPLE"], "ID_TAXON", dict(sorted(named.items(), reverse=reverse)))
+
+
 @query("counts_to_wide", wide_sql("amalgamated"))
 def _(w):
-    named = w.pollen_count.where(F.col("amalgamation_level") == 2).join(w.taxon_name, "ID_TAXON")
-    return reshape.to_wide(named, ["ID_SAMPLE"])
+    return pivoted(w, 2)
 
 
 @query("sorted_taxa_columns", wide_sql("intermediate"))
 def _(w):
-    named = w.pollen_count.where(F.col("amalgamation_level") == 1).join(w.taxon_name, "ID_TAXON")
-    names = reshape.headers(named, "taxon_name")
-    return reshape.sort_columns(reshape.to_wide(named, ["ID_SAMPLE"], names=reversed(names)), ["ID_SAMPLE"])
+    return reshape.sort_columns(pivoted(w, 1, reverse=True), ["ID_SAMPLE"])
 
 
 @query(
@@ -290,15 +297,33 @@ def _(w):
 
 @query(
     "transpose_counts",
-    """WITH m AS (SELECT split_part(p_name, ' ', 1) AS word, p_brand, count(*) AS n FROM part GROUP BY ALL)
-       SELECT p_brand AS brand, """
-    + cases(_ADJECTIVES, "n", "word")
-    + " FROM m GROUP BY p_brand",
+    """WITH m AS (SELECT e.site_name, t.taxon_name, sum(p.cnt) AS n FROM pollen_count p JOIN taxon_name t ON p.ID_TAXON = t.ID_TAXON
+         JOIN sample s ON p.ID_SAMPLE = s.ID_SAMPLE JOIN entity e ON s.ID_ENTITY = e.ID_ENTITY WHERE p.amalgamation_level = 1 GROUP BY ALL)
+       SELECT taxon_name AS taxon, """
+    + cases([f"NATION_{i}" for i in range(25)], "n", "site_name")
+    + " FROM m GROUP BY taxon_name",
+)
+def _(w):
+    sites = w.sample.join(w.entity.select("ID_ENTITY", "site_name"), "ID_ENTITY").select("ID_SAMPLE", "site_name")
+    counts = w.pollen_count.where(F.col("amalgamation_level") == 1)
+    by_site = counts.join(sites, "ID_SAMPLE").groupBy("site_name", "ID_TAXON").agg(F.sum("count").alias("count"))
+    # A row per site and a column per taxon; the transpose comes in blocks of ten sites.
+    wide = reshape.to_wide_by_id(by_site, ["site_name"], "ID_TAXON", reshape.id_headers(by_site, w.taxon_name, "ID_TAXON", "taxon_name"))
+    first, *others = reshape.transpose_blocks(wide, "site_name", "taxon", 10)
+    for block in others:
+        first = first.join(block, "taxon")
+    return first
+
+
+@query(
+    "transpose_counts_long",
+    """SELECT t.taxon_name AS taxon, p.ID_SAMPLE, p.cnt AS value FROM (SELECT DISTINCT ID_SAMPLE FROM pollen_count WHERE amalgamation_level = 2) s
+       CROSS JOIN (SELECT DISTINCT ID_TAXON FROM pollen_count WHERE amalgamation_level = 2) u JOIN taxon_name t ON t.ID_TAXON = u.ID_TAXON
+       JOIN pollen_count p ON p.ID_SAMPLE = s.ID_SAMPLE AND p.ID_TAXON = u.ID_TAXON AND p.amalgamation_level = 2""",
 )
 def _(w):
-    words = w.given("part").select(F.split_part("p_name", F.lit(" "), F.lit(1)).alias("word"), "p_brand")
-    wide = words.groupBy("word").pivot("p_brand").count()
-    return reshape.transpose(wide, "word", "brand")
+    # A row per sample is too many for columns.
+    return reshape.transpose(pivoted(w, 2), "ID_SAMPLE", "taxon", long=True).where("value IS NOT NULL")
 
 
 @query(
@@ -335,14 +360,15 @@ def _(w):
     return plain.select("ID_SAMPLE", "mean", "median", *reshape.columns_starting(plain, "uncert"))
 
 
-_LONG_NAMES = """SELECT r.raw_taxon, r.ID_SAMPLE, m.clean_name || '|' || r.element AS taxon, r.cnt AS count
-                 FROM raw_count r JOIN taxa_map m ON r.raw_taxon = m.raw_taxon"""
+_LONG_NAMES = """SELECT r.raw_taxon, r.ID_SAMPLE, coalesce(m.clean_name, 'raw ' || r.raw_taxon) || '|' || r.element AS taxon, r.cnt AS count
+                 FROM raw_count r LEFT JOIN taxa_map m ON r.raw_taxon = m.raw_taxon"""
 
 
 def named_elements(w):
-    """Raw counts under header names such as ``blue ring|N|O``; some of those are never counted."""
-    return w.raw_count.join(w.taxa_map, "raw_taxon").select(
-        "raw_taxon", "ID_SAMPLE", F.concat_ws("|", "clean_name", "element").alias("taxon"), "count"
+    """All raw counts under header names such as ``blue ring|N|O`` or ``raw 7|N|O``; some of those are never counted."""
+    name = F.coalesce("clean_name", F.concat(F.lit("raw "), "raw_taxon"))
+    return w.raw_count.join(w.taxa_map, "raw_taxon", "left").select(
+        "raw_taxon", "ID_SAMPLE", F.concat_ws("|", name, "element").alias("taxon"), "count"
     )
 
 
@@ -472,21 +498,12 @@ def _(w):
     return w.date_info.select("ID_DATE_INFO", if_else(F.col("depth") > 50, F.lit("deep"), F.lit("shallow")).alias("zone"))
 
 
-@query("load_tables", " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}"
-    for t in ("entity", "external_link", "date_info", "sample", "taxon_name", "pollen_count", "model_name", "age_model")
-))
+@query("load_tables", " UNION ALL ".join(table_sql(t) for t in TABLES))
 def _(w):
-    from siltframe.schema import SCHEMAS, TABLES
-    from siltframe.session import scratch_path
-
     path = scratch_path(w.spark, "archive")
     for name in TABLES:
         table = w.archive.table(name)
         missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in SCHEMAS[name] if f.name not in table.columns]
         tables.write_table(table.select("*", *missing).select(*SCHEMAS[name].names), path, name)
     stored = tables.load_archive(w.spark, path)
-    counts = [stored.table(t).agg(F.lit(t).alias("table_name"), F.count("*").alias("n")) for t in TABLES]
-    return reshape.union_sources(*counts)
-
-
+    return reshape.union_sources(*[quality.fingerprint(stored.table(t).select(*SCHEMAS[t].names), t) for t in TABLES])

@@ -13,11 +13,12 @@ from siltframe.functions import (
 from siltframe.operators import agemodel, amalgamate, changes, dates, harmonise, ids, match, quality, reshape
 from siltframe.plans import summary
 from siltframe.plans.snapshot import snapshot
-from siltframe.schema import LEGACY_LINK_SCHEMA, LEVELS
+from siltframe.schema import LEGACY_LINK_SCHEMA, LEVELS, SCHEMAS
 from siltframe.session import scratch_path
-from siltframe.sources import files, tables
+from siltframe.sources import colocated, files, tables, versions
 
-from .q_counts import wide_sql
+from .fingerprints import fingerprint_sql, table_sql
+from .q_counts import LEVEL_NAMES, wide_sql
 from .registry import query
 
 # ---- snapshots and summaries -------------------------------------------------------------------
@@ -240,16 +241,14 @@ _GONE_SAMPLES = f"SELECT ID_SAMPLE FROM sample WHERE ID_ENTITY IN ({_GONE})"
 @query(
     "cascade_delete",
     " UNION ALL ".join(
-        [f"SELECT '{t}' AS table_name, count(*) AS n FROM {t} WHERE ID_ENTITY NOT IN ({_GONE})" for t in ("entity", "external_link", "date_info", "sample")]
-        + [f"SELECT '{t}', count(*) FROM {t} WHERE ID_SAMPLE NOT IN ({_GONE_SAMPLES})" for t in ("pollen_count", "age_model")]
+        [table_sql(t, f"(SELECT * FROM {t} WHERE ID_ENTITY NOT IN ({_GONE}))") for t in ("entity", "external_link", "date_info", "sample")]
+        + [table_sql(t, f"(SELECT * FROM {t} WHERE ID_SAMPLE NOT IN ({_GONE_SAMPLES}))") for t in ("pollen_count", "age_model")]
     ),
 )
 def _(w):
     left = changes.cascade_delete(w.archive, w.entity.where(F.col("site_type") == "machinery").select("ID_ENTITY"))
     names = ("entity", "external_link", "date_info", "sample", "pollen_count", "age_model")
-    return reshape.union_sources(
-        *[left.table(t).agg(F.lit(t).alias("table_name"), F.count("*").alias("n")) for t in names]
-    )
+    return reshape.union_sources(*[quality.fingerprint(left.table(t).select(*SCHEMAS[t].names), t) for t in names])
 
 
 @query(
@@ -780,34 +779,33 @@ def _(w):
     return named.where(F.col("entity_name") != "NATION_3").drop("path")
 
 
-_SHEETS = """
-    WITH cells AS (SELECT m.clean_name, m.intermediate, m.amalgamated, r.line, r.element, r.cnt
-                   FROM raw_count r JOIN taxa_map m ON r.raw_taxon = m.raw_taxon),
-    taxa AS (SELECT DISTINCT clean_name, intermediate, amalgamated FROM taxa_map),
+# Sheets hold all raw counts; a raw taxon the map does not have stands under its number, without the other names.
+_CELLS = """cells AS (SELECT coalesce(m.clean_name, 'raw ' || r.raw_taxon) AS name, m.clean_name, m.intermediate, m.amalgamated, r.ID_SAMPLE, r.line, r.element, r.cnt
+                   FROM raw_count r LEFT JOIN taxa_map m ON r.raw_taxon = m.raw_taxon)"""
+_SHEETS = f"""
+    WITH {_CELLS},
+    taxa AS (SELECT DISTINCT name, clean_name, intermediate, amalgamated FROM cells WHERE element <> 'A|F'),
     depths AS (SELECT DISTINCT line FROM cells),
     matrix AS (SELECT t.*, CAST(d.line * 10 AS DOUBLE) AS depth, c.total FROM taxa t CROSS JOIN depths d
-               LEFT JOIN (SELECT clean_name, line, sum(cnt) AS total FROM cells WHERE element <> 'A|F' GROUP BY ALL) c
-               ON t.clean_name = c.clean_name AND d.line = c.line),
-    list AS (SELECT clean_name, intermediate, amalgamated, CAST(line * 10 AS DOUBLE) AS depth, sum(cnt) AS total FROM cells WHERE element = 'A|F' GROUP BY ALL)
+               LEFT JOIN (SELECT name, line, sum(cnt) AS total FROM cells WHERE element <> 'A|F' GROUP BY ALL) c
+               ON t.name = c.name AND d.line = c.line),
+    list AS (SELECT name, clean_name, intermediate, amalgamated, CAST(line * 10 AS DOUBLE) AS depth, sum(cnt) AS total FROM cells WHERE element = 'A|F' GROUP BY ALL)
 """
+_NAMES = ["name", "clean_name", "intermediate", "amalgamated"]
+
+
+def sheet_cells(w):
+    name = F.coalesce("clean_name", F.concat(F.lit("raw "), "raw_taxon")).alias("name")
+    return w.raw_count.join(w.taxa_map, "raw_taxon", "left").select("ID_SAMPLE", "element", name, *_NAMES[1:], (F.col("line") * 10).alias("depth"), "count")
 
 
 def count_sheets(w):
-    cells = w.raw_count.join(w.taxa_map, "raw_taxon").withColumn("depth", F.col("line") * 10)
-    names = ["clean_name", "intermediate", "amalgamated"]
+    cells = sheet_cells(w)
     depths = reshape.headers(cells, "depth")
-    matrix = (
-        cells.where(F.col("element") != "A|F")
-        .groupBy(*names)
-        .pivot("depth", depths)
-        .agg(F.sum("count"))
-        .select(F.col("clean_name").alias("name"), *names, *map(str, depths))
-    )
+    matrix = cells.where(F.col("element") != "A|F").groupBy(*_NAMES).pivot("depth", depths).agg(F.sum("count"))
     listed = (
-        cells.where(F.col("element") == "A|F")
-        .groupBy(*names, "depth")
-        .agg(F.sum("count").alias("count"))
-        .select(F.col("clean_name").alias("name"), F.concat(F.lit(" "), "clean_name").alias("clean"), *names[1:], "depth", "count")
+        cells.where(F.col("element") == "A|F").groupBy(*_NAMES, "depth").agg(F.sum("count").alias("count"))
+        .withColumn("clean_name", F.concat(F.lit(" "), "clean_name"))
     )
     return [("site m", "entity m", matrix, False), ("site l", "entity l", listed, True)]
 
@@ -815,8 +813,8 @@ def count_sheets(w):
 @query(
     "harmonise_count_layouts",
     _SHEETS
-    + """SELECT 'site m' AS site_name, 'entity m' AS entity_name, clean_name AS taxon_name, clean_name AS clean, intermediate, amalgamated, depth, coalesce(total, 0) AS count FROM matrix
-         UNION ALL SELECT 'site l', 'entity l', clean_name, clean_name, intermediate, amalgamated, depth, total FROM list""",
+    + """SELECT 'site m' AS site_name, 'entity m' AS entity_name, name AS taxon_name, clean_name AS clean, intermediate, amalgamated, depth, coalesce(total, 0) AS count FROM matrix
+         UNION ALL SELECT 'site l', 'entity l', name, clean_name, intermediate, amalgamated, depth, total FROM list""",
 )
 def _(w):
     return files.harmonise_count_sheets(count_sheets(w))
@@ -825,31 +823,47 @@ def _(w):
 @query(
     "harmonise_count_layouts_drop",
     _SHEETS
-    + """SELECT 'site m' AS site_name, 'entity m' AS entity_name, clean_name AS taxon_name, clean_name AS clean, intermediate, amalgamated, depth, total AS count FROM matrix WHERE total IS NOT NULL
-         UNION ALL SELECT 'site l', 'entity l', clean_name, clean_name, intermediate, amalgamated, depth, total FROM list""",
+    + """SELECT 'site m' AS site_name, 'entity m' AS entity_name, name AS taxon_name, clean_name AS clean, intermediate, amalgamated, depth, total AS count FROM matrix WHERE total IS NOT NULL
+         UNION ALL SELECT 'site l', 'entity l', name, clean_name, intermediate, amalgamated, depth, total FROM list""",
 )
 def _(w):
     return files.harmonise_count_sheets(count_sheets(w), null_policy="drop")
 
 
+def _wide_print(level: str) -> str:
+    columns = {"ID_SAMPLE": "ID_SAMPLE"} | {n: f'#"{n}"' for n in sorted(LEVEL_NAMES[level])}
+    return fingerprint_sql(level, f"({wide_sql(level)})", columns)
+
+
 @query(
     "write_snapshot_csv",
-    """SELECT 'metadata' AS file, count(*) AS n, 11 AS n_columns FROM entity UNION ALL SELECT 'dates', count(*), 13 FROM date_info
-       UNION ALL SELECT 'samples', count(*), 11 FROM sample UNION ALL SELECT 'age_model', count(*), 9 FROM age_model
-       UNION ALL SELECT 'clean', count(DISTINCT ID_SAMPLE), 65 FROM pollen_count WHERE amalgamation_level = 0
-       UNION ALL SELECT 'intermediate', count(DISTINCT ID_SAMPLE), 9 FROM pollen_count WHERE amalgamation_level = 1
-       UNION ALL SELECT 'amalgamated', count(DISTINCT ID_SAMPLE), 3 FROM pollen_count WHERE amalgamation_level = 2""",
+    " UNION ALL ".join(
+        [
+            table_sql("entity", shown="metadata"), table_sql("date_info", shown="dates"), table_sql("sample", shown="samples"),
+            table_sql("age_model", "(SELECT a.*, m.model_name FROM age_model a LEFT JOIN model_name m ON a.ID_MODEL = m.ID_MODEL)", extra={"model_name": "model_name"}),
+            *[_wide_print(level) for level in LEVELS],
+        ]
+    ),
 )
 def _(w):
     folder = scratch_path(w.spark, "bundle")
     w.spark.createDataFrame([], "none int").write.parquet(folder)
     prefix = f"{folder}/all"
-    files.write_csvs(snapshot(w), prefix)
-    counts = []
+    snap = snapshot(w)
+    files.write_csvs(snap, prefix)
+    # The values as they were read back, under declared types.
+    kinds = {"metadata": SCHEMAS["entity"], "dates": SCHEMAS["date_info"], "samples": SCHEMAS["sample"], "age_model": snap.age_model.schema}
+    prints = []
     for name, path in files.snapshot_files(prefix).items():
-        stored = files.read_csv(w.spark, path, w.spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"').schema)
-        counts.append(stored.agg(F.lit(name).alias("file"), F.count("*").alias("n"), F.lit(len(stored.columns)).alias("n_columns")))
-    return reshape.union_sources(*counts)
+        if name in kinds:
+            stored = files.read_csv(w.spark, path, T.StructType([kinds[name][c] for c in w.spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"').columns]))
+            stored = stored.select(*[f.name for f in kinds[name]])
+        else:
+            stored = files.read_wide_csv(w.spark, path, T.StructType([T.StructField("ID_SAMPLE", T.LongType())]), "NA")
+        if name == "age_model":
+            stored = stored.select(*SCHEMAS["age_model"].names, "model_name")
+        prints.append(quality.fingerprint(stored, name))
+    return reshape.union_sources(*prints)
 
 
 @query("snapshot_by_id", "SELECT * FROM date_info WHERE ID_ENTITY IN (3, 14, 15)")
@@ -870,11 +884,103 @@ def _(w):
 @query("read_sheet_skip", "SELECT ID_ENTITY AS entity_id, depth AS depth_cm, lab_num FROM date_info WHERE depth IS NOT NULL")
 def _(w):
     path = scratch_path(w.spark, "skipped")
-    row = F.concat_ws(",", F.col("ID_ENTITY").cast("string"), F.coalesce(F.col("depth").cast("string"), F.lit("")), F.concat(F.lit('"'), "lab_num", F.lit('"')))
-    # One sheet for each remainder, with two lines of remarks before the header.
-    part = (F.col("ID_ENTITY") % 16).alias("part")
-    sheets = w.date_info.groupBy(part).agg(F.array_join(F.collect_list(row), "\n").alias("rows"))
-    text = F.concat(F.lit("dates\nas exported\nentityId,Depth (cm),lab num\n"), "rows").alias("value")
-    sheets.select("part", text).write.partitionBy("part").text(path)
+    # A sheet holds a run of at most 4000 dates of a site, below two lines of remarks and the header.
+    sites = w.date_info.join(w.entity.select("ID_ENTITY", "ID_SITE"), "ID_ENTITY", "left").withColumn("ID_SITE", F.coalesce("ID_SITE", F.lit(-1)))
+    placed = ids.with_position(sites.select("ID_SITE", "ID_ENTITY", "ID_DATE_INFO", "depth", "lab_num"), ["ID_DATE_INFO"], "place", ["ID_SITE"])
+    sheet = F.concat_ws("-", "ID_SITE", F.floor((F.col("place") - 1) / 4000)).alias("sheet")
+    cell = F.concat_ws(",", "ID_ENTITY", F.coalesce(F.col("depth").cast("string"), F.lit("")), F.concat(F.lit('"'), "lab_num", F.lit('"')))
+    rows = placed.select(sheet, "place", cell.alias("value"))
+    top = F.posexplode(F.array(*map(F.lit, ("dates", "as exported", "entityId,Depth (cm),lab num")))).alias("at", "value")
+    heads = rows.select("sheet").distinct().select("sheet", top).select("sheet", (F.col("at") - 3).alias("place"), "value")
+    lines = rows.unionByName(heads).repartition("sheet").sortWithinPartitions("sheet", "place")
+    lines.select("sheet", "value").write.partitionBy("sheet").text(path)
     schema = T.StructType.fromDDL("entityId bigint, `Depth (cm)` double, `lab num` string")
     return files.read_sheet(w.spark, path, schema, required="depth_cm", skip=2)
+
+
+@query(
+    "read_count_sheets",
+    f"""WITH {_CELLS},
+        placed AS (SELECT e.ID_SITE, e.site_name, c.* FROM cells c JOIN sample s ON c.ID_SAMPLE = s.ID_SAMPLE JOIN entity e ON s.ID_ENTITY = e.ID_ENTITY),
+        taxa AS (SELECT DISTINCT ID_SITE, site_name, name, clean_name, intermediate, amalgamated FROM placed),
+        sums AS (SELECT ID_SITE, name, line, sum(cnt) AS total FROM placed GROUP BY ALL),
+        found AS (SELECT t.*, l.line * 10.0 AS depth, CASE WHEN t.ID_SITE % 3 = 0 THEN total ELSE coalesce(total, 0) END AS count
+                  FROM taxa t CROSS JOIN (VALUES (1), (2), (3), (4), (5), (6), (7)) l(line)
+                  LEFT JOIN sums s ON s.ID_SITE = t.ID_SITE AND s.name = t.name AND s.line = l.line WHERE t.ID_SITE % 3 <> 0 OR s.line IS NOT NULL)
+        SELECT site_name, CASE WHEN ID_SITE % 5 <> 0 THEN 'core ' || site_name END AS entity_name, name || ', sp.' AS taxon_name, clean_name AS clean,
+               intermediate, amalgamated, CAST(depth AS DOUBLE) AS depth, count FROM found""",
+)
+def _(w):
+    path = scratch_path(w.spark, "sheets")
+    sites = w.sample.join(w.entity.select("ID_ENTITY", "ID_SITE", "site_name"), "ID_ENTITY").select("ID_SAMPLE", "ID_SITE", "site_name")
+    cells = sheet_cells(w).join(sites, "ID_SAMPLE").withColumns(
+        {"name": F.concat("name", F.lit(", sp.")), "clean_name": F.replace("clean_name", F.lit(" "), F.lit("   "))}
+    )
+    keys, third = ["ID_SITE", "site_name", *_NAMES], F.col("ID_SITE") % 3
+    listed = cells.where(third == 0).groupBy(*keys, "depth").agg(F.sum("count").alias("Count"))
+    wide = cells.where(third != 0).groupBy(*keys).pivot("depth", [10 * i for i in range(1, 8)]).agg(F.sum("count"))
+    plain, led = wide.where(third == 1), wide.where(third == 2).select(*keys[:2], F.lit(None).cast("string").alias("no"), *wide.columns[2:])
+    for mark, sheets in (("_LIST", listed), ("", plain), ("_sph", led)):
+        named = sheets.withColumn("sheet", F.concat("site_name", F.lit(mark))).drop("ID_SITE", "site_name")
+        named.write.mode("append").partitionBy("sheet").csv(path, header=True, quote='"', escape='"')
+    cores = w.entity.where("ID_SITE % 5 <> 0").select(F.concat(F.lit("sheet="), "site_name").alias("site_name"), F.concat(F.lit("core "), "site_name").alias("entity_name"))
+    found = files.read_count_sheets(w.spark, path, entities=cores.distinct(), site_from="folder")
+    return found.withColumn("site_name", F.regexp_replace("site_name", "^sheet=", ""))
+
+
+# ---- stored tables ------------------------------------------------------------------------------
+
+_COUNT_KEY = ["ID_SAMPLE", "ID_TAXON", "amalgamation_level"]
+_STORED = "SELECT ID_SAMPLE, ID_TAXON, amalgamation_level, cnt AS count FROM pollen_count"
+
+
+def stored_counts(w, df):
+    table = versions.VersionedTable(w.spark, scratch_path(w.spark, "counts"), SCHEMAS["pollen_count"], ["amalgamation_level"], {"ID_SAMPLE": 5000})
+    table.create(df)
+    return table
+
+
+@query(
+    "replace_slice_stored",
+    f"""{_STORED} WHERE NOT (amalgamation_level = 2 AND ID_SAMPLE IN (SELECT s.ID_SAMPLE FROM sample s JOIN entity e ON s.ID_ENTITY = e.ID_ENTITY WHERE e.ID_SITE = 7))
+       UNION ALL SELECT p.ID_SAMPLE, p.ID_TAXON, 2, p.cnt * 2 FROM pollen_count p JOIN sample s ON p.ID_SAMPLE = s.ID_SAMPLE JOIN entity e ON s.ID_ENTITY = e.ID_ENTITY
+       WHERE e.ID_SITE = 7 AND p.amalgamation_level = 2 AND p.ID_SAMPLE % 2 = 0""",
+)
+def _(w):
+    table = stored_counts(w, w.pollen_count)
+    mine = w.sample.join(w.entity.where("ID_SITE = 7"), "ID_ENTITY", "left_semi").select("ID_SAMPLE")
+    old = table.read().where("amalgamation_level = 2").join(mine, "ID_SAMPLE", "left_semi")
+    new = old.where("ID_SAMPLE % 2 = 0").withColumn("count", F.col("count") * 2)
+    table.replace_slice(old.select("ID_SAMPLE", "amalgamation_level"), new.select(*SCHEMAS["pollen_count"].names), ["ID_SAMPLE", "amalgamation_level"])
+    return table.read()
+
+
+@query("append_stored", _STORED + " UNION ALL SELECT ID_SAMPLE + 1000000000, ID_TAXON, amalgamation_level, cnt FROM pollen_count WHERE amalgamation_level = 2")
+def _(w):
+    table = stored_counts(w, w.pollen_count.where("amalgamation_level < 2"))
+    last = w.pollen_count.where("amalgamation_level = 2")
+    table.append(last)
+    # Stored keys are left out of the second chunk, new ones go in.
+    table.append_unseen(last.unionByName(last.withColumn("ID_SAMPLE", F.col("ID_SAMPLE") + 10**9)), _COUNT_KEY)
+    return table.read()
+
+
+def colocated_archive(w):
+    path = scratch_path(w.spark, "buckets")
+    colocated.write_colocated(w.archive, path, 8)
+    return colocated.load_colocated(w.spark, path, 8)
+
+
+@query(
+    "snapshot_counts_colocated",
+    f"""SELECT p.ID_SAMPLE, t.taxon_name, p.amalgamation_level, p.cnt AS count
+        FROM pollen_count p LEFT JOIN taxon_name t ON p.ID_TAXON = t.ID_TAXON
+        WHERE p.ID_SAMPLE IN (SELECT ID_SAMPLE FROM sample WHERE ID_ENTITY IN ({_PICKED}))""",
+)
+def _(w):
+    return snapshot(colocated_archive(w), european_sites(w)).counts
+
+
+@query("snapshot_wide_colocated", wide_sql("amalgamated", f"AND p.ID_SAMPLE IN (SELECT ID_SAMPLE FROM sample WHERE ID_ENTITY IN ({_PICKED}))"))
+def _(w):
+    return snapshot(colocated_archive(w), european_sites(w)).wide("amalgamated")

@@ -139,21 +139,25 @@ def _(w):
 
 @query(
     "match_depth_rounded",
-    """SELECT s.ID_ENTITY, s.ID_SAMPLE, s.depth, b.depth AS depth_source, b.age AS age_source
-       FROM sample s LEFT JOIN source_sample b
-       ON s.ID_ENTITY = b.ID_ENTITY AND round_even(s.depth, 3) = round_even(b.depth, 3)""",
+    """WITH a AS (SELECT ID_ENTITY, ID_SAMPLE, CASE WHEN ID_SAMPLE % 23 <> 0 THEN depth END AS depth FROM sample),
+       b AS (SELECT ID_ENTITY, CASE WHEN age % 19 <> 0 THEN depth END AS depth, age FROM source_sample)
+       SELECT a.ID_ENTITY, a.ID_SAMPLE, a.depth, b.depth AS depth_source, b.age AS age_source
+       FROM a LEFT JOIN b ON a.ID_ENTITY = b.ID_ENTITY AND round_even(a.depth, 3) IS NOT DISTINCT FROM round_even(b.depth, 3)""",
 )
 def _(w):
-    source = w.source_sample.select("ID_ENTITY", "depth", F.col("age").alias("age_source"))
-    return match.match_depth_rounded(w.sample.select("ID_ENTITY", "ID_SAMPLE", "depth"), source)
+    # Some depths are missing on either side; those of an entity match each other.
+    mine = w.sample.select("ID_ENTITY", "ID_SAMPLE", F.when(F.col("ID_SAMPLE") % 23 != 0, F.col("depth")).alias("depth"))
+    depth = F.when(F.col("age") % 19 != 0, F.col("depth")).alias("depth")
+    return match.match_depth_rounded(mine, w.source_sample.select("ID_ENTITY", depth, F.col("age").alias("age_source")))
 
 
+# Coarse depths: many samples of an entity share one, with other thicknesses.
 _POSITIONAL = """
-    WITH a AS (SELECT ID_ENTITY, ID_SAMPLE, depth, thickness, count(*) OVER (PARTITION BY ID_ENTITY) AS n,
-                      row_number() OVER (PARTITION BY ID_ENTITY ORDER BY depth, ID_SAMPLE) AS rn FROM sample),
-    b AS (SELECT ID_ENTITY, depth AS depth_source, thickness AS thickness_source,
+    WITH a AS (SELECT ID_ENTITY, ID_SAMPLE, floor(depth / 4000) * 4000 AS depth, thickness, count(*) OVER (PARTITION BY ID_ENTITY) AS n,
+                      row_number() OVER (PARTITION BY ID_ENTITY ORDER BY floor(depth / 4000) * 4000, ID_SAMPLE) AS rn FROM sample),
+    b AS (SELECT ID_ENTITY, floor(depth / 4000) * 4000 AS depth_source, thickness AS thickness_source,
                  count(*) OVER (PARTITION BY ID_ENTITY) AS n,
-                 row_number() OVER (PARTITION BY ID_ENTITY ORDER BY depth) AS rn FROM source_sample),
+                 row_number() OVER (PARTITION BY ID_ENTITY ORDER BY floor(depth / 4000) * 4000, thickness) AS rn FROM source_sample),
     matched AS (
       SELECT a.ID_ENTITY, a.ID_SAMPLE, a.depth, a.thickness, b.depth_source, b.thickness_source, 'position' AS matched_by
       FROM a JOIN b ON a.ID_ENTITY = b.ID_ENTITY AND a.n = b.n AND a.rn = b.rn
@@ -165,9 +169,10 @@ _POSITIONAL = """
 
 
 def positional(w):
-    mine = w.sample.select("ID_ENTITY", "ID_SAMPLE", "depth", "thickness")
-    other = w.source_sample.select("ID_ENTITY", "depth", "thickness")
-    return match.match_positional(mine, other, "ID_ENTITY", ["depth", "ID_SAMPLE"], ["depth"])
+    coarse = (F.floor(F.col("depth") / 4000) * 4000).cast("double").alias("depth")
+    mine = w.sample.select("ID_ENTITY", "ID_SAMPLE", coarse, "thickness")
+    other = w.source_sample.select("ID_ENTITY", coarse, "thickness")
+    return match.match_positional(mine, other, "ID_ENTITY", ["depth", "ID_SAMPLE"], ["depth", "thickness"])
 
 
 @query("match_positional", _POSITIONAL + "SELECT * FROM matched")
@@ -267,9 +272,14 @@ def _(w):
     return harmonise.collapse_publications(w.entity.select("ID_ENTITY", "entity_name"), w.entity_pub, w.pub)
 
 
-@query("map_fanout_check", "SELECT p_name, count(DISTINCT p_type) AS n_parents FROM part WHERE p_type IS NOT NULL GROUP BY p_name HAVING count(DISTINCT p_type) > 1")
+@query(
+    "map_fanout_check",
+    """SELECT clean_name, count(DISTINCT CASE WHEN raw_taxon % 50 = 0 THEN 'other' ELSE intermediate END) AS n_parents
+       FROM taxa_map GROUP BY clean_name HAVING n_parents > 1""",
+)
 def _(w):
-    return amalgamate.map_conflicts(w.given("part"), "p_name", "p_type")
+    second = F.when(F.col("raw_taxon") % 50 == 0, "other").otherwise(F.col("intermediate"))
+    return amalgamate.map_conflicts(w.taxa_map.withColumn("intermediate", second), "clean_name", "intermediate")
 
 
 @query(

@@ -92,7 +92,7 @@ VIEWS: dict[str, str] = {
         FROM sample s JOIN model_name m ON (m.ID_MODEL = 8 OR s.ID_SAMPLE % 5 = 0)
         WHERE s.age_type IS NOT NULL AND s.age IS NOT NULL""",
     "age_file": """
-        SELECT ID_ENTITY, concat(copy.n, '-', ID_SAMPLE) AS sample_ids,
+        SELECT ID_ENTITY, concat(copy.n, CASE WHEN ID_SAMPLE % 7 = 0 THEN ',' ELSE '-' END, ID_SAMPLE) AS sample_ids,
                CASE WHEN ID_ENTITY % 10 = 1 THEN depth + 0.01 ELSE depth END AS depths,
                age + CAST(0.7 AS DOUBLE) AS mean, age + CAST(0.2 AS DOUBLE) AS median, age - CAST(90.9 AS DOUBLE) AS uncert_5,
                age - CAST(25.5 AS DOUBLE) AS uncert_25, age + CAST(25.5 AS DOUBLE) AS uncert_75, age + CAST(90.9 AS DOUBLE) AS uncert_95
