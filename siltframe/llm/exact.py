@@ -6,8 +6,9 @@ chunk is a polynomial in its bytes modulo two primes of 31 bits; the fingerprint
 cut gives the same number. Texts of equal fingerprint and length are then compared chunk by chunk with the smallest
 id of their group; those that differ after all are grouped anew until none is left.
 
-Null text counts as empty. Rows that share the smallest doc_id of their group all stay. Rows without a doc_id cannot be
-named by one: they are grouped among themselves and all stay. Extra columns are ignored.
+Null text counts as empty. An id may stand on several rows, with one text or with many: every row belongs to the group
+of its own text. Rows of a group that share its smallest doc_id all stay. Rows without a doc_id cannot be named by one:
+they are grouped among themselves and all stay. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,6 +27,10 @@ PRIMES = (2147483647, 2147483629)
 BASE = 1_000_003
 #: Members compared with one copy of their group's first text.
 COMPANY = 64
+#: Hexadecimal digits of its SHA-256 that tell the texts under one id apart.
+OWN_DIGITS = 15
+#: Columns of a text that is compared: its leader, their share of the leader's company, and the text itself.
+ROLE = ["leader", "leader_own", "part", "member", "doc_id", "own"]
 _SPACES = b" \t\n\r\x0b\x0c"
 
 
@@ -86,69 +91,79 @@ def _hasher(primes: tuple[int, int]):
 
 
 def _cut(batches):
-    """Chunks of the normalised texts."""
+    """Chunks of the normalised texts; of the texts under one id those that are meant."""
     for batch in batches:
-        for i, text in enumerate(batch.column("text").to_pylist()):
+        for i, (text, own) in enumerate(zip(batch.column("text").to_pylist(), batch.column("own").to_pylist())):
             data = normalised(text)
+            if int(hashlib.sha256(data).hexdigest()[:OWN_DIGITS], 16) != own:
+                continue
             cuts = range(0, max(len(data), 1), CHUNK_BYTES)
-            rest = [pa.array([batch.column(c)[i].as_py()] * len(cuts), batch.column(c).type) for c in ("leader", "part", "member", "doc_id")]
+            rest = [pa.array([batch.column(c)[i].as_py()] * len(cuts), batch.column(c).type) for c in ROLE]
             yield pa.RecordBatch.from_arrays(
                 [*rest, pa.array(range(len(cuts)), pa.int32()), pa.array([data[a : a + CHUNK_BYTES] for a in cuts], pa.binary())],
-                ["leader", "part", "member", "doc_id", "chunk", "data"],
+                [*ROLE, "chunk", "data"],
             )
 
 
 def _differing(batches):
-    """Ids of members with a chunk unlike their leader's; rows come by leader, part and chunk, the leader's first."""
-    own = None
+    """Members with a chunk unlike their leader's; rows come by leader, part and chunk, the leader's first."""
+    head = None
     for batch in batches:
-        members, chunks, ids = batch.column("member").to_pylist(), batch.column("data"), batch.column("doc_id").to_pylist()
+        members, chunks = batch.column("member").to_pylist(), batch.column("data")
         out = []
         for i, member in enumerate(members):
             if not member:
-                own = chunks[i].as_py()
-            elif chunks[i].as_py() != own:
-                out.append(ids[i])
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], ["doc_id"])
+                head = chunks[i].as_py()
+            elif chunks[i].as_py() != head:
+                out.append(i)
+        yield batch.select(["doc_id", "own"]).take(pa.array(out, pa.int64()))
 
 
 def _unequal(members: DataFrame, docs: DataFrame) -> DataFrame:
-    """Ids of ``members`` (doc_id, leader) whose text is not the leader's."""
+    """Those of ``members`` (doc_id, own, leader, leader_own) whose text is not the leader's."""
     wanted = members.select("doc_id").union(members.select("leader")).distinct()
     texts = sieve(wanted, docs, "doc_id")
-    busy = members.groupBy("leader").agg(F.ceil(F.count("*") / COMPANY).alias("groups"))
-    dealt = members.join(busy, "leader").select("leader", "doc_id", F.expr("pmod(xxhash64(doc_id), groups)").alias("part"))
-    heads = dealt.select("leader", "part").distinct().withColumn("doc_id", F.col("leader"))
-    roles = dealt.select("leader", "part", "doc_id", F.lit(True).alias("member")).union(heads.withColumn("member", F.lit(False)))
+    busy = members.groupBy("leader", "leader_own").agg(F.ceil(F.count("*") / COMPANY).alias("groups"))
+    dealt = members.join(busy, ["leader", "leader_own"]).select(
+        "leader", "leader_own", F.expr("pmod(xxhash64(doc_id, own), groups)").alias("part"), F.lit(True).alias("member"), "doc_id", "own"
+    )
+    heads = dealt.select("leader", "leader_own", "part").distinct()
+    roles = dealt.union(heads.select("*", F.lit(False), F.col("leader"), F.col("leader_own")))
     rows = texts.join(roles.hint("merge"), "doc_id")  # by id at every size: how many roles there are is not known ahead
-    rows = rows.select("leader", "part", "member", "doc_id", "text")
-    chunks = rows.mapInArrow(_cut, "leader long, part long, member boolean, doc_id long, chunk int, data binary")
-    ordered = chunks.repartition("leader", "part").sortWithinPartitions("leader", "part", "chunk", "member")
-    return ordered.mapInArrow(_differing, "doc_id long").distinct()
+    rows = rows.select(*ROLE, "text")
+    chunks = rows.mapInArrow(_cut, "leader long, leader_own long, part long, member boolean, doc_id long, own long, chunk int, data binary")
+    ordered = chunks.repartition("leader", "leader_own", "part").sortWithinPartitions("leader", "leader_own", "part", "chunk", "member")
+    return ordered.mapInArrow(_differing, "doc_id long, own long").distinct()
 
 
 def exact_duplicates(docs: DataFrame, primes: tuple[int, int] = PRIMES) -> DataFrame:
     """One row per row of ``docs`` (doc_id long, text): doc_id, keep_id, group_size, kept, text_sha256."""
     prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    hashed = stored(docs.mapInArrow(_hasher(primes), "doc_id long, mark long, n_bytes long, text_sha256 string"), "hashed")
-    mark, settled = ["mark", "n_bytes"], None
-    open_rows = hashed.where("doc_id is not null").select("doc_id", *mark)
+    hashed = docs.mapInArrow(_hasher(primes), "doc_id long, mark long, n_bytes long, text_sha256 string")
+    own = F.conv(F.substring("text_sha256", 1, OWN_DIGITS), 16, 10).cast("long").alias("own")
+    hashed = stored(hashed.select("*", own), "hashed")
+    mark, row, settled = ["mark", "n_bytes"], ["doc_id", "own"], None
+    open_rows = hashed.where("doc_id is not null").select(*row, *mark)
     while True:
-        groups = open_rows.groupBy(*mark).agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last")).where("leader < last")
-        members = stored(open_rows.join(groups, mark).where("doc_id > leader").select("doc_id", *mark, "leader").distinct(), "members", narrow=True)
+        one = F.struct(*row)
+        groups = open_rows.groupBy(*mark).agg(F.min(one).alias("first"), F.max(one).alias("last")).where("first < last")
+        groups = groups.select(*mark, F.col("first.doc_id").alias("leader"), F.col("first.own").alias("leader_own"))
+        members = open_rows.join(groups, mark).where("doc_id > leader or own <> leader_own").distinct()
+        members = stored(members, "members", narrow=True)
         unequal = stored(_unequal(members, docs), "unequal", narrow=True)
-        same = members.join(unequal, "doc_id", "left_anti")
+        same = members.join(unequal, row, "left_anti")
         settled = same if settled is None else settled.union(same)
         if unequal.isEmpty():
             break
-        open_rows = members.join(unequal, "doc_id", "left_semi").select("doc_id", *mark)
+        open_rows = members.join(unequal, row, "left_semi").select(*row, *mark)
     found = (
-        hashed.join(settled, ["doc_id", *mark], "left").withColumn("keep_id", F.coalesce("leader", "doc_id"))
-        .select("doc_id", *mark, "keep_id", "text_sha256")
+        hashed.join(settled, [*row, *mark], "left")
+        .select(*row, *mark, "text_sha256", F.coalesce("leader", "doc_id").alias("keep_id"), F.coalesce("leader_own", "own").alias("keep_own"))
     )
-    sizes = found.groupBy(*mark, "keep_id").agg(F.count("*").alias("group_size"))
+    group = [*mark, "keep_id", "keep_own"]
+    sizes = found.groupBy(*group).agg(F.count("*").alias("group_size"))
     return (
-        found.alias("f").join(sizes.alias("s"), [F.col(f"f.{c}").eqNullSafe(F.col(f"s.{c}")) for c in (*mark, "keep_id")])
+        found.alias("f").join(sizes.alias("s"), [F.col(f"f.{c}").eqNullSafe(F.col(f"s.{c}")) for c in group])
         .select("f.doc_id", "f.keep_id", "s.group_size", F.col("f.doc_id").eqNullSafe(F.col("f.keep_id")).alias("kept"), "f.text_sha256")
     )

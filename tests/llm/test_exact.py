@@ -53,3 +53,17 @@ def test_any_cut_gives_the_same_fingerprint(data, at, chunk):
     for k, prime in enumerate(exact.PRIMES):
         part = lambda x: (exact.Fingerprint()(x) >> (31 * (1 - k)) & (1 << 31) - 1, len(x))  # noqa: B023, E731
         assert exact.combine(part(data[:at]), part(data[at:]), prime) == part(data)
+
+
+def test_an_id_may_have_several_texts(docs):
+    rows = [(1, "alpha beta"), (2, "alpha  beta"), (2, "other text"), (3, "other text"), (2, "alpha beta"), (None, "other text")]
+    got = exact.exact_duplicates(docs(*[t for _, t in rows], ids=[i for i, _ in rows])).select("doc_id", "keep_id", "group_size", "kept").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(
+        [(1, 1, 3, True), (2, 1, 3, False), (2, 1, 3, False), (2, 2, 2, True), (3, 2, 2, False), (None, None, 1, True)], key=repr
+    )
+
+
+def test_colliding_texts_under_one_id(docs):
+    rows = [(i % 3, f"{a}{b}") for i, (a, b) in enumerate((a, b) for a in "abcd" for b in "abcd")] * 2
+    got = exact.exact_duplicates(docs(*[t for _, t in rows], ids=[i for i, _ in rows]), primes=(2, 3)).collect()
+    assert sorted(map(tuple, got), key=repr) == brute(rows)
