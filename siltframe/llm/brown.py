@@ -21,6 +21,8 @@ columns are ignored. Without training rows every token has probability 1 / 1.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -220,6 +222,7 @@ def classes_of(w: Words, m: dict) -> tuple[np.ndarray, np.ndarray]:
 
 #: A kind of neighbour of a word, and how often.
 ENTRY = np.dtype([("code", "<u2"), ("n", "<u4")])
+SUMMED = np.dtype([("code", "<u2"), ("n", "<i8")])
 #: Rows of a shuffled table that a task looks at together.
 ROWS = 1 << 14
 
@@ -246,12 +249,30 @@ def _pairs_of(batch, m: dict):
     return first, second
 
 
+def _fixed(m: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Words that keep their class, and a flag for each place in the head and for the end."""
+    words_ = np.append(m["frequent"], _U(END))
+    return np.sort(words_), np.append(np.isin(m["head"], m["frequent"]), True)
+
+
+def _runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of rows by ``keys``, the first most important, and where in it each distinct row begins."""
+    order = np.lexsort(keys[::-1])
+    first = np.zeros(len(order), bool)
+    first[:1] = True
+    for key in keys:
+        key = key[order]
+        first[1:] |= key[1:] != key[:-1]
+    return order, np.flatnonzero(first)
+
+
 def _near(model):
-    """Neighbours of the words in the head, and of ends, that are in it too: (word, kinds)."""
+    """Neighbours in the head, and ends, of the words in the head that choose a class: (word, kinds)."""
 
     def count(batches):
         m = model.value
         k, names, held, n_held = m["k"], np.append(m["head"], _U(END)).view(np.int64), [], 0
+        of, fixed = np.append(m["classes"], m["end_class"]), _fixed(m)[1]
         width = 2 * k + 1
 
         def merged():
@@ -266,15 +287,12 @@ def _near(model):
             first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
             return _packed(names[place[first]], np.append(first, len(keys)), keys % width, n)
 
-        for batch in batches:
-            (_, class_a, a), (_, class_b, b) = _pairs_of(batch, m)
-            near = (a >= 0) & (b >= 0)
-            a, b, class_a, class_b = a[near], b[near], class_a[near], class_b[near]
-            if not len(a):
+        for a, b in _near_pairs(batches):
+            same, left, right = a == b, ~fixed[a], ~fixed[b]
+            keys = [a[left & ~same] * width + of[b[left & ~same]], b[right & ~same] * width + k + of[a[right & ~same]], a[left & same] * width + 2 * k]
+            keys = np.sort(np.concatenate(keys))
+            if not len(keys):
                 continue
-            same = a == b
-            keys = np.concatenate((a[~same] * width + class_b[~same], b[~same] * width + k + class_a[~same], a[same] * width + 2 * k))
-            keys = np.sort(keys)
             first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
             held.append((keys[first], np.diff(np.append(first, len(keys)))))
             n_held += len(first)
@@ -290,8 +308,11 @@ def _near(model):
     return count
 
 
-def _far_pairs(model):
-    """Pairs of neighbours with a word outside of the head: numbers and places."""
+def _cut_once(model):
+    """Pairs of neighbours with a word outside of the head, as numbers and places, and the places of all words.
+
+    A row has either a pair or, in ``places``, the places of all words and ends of a batch of texts, -1 outside of the head.
+    """
 
     def found(batches):
         m = model.value
@@ -301,11 +322,30 @@ def _far_pairs(model):
             for at in range(0, len(far), 1 << 15):
                 part = far[at : at + (1 << 15)]
                 columns = [pa.array(first[part]), pa.array(second[part]), pa.array(a[part].astype(np.int32)), pa.array(b[part].astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, ["a", "b", "place_a", "place_b"])
+                yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(part), pa.binary())], PAIR)
+            for at in range(0, len(b), PLACES):  # a part begins with the last place of the part before, or an end
+                part = b[max(at - 1, 0) : at + PLACES] if at else np.concatenate((a[:1], b[:PLACES]))
+                none = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32())]
+                yield pa.RecordBatch.from_arrays([*none, pa.array([part.astype("<i4").tobytes()], pa.binary())], PAIR)
 
     return found
 
 
+PAIR = ["a", "b", "place_a", "place_b", "places"]
+#: Places in one row.
+PLACES = 1 << 17
+
+
+def _near_pairs(batches):
+    """Places of the first and the second word of the pairs in the head, from stored places."""
+    for batch in batches:
+        for row in batch.column("places"):
+            place = np.frombuffer(row.as_py(), "<i4").astype(np.int64)
+            a, b = place[:-1], place[1:]
+            near = (a >= 0) & (b >= 0)
+            yield a[near], b[near]
+
+
 def _classes(batch, m: dict) -> list[np.ndarray]:
     """Classes of the first and the second word of joined pairs."""
     of, out = np.append(m["classes"], m["end_class"]), []
@@ -316,18 +356,33 @@ def _classes(batch, m: dict) -> list[np.ndarray]:
 
 
 def _far_kinds(model):
-    """(word, kinds) of both words of the joined pairs."""
+    """(word, kinds) of those words of the joined pairs that choose a class, added up as far as a task holds them."""
 
     def kinds(batches):
         m = model.value
-        k = m["k"]
+        k, held, n_held, fixed = m["k"], [], 0, _fixed(m)[0]
+
+        def rows():
+            word, code = (np.concatenate(x) for x in zip(*held))
+            order, first = _runs(word, code)
+            word, code, n = word[order[first]], code[order[first]], np.diff(np.append(first, len(order)))
+            new = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+            return _packed(word[new], np.append(new, len(word)), code, n)
+
         for batch in batches:
             a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
             class_a, class_b = _classes(batch, m)
             same = a == b
             word = np.concatenate((a, b[~same]))
-            code = np.concatenate((np.where(same, 2 * k, class_b), k + class_a[~same]))
-            yield from _packed(word, np.arange(len(word) + 1), code, np.ones(len(word)))
+            code = np.concatenate((np.where(same, 2 * k, class_b), k + class_a[~same])).astype(np.int16)
+            free = _places_in(fixed, word.view(_U)) < 0
+            held.append((word[free], code[free]))
+            n_held += int(free.sum())
+            if n_held > HOLD:
+                yield from rows()
+                held, n_held = [], 0
+        if n_held:
+            yield from rows()
 
     return kinds
 
@@ -344,19 +399,14 @@ def _own_kinds(k: int):
 
 
 def _table(model, joined: bool):
-    """Class bigrams: of pairs in the head from texts, of others from joined pairs."""
+    """Class bigrams: of pairs in the head from stored places, of others from joined pairs."""
 
     def count(batches):
         m = model.value
         k = m["k"]
-        total = np.zeros(k * k, np.int64)
-        for batch in batches:
-            if joined:
-                a, b = _classes(batch, m)
-            else:
-                (_, a, place_a), (_, b, place_b) = _pairs_of(batch, m)
-                near = (place_a >= 0) & (place_b >= 0)
-                a, b = a[near], b[near]
+        total, of = np.zeros(k * k, np.int64), np.append(m["classes"], m["end_class"])
+        pairs = (_classes(x, m) for x in batches) if joined else ((of[a], of[b]) for a, b in _near_pairs(batches))
+        for a, b in pairs:
             total += np.bincount(a * k + b, minlength=k * k)
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(total[found])], ["slot", "n"])
@@ -387,6 +437,15 @@ def _choose(model):
             new = np.where((_places_in(m["frequent"], word) >= 0) | (word == END), own, new)
             return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(place.astype(np.int32)), pa.array(new.astype(np.int32))], ["word", "place", "class"])
 
+        def summed(entries):
+            """The kinds of one word, each once: a word of any frequency takes as much room as there are kinds."""
+            n = np.zeros(width, np.int64)
+            np.add.at(n, entries["code"], entries["n"])
+            out = np.empty(np.count_nonzero(n), SUMMED)
+            out["code"] = np.flatnonzero(n)
+            out["n"] = n[out["code"]]
+            return out
+
         held, n_held = [], 0
         for batch in batches:
             column = batch.column("kinds")
@@ -394,7 +453,7 @@ def _choose(model):
             offsets = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
             if not len(column):
                 continue
-            entries = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view(ENTRY)
+            entries = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view(ENTRY).astype(SUMMED)
             held.append((batch.column("word").to_numpy(), np.diff(offsets) // ENTRY.itemsize, entries))
             n_held += len(column)
             if n_held >= ROWS:
@@ -404,7 +463,8 @@ def _choose(model):
                     at = int(size[:cut].sum())
                     yield chosen(word[:cut], size[:cut], entries[:at])
                     word, size, entries = word[cut:], size[cut:], entries[at:]
-                held, n_held = [(word, size, entries)], len(word)
+                entries = summed(entries)
+                held, n_held = [(word[:1], np.array([len(entries)]), entries)], 1
         if held:
             yield chosen(*(np.concatenate(x) for x in zip(*held)))
 
@@ -426,12 +486,36 @@ def cluster(train: DataFrame, model: dict, far: DataFrame | None, rounds: int =
 
     ``model`` has the first classes of the words in the head, ``far`` those of all others, if there are any.
     """
-    spark, k, kept = train.sparkSession, model["k"], None
-    if far is not None:
-        pairs = stored(train.mapInArrow(_far_pairs(spark.sparkContext.broadcast(model)), "a long, b long, place_a int, place_b int"), "pairs")
+    spark = train.sparkSession
+    shipped = spark.sparkContext.broadcast(model)
+    cut = stored(train.mapInArrow(_cut_once(shipped), "a long, b long, place_a int, place_b int, places binary"), "pairs")
+    shipped.destroy()
+    with _long_batches(spark):
+        return _rounds(cut.where("places is null").drop("places"), cut.where("places is not null").select("places"), model, far, rounds)
+
+
+@contextmanager
+def _long_batches(spark, rows: int = ROWS):
+    """Tables of a few numbers a row go through tasks in longer batches than texts do."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _rounds(pairs: DataFrame, near: DataFrame, model: dict, far: DataFrame | None, rounds: int):
+    spark, k, kept, used = pairs.sparkSession, model["k"], None, []
+
+    def ship(value: dict):
+        used.append(spark.sparkContext.broadcast(value))
+        return used[-1]
+
     for at in range(rounds + 1):
-        shipped = spark.sparkContext.broadcast(model)
-        sums = train.mapInArrow(_table(shipped, False), "slot int, n long")
+        shipped = ship(model)
+        sums = near.mapInArrow(_table(shipped, False), "slot int, n long")
         if far is not None:
             joined = stored(_joined(pairs, far), "joined")
             sums = sums.union(joined.mapInArrow(_table(shipped, True), "slot int, n long"))
@@ -444,8 +528,8 @@ def cluster(train: DataFrame, model: dict, far: DataFrame | None, rounds: int =
         kept = model, far, table
         if at == rounds:
             break
-        shipped = spark.sparkContext.broadcast(model | {"table": table})
-        kinds = train.mapInArrow(_near(shipped), "word long, kinds binary")
+        shipped = ship(model | {"table": table})
+        kinds = near.mapInArrow(_near(shipped), "word long, kinds binary")
         if far is not None:
             kinds = kinds.union(joined.mapInArrow(_far_kinds(shipped), "word long, kinds binary")).union(far.mapInArrow(_own_kinds(k), "word long, kinds binary"))
         sorted_ = kinds.repartition("word").sortWithinPartitions("word")
@@ -456,6 +540,8 @@ def cluster(train: DataFrame, model: dict, far: DataFrame | None, rounds: int =
         model = model | {"classes": classes}
         if far is not None:
             far = chosen.where((F.col("place") < 0) & (F.col("word") != END)).select("word", "class")
+        while used:
+            used.pop().destroy()
     model, far, table = kept
     types = np.bincount(model["classes"], minlength=k).astype(float)
     for row in [] if far is None else far.groupBy("class").count().collect():
