@@ -574,7 +574,8 @@ def _open_pairs(w: Words, of: np.ndarray, place: np.ndarray, m: dict) -> pa.List
         table, times = np.zeros((0, 7), np.int64), np.zeros(0, np.int64)
     else:
         table = np.stack([x[open_] for x in (text, last[0], number, last[1], of, (last[2] >= 0).astype(np.int64), (place >= 0).astype(np.int64))], 1)
-        table, times = np.unique(table, axis=0, return_counts=True)
+        order, first_ = _runs(table[:, 0], table[:, 1], table[:, 2])  # the other columns go with the two words
+        table, times = table[order[first_]], np.diff(np.append(first_, len(order)))
     flat = pa.StructArray.from_arrays(
         [
             pa.array(table[:, 1], mask=table[:, 5] > 0), pa.array(table[:, 2], mask=table[:, 6] > 0),
@@ -598,10 +599,11 @@ def _scorer(model):
             logs, known = m["logs"], place >= 0
             gain = np.concatenate(([0.0], np.cumsum(np.where(known, logs[place] if len(logs) else 0.0, 0.0))))
             seen = np.concatenate(([0], np.cumsum(known)))
-            tails = [np.unique(w.number[a:b][~known[a:b]], return_counts=True) for a, b in zip(w.bound, w.bound[1:])]
-            places = pa.array(np.concatenate(([0], np.cumsum([len(t[0]) for t in tails]))).astype(np.int32))
-            flat = [np.concatenate(x) if len(x) else np.zeros(0, np.int64) for x in ([t[0].view(np.int64) for t in tails], [t[1] for t in tails])]
             size = np.diff(w.bound)
+            text, number = np.repeat(np.arange(len(size)), size)[~known], w.number[~known]
+            order, first = _runs(text, number)
+            places = pa.array(np.searchsorted(text[order[first]], np.arange(len(w.bound))).astype(np.int32))
+            flat = number[order[first]].view(np.int64), np.diff(np.append(first, len(order)))
             arrays = [
                 batch.column("doc_id"),
                 pa.array(size + 1),
@@ -684,7 +686,9 @@ def scores(docs: DataFrame, classes: int = CLASSES, head: int = HEAD) -> DataFra
         for side in "ab":
             both = both.join(far.select(F.col("word").alias(side), F.col("class").alias(f"new_{side}")), side, "left")
         both = both.select("row", "ca", "cb", F.coalesce("new_a", "ca").alias("new_a"), F.coalesce("new_b", "cb").alias("new_b"), "times")
-        gains = alone.union(both).mapInArrow(_joined_context(model), "row long, gain double").groupBy("row").agg(F.sum("gain").alias("gain"))
+        with _long_batches(spark):
+            gains = alone.union(both).mapInArrow(_joined_context(model), "row long, gain double").groupBy("row").agg(F.sum("gain").alias("gain"))
+            gains = stored(gains, "gains", narrow=True)
         scored_rows = scored_rows.join(gains, "row", "left")
         context = context + F.coalesce("gain", F.lit(0.0))
     logs = F.col("logs") + F.coalesce("more", F.lit(0.0))
