@@ -8,7 +8,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_queries_are_registered():
     numbers = sorted(int(k[2:].split("_")[0]) for k in QUERIES)
-    assert numbers == list(range(1, 11)) and "pipeline" in contract.queries() and set(ORACLES) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and "pipeline" in contract.queries() and set(ORACLES) <= set(QUERIES)
 
 
 def test_stages_keep_columns_and_drop_what_they_should(spark, tmp_path):
