@@ -1,7 +1,7 @@
 """Language identification in two steps: the family first, then one-versus-one linear machines inside it.
 
-A text is the vector of its hashed two- and three-symbol groups, as square roots of shares, over the whole text. Up to
-SAMPLE_ROWS rows of each language teach it. Families are found from the mean vectors of the languages by average
+A text is the vector of its hashed groups of two and three characters, as square roots of shares, over the whole text.
+Characters beyond ASCII count by their whole code points, so any script can be told apart. Up to SAMPLE_ROWS rows of each language teach it. Families are found from the mean vectors of the languages by average
 linkage until the square root of their number is left. Linear support vector machines (squared hinge loss, dual
 coordinate descent) separate the families one against another; in the family chosen, one machine per pair of languages
 votes, and the sum of margins breaks ties. The score is the product of the chance of the family and of the language,
@@ -22,20 +22,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .store import fold, prepare
-from .symbols import grams
+from .symbols import BEYOND, spans
 
-BUCKETS = 4096
+#: Places of a vector: pairs of ASCII symbols, hashed other pairs up to PAIRS, hashed triples.
+BUCKETS, PAIRS, PLAIN = 4096, 1280, BEYOND * BEYOND
 SAMPLE_ROWS = 300
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
 
 
+def _mix(number: np.ndarray) -> np.ndarray:
+    """Numbers scattered over 32 bits."""
+    number = (number ^ number >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15)
+    return (number ^ number >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)
+
+
 def vector(text: str | None) -> np.ndarray:
     counts = np.zeros(BUCKETS)
-    for block in grams(text, 3):
-        triple = (block * np.int32(40503) & 0x7FFFFFFF) >> 11
-        counts += np.bincount(triple % (BUCKETS - 1024) + 1024, minlength=BUCKETS)
-        counts[:1024] += np.bincount(block & 1023, minlength=1024)
+    for span in spans(text, 3):
+        first, second, third = (span[:, k].astype(np.uint64) for k in range(3))
+        pair, triple = second << np.uint64(21) | third, first << np.uint64(42) | second << np.uint64(21) | third
+        plain = np.maximum(second, third) < BEYOND
+        two = np.where(plain, second * np.uint64(BEYOND) + third, PLAIN + _mix(pair) % np.uint64(PAIRS - PLAIN))
+        counts += np.bincount((PAIRS + _mix(triple) % np.uint64(BUCKETS - PAIRS)).astype(np.int64), minlength=BUCKETS)
+        counts[:PAIRS] += np.bincount(two.astype(np.int64), minlength=PAIRS)
     out = np.sqrt(counts).astype(np.float32)
     return out / max(float(np.linalg.norm(out)), 1e-9)
 

@@ -3,7 +3,8 @@
 Two models, of toxic and of ordinary documents, are learned from a bounded sample of labelled rows. Each interpolates
 absolutely discounted counts of ORDER-grams with continuation counts of shorter ones; at the bottom both share the
 continuation counts of all sampled documents, so that rare expressions count alike in both. The difference of the log
-likelihoods is taken at every place of the whole text and averaged over its length, once as it is and once over what
+likelihoods is taken at every place of the whole text and averaged over its length. Letters of scripts other than Latin
+have tables of their own, over 31 symbols that neighbouring letters of a script do not share. The mean is taken once as it is and once over what
 exceeds each of EXCESS (a few telling places in a long text). A logistic curve, fitted on a quarter of the sample that
 the models have not seen and weighted to the share of toxic rows among all labels, turns these means into a score.
 
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import fold, prepare, stored
-from .symbols import SYMBOLS, grams
+from .symbols import PLANES, SYMBOLS, grams
 
 ORDER, DISCOUNT = 4, 0.75
 #: Labelled rows of each class to learn from; every fourth of them fits the curve.
@@ -49,8 +50,13 @@ def kneser_ney(counts: np.ndarray, shared: np.ndarray, order: int = ORDER, disco
     return p.reshape(-1)
 
 
+def log_ratios(ordinary: np.ndarray, toxic: np.ndarray, order: int = ORDER) -> np.ndarray:
+    """``log_ratio`` of each plane of symbols, one after the other."""
+    return np.concatenate([log_ratio(o, t, order) for o, t in zip(ordinary.reshape(PLANES, -1), toxic.reshape(PLANES, -1))])
+
+
 def log_ratio(ordinary: np.ndarray, toxic: np.ndarray, order: int = ORDER) -> np.ndarray:
-    """Difference of the log likelihoods of the last symbol of every n-gram."""
+    """Difference of the log likelihoods of the last symbol of every n-gram of one plane."""
     shared = ordinary + toxic
     for _ in range(order - 1):
         shared = continuations(shared)
@@ -82,7 +88,7 @@ def fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float =
 
 def _counter(order: int):
     def count(batches):
-        total = np.zeros((2, SYMBOLS**order), np.int32)
+        total = np.zeros((2, PLANES * SYMBOLS**order), np.int32)
         for batch in batches:
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
                 for block in grams(text, order):
@@ -128,10 +134,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
         texts.where("not curve").select("toxic", "text").mapInArrow(_counter(order), "slot int, ordinary long, toxic long")
         .groupBy("slot").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")).toArrow()
     )
-    full = np.zeros((2, SYMBOLS**order), np.int64)
+    full = np.zeros((2, PLANES * SYMBOLS**order), np.int64)
     for k, name in enumerate(("ordinary", "toxic")):
         full[k, counts["slot"].to_numpy()] = counts[name].to_numpy()
-    table = spark.sparkContext.broadcast(log_ratio(full[0], full[1], order))
+    table = spark.sparkContext.broadcast(log_ratios(full[0], full[1], order))
     rows = texts.where("curve").select("toxic", "text").mapInArrow(_features(table, order), "toxic int, x array<double>").toArrow()
     y = rows["toxic"].to_numpy()
     if len(y) and 0 < y.mean() < 1:

@@ -37,3 +37,47 @@ def test_nothing_to_learn_from(frame):
 def test_families_join_similar_languages():
     centres = np.array([[1, 0.1, 0], [0, 1, 0.2], [1, 0.2, 0], [0, 1, 0.1]])
     assert sorted(map(sorted, langid.families(centres))) == [[0, 2], [1, 3]]
+
+
+def _words(chance, start, letters, weights):
+    """Fifteen words of letters from a script that begins at ``start``, drawn with ``weights``."""
+    draw = lambda: "".join(chr(start + k) for k in chance.choices(letters, weights, k=chance.randrange(2, 8)))
+    return " ".join(draw() for _ in range(15))
+
+
+def test_languages_beyond_latin_letters(frame):
+    """Two languages of one script, and the same words in scripts whose code points are equal modulo 4 and 32."""
+    chance, rows = random.Random(9), []
+    common, letters = [9] * 4 + [1] * 12, range(16)
+    kinds = {"ca": (0x430, common), "cb": (0x430, common[::-1]), "ga": (0x10D0, common), "ta": (0xE10, common), "ha": (0x4E10, common)}
+    for i in range(600):
+        lang = list(kinds)[i % len(kinds)]
+        start, weights = kinds[lang]
+        rows.append((i, _words(chance, start, letters, weights), lang, 1))
+    got = {r["doc_id"]: r for r in langid.languages(frame("doc_id long, text string, lang string, score int", *rows)).collect()}
+    held = [r for r in rows if got[r[0]]["held_out"]]
+    assert len(held) > 100
+    assert np.mean([got[i]["lang_pred"] == lang for i, _, lang, _ in held]) >= 0.95
+
+
+def test_machine_reaches_the_optimum():
+    """The weights minimise the squared hinge loss: no step along any axis or at random lowers it."""
+    chance = np.random.default_rng(4)
+    x = chance.normal(size=(60, 4)).astype(np.float32)
+    y = np.where(x[:, 0] + 0.5 * chance.normal(size=60) > 0.3, 1.0, -1.0)
+    cost = np.where(y > 0, 60 / (2 * (y > 0).sum()), 60 / (2 * (y < 0).sum()))
+    rows = np.c_[x, np.ones(60)]
+
+    def loss(w):
+        return 0.5 * w @ w + (cost * np.maximum(1 - y * (rows @ w), 0) ** 2).sum()
+
+    w = langid.machine(x, y, cost=1.0, rounds=500)
+    steps = [*np.eye(5), *-np.eye(5), *chance.normal(size=(50, 5))]
+    assert all(loss(w + 0.02 * s) >= loss(w) - 1e-6 for s in steps)
+
+
+def test_vectors_do_not_depend_on_blocks(monkeypatch):
+    text = "Été  à la   мир!! 世界 12 -- \n ok " * 9
+    whole = langid.vector(text)
+    monkeypatch.setattr("siltframe.llm.symbols.BLOCK_CHARS", 3)
+    assert np.allclose(langid.vector(text), whole)

@@ -9,9 +9,11 @@ from siltframe.llm import toxicity
 from siltframe.llm.symbols import SYMBOLS, grams
 
 
-def corpus(n):
+PLAIN, BAD = ["the", "river", "runs", "over", "stones", "and", "under", "trees"], ["zugmax", "zugbold", "zugrine"]
+
+
+def corpus(n, plain=PLAIN, bad=BAD):
     chance = random.Random(3)
-    plain, bad = ["the", "river", "runs", "over", "stones", "and", "under", "trees"], ["zugmax", "zugbold", "zugrine"]
     rows = []
     for i in range(n):
         toxic = int(i % 4 == 0)
@@ -51,7 +53,52 @@ def test_kneser_ney_is_a_distribution():
 
 
 def test_grams_do_not_depend_on_blocks(monkeypatch):
-    text = "Été  à la   mer!! 12 -- \n ok " * 9
+    text = "Été  à la   mer!! 12 -- \n «мир, война» ok 世界。 " * 9
     whole = np.concatenate(list(grams(text, 3)))
     monkeypatch.setattr("siltframe.llm.symbols.BLOCK_CHARS", 7)
     assert (np.concatenate(list(grams(text, 3))) == whole).all()
+
+
+def test_scripts_beyond_latin(frame):
+    """The same words letter by letter in another script, also between Latin ones, are told apart as well."""
+    moved = str.maketrans({chr(97 + k): chr(0x430 + k) for k in range(26)})
+    rows = corpus(600, [w.translate(moved) for w in PLAIN[:6]] + PLAIN[6:], [w.translate(moved) for w in BAD])
+    labels = frame("doc_id long, toxic int", *[(i, y) for i, _, y in rows])
+    got = toxicity.toxicity(frame("doc_id long, text string", *[r[:2] for r in rows]), labels).collect()
+    assert all(r["predicted"] == rows[r["doc_id"]][2] for r in got if r["held_out"])
+
+
+def test_planes_keep_scripts_apart():
+    latin, other = (np.concatenate(list(grams(t, 4))) for t in ("abc, abc", "абв, абв"))
+    assert (latin < SYMBOLS**4).all() and len(set(latin) & set(other)) <= 1  # the leading white space
+    letters = np.concatenate(list(grams("абвгдежзийклмнопрстуфхцчшщъыьэюя", 2))) % SYMBOLS
+    assert len(set(letters[:-1])) == 31
+
+
+def test_kneser_ney_equals_brute_force():
+    """Absolutely discounted counts over continuation counts, word for word from the definition."""
+    text, order = " the cat sat on the mat and the dog sat", 3
+    found = np.concatenate(list(grams(text, order)))
+    counts = np.bincount(found, minlength=SYMBOLS**order)
+    digits = lambda g, n: tuple(g // SYMBOLS**k % SYMBOLS for k in reversed(range(n)))
+    count = [{digits(g, order): int(n) for g, n in enumerate(counts) if n}]
+    for _ in range(order - 1):
+        ends: dict = {}
+        for g in count[-1]:
+            ends[g[1:]] = ends.get(g[1:], 0) + 1
+        count.append(ends)
+    shared = np.zeros(SYMBOLS)
+    for (s,), n in count[-1].items():
+        shared[s] = n
+
+    def p(gram):
+        if len(gram) == 1:
+            return (shared[gram[0]] + 0.5) / (shared + 0.5).sum()
+        of = {g: n for g, n in count[order - len(gram)].items() if g[:-1] == gram[:-1]}
+        if not of:
+            return p(gram[1:])
+        return (max(of.get(gram, 0) - 0.75, 0) + 0.75 * len(of) * p(gram[1:])) / sum(of.values())
+
+    got = toxicity.kneser_ney(counts, shared, order)
+    for g in [*set(found.tolist()), 0, 5, 1000, 20_000, SYMBOLS**order - 1]:
+        assert np.isclose(got[g], p(digits(g, order)))
