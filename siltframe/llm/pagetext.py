@@ -6,6 +6,11 @@ Shares start from what an element's name says (a footer is not text, a paragraph
 as those say more. One linear scan finds the region with the largest sum. Inside it, text in surroundings that are
 mostly not article (an advert between two paragraphs) is left out.
 
+Names of elements are a prior only for what they enclose beside the article: an element that holds all of the page's main
+elements (or else its articles, or else its first headings) and most of its paragraphs is a wrapper, whatever its name.
+So a form around the body, or a column beside whose class a sidebar is named, keeps its article. Names that state what an
+element has or lacks (``has-sidebar``) say nothing about it.
+
 Labelled pages are those with exactly one article element, which serves as their label; up to SAMPLE_PAGES of them are
 counted. Block elements and ``<br>`` end a run of white space; blocks are joined by one line feed, runs of white space
 inside a block are one space. Null html, and a page without text, give an empty text. Repeated rows are treated alike.
@@ -58,30 +63,42 @@ _TAG = re.compile(
     r"<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)(?P<rest2>[^>]*+)(?:>|\Z)",
     re.S,
 )
+_STATE = re.compile(r"(?:has|have|no|not|with|without|is|hide|show)[-_]", re.I)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _UNSEEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 
 
 class _Open:
-    """An open element: its name, the key of its surroundings, and whether its text is hidden, aside or in an article."""
+    """An open element: its name, the key of its surroundings, whether its text is hidden, aside or in an article, and where
+    the elements around it begin whose names say that they are aside."""
 
-    __slots__ = ("name", "key", "hidden", "aside", "article")
+    __slots__ = ("name", "key", "hidden", "aside", "article", "named")
 
-    def __init__(self, name: str, key: str, hidden: bool, aside: bool, article: bool):
-        self.name, self.key, self.hidden, self.aside, self.article = name, key, hidden, aside, article
+    def __init__(self, name: str, key: str, hidden: bool, aside: bool, article: bool, named: tuple[int, ...]):
+        self.name, self.key, self.hidden, self.aside, self.article, self.named = name, key, hidden, aside, article, named
 
 
-def parts(page: str):
+def parts(page: str, wrappers: frozenset = frozenset(), held: dict[int, Counter] | None = None):
     """The page in order as (kind, key, text, block, aside, article): tags with their key, text with its surroundings.
 
-    ``block`` numbers the blocks; hidden text is left out.
+    ``block`` numbers the blocks; hidden text is left out. Elements that begin at ``wrappers`` are not aside by their names.
+    ``held`` receives, for the whole page (-1) and every element aside by its name, what it holds: main elements, articles
+    and first headings, words of paragraphs and all words.
     """
-    stack = [_Open("body", "body", False, False, False)]
+    stack = [_Open("body", "body", False, False, False, (-1,))]
     at, block = 0, 0
 
+    def hold(places: tuple[int, ...], what: str, n: int = 1):
+        if held is not None and n:
+            for place in places:
+                held.setdefault(place, Counter())[what] += n
+
     def text(run: str):
         top = stack[-1]
         if run and not top.hidden:
+            n = len(run.split())
+            hold(top.named, "words", n)
+            hold(top.named, "paragraphs", n if top.key.endswith(">p") else 0)
             yield "word", top.key, run, block, top.aside, top.article
 
     while at < len(page):
@@ -114,13 +131,18 @@ def parts(page: str):
         top = stack[-1]
         if name in INLINE and not match["rest"]:
             if name not in VOID:
-                stack.append(_Open(name, top.key, top.hidden, top.aside, top.article))
+                stack.append(_Open(name, top.key, top.hidden, top.aside, top.article, top.named))
             continue
         rest = match["rest"] or match["rest2"] or ""
         names = " ".join(sorted({x for found in _NAMES.findall(rest) for x in "".join(found).lower().split()}))
         hidden = top.hidden or name in HIDDEN or bool(_UNSEEN.search(rest))
         article = top.article or name in ("article", "main")
-        aside = top.aside or name in ASIDE or (name not in ("article", "main", "body", "html") and bool(ASIDE_NAME.search(names)))
+        telling = " ".join(x for x in names.split() if not _STATE.match(x))
+        own = name in ASIDE or (name not in ("main", "body", "html") and bool(ASIDE_NAME.search(telling)))
+        named = (*top.named, match.start()) if own and name != "article" else top.named
+        if name in ("main", "article", "h1") and not hidden and not own:
+            hold(named, name)
+        aside = top.aside or (own and name != "article" and match.start() not in wrappers)
         if name in HEADINGS and top.aside and top.article and top.name == "header":
             aside = False  # the headline of an article
         key = top.key if name in INLINE else (top.key.split(">")[0] + ">" + name)
@@ -136,7 +158,18 @@ def parts(page: str):
             if not close:
                 return
         if name not in VOID and not rest.rstrip().endswith("/"):
-            stack.append(_Open(name, key, hidden, aside, article))
+            stack.append(_Open(name, key, hidden, aside, article, named))
+
+
+def outline(page: str) -> list[tuple]:
+    """The parts of a page, its wrappers told from what stands beside the article."""
+    held: dict[int, Counter] = {}
+    found = list(parts(page, held=held))
+    whole = held.pop(-1, Counter())
+    core = next((x for x in ("main", "article", "h1") if whole[x]), None)
+    text = "paragraphs" if whole["paragraphs"] else "words"
+    wrappers = frozenset(at for at, of in held.items() if core and of[core] == whole[core] and 2 * of[text] > whole[text])
+    return list(parts(page, wrappers)) if wrappers else found
 
 
 def _prior(key: str, aside: bool, article: bool) -> tuple[float, float]:
@@ -155,27 +188,32 @@ def share(weights: dict, kind: str, key: str, aside: bool, article: bool) -> flo
     return (inside + a) / (inside + outside + a + b)
 
 
+def best_region(scores: list[float]) -> tuple[int, int]:
+    """Start and end of the contiguous run with the largest positive sum, the first and shortest of equals, by one scan."""
+    best, best_from, best_to, total, start = 0.0, 0, 0, 0.0, 0
+    for at, score in enumerate(scores):
+        if total <= 0:
+            total, start = 0.0, at
+        total += score
+        if total > best:
+            best, best_from, best_to = total, start, at + 1
+    return best_from, best_to
+
+
 def main_text(page: str | None, weights: dict) -> str:
     if not page:
         return ""
-    items, best, best_from, best_to, total, start = [], 0.0, 0, 0, 0.0, 0
-    for kind, key, text, block, aside, article in parts(page):
+    items, scores = [], []
+    for kind, key, text, block, aside, article in outline(page):
         of = share(weights, kind, key, aside, article)
-        if kind == "word":
-            words = html.unescape(text)
-            score = of * len(words.split())
-        else:
-            words, score = "", max(math.log(of), TAG_FLOOR)
-        if total <= 0:
-            total, start = 0.0, len(items)
-        total += score
-        items.append((kind, words, block, of, aside))
-        if total > best:
-            best, best_from, best_to = total, start, len(items)
+        words = html.unescape(text) if kind == "word" else ""
+        items.append((kind, words, block, of))
+        scores.append(of * len(words.split()) if kind == "word" else max(math.log(of), TAG_FLOOR))
+    start, end = best_region(scores)
     blocks: list[list[str]] = []
     last = None
-    for kind, words, block, of, aside in items[best_from:best_to]:
-        if kind == "word" and of >= 0.5 and not aside:
+    for kind, words, block, of in items[start:end]:
+        if kind == "word" and of >= 0.5:
             if block != last:
                 blocks.append([])
                 last = block
@@ -187,7 +225,7 @@ def main_text(page: str | None, weights: dict) -> str:
 def label_counts(page: str) -> Counter:
     """(kind, key, aside, article, inside) of the parts of a labelled page: words, or tags."""
     out: Counter = Counter()
-    for kind, key, text, _, aside, article in parts(page):
+    for kind, key, text, _, aside, article in outline(page):
         out[kind, key, aside, article, article and not aside] += len(text.split()) if kind == "word" else 1
     return out
 
