@@ -1,7 +1,9 @@
 """Licence statements by an exact set-similarity join with templates, next to phrases found word by word.
 
-A text block is a line or a sentence. Its tokens are its distinct words; a block matches a template when it holds at
-least ``threshold`` of the template's distinct tokens, and is named after the template of which it holds most. The join is exact: tokens of all templates are put in order of
+A text block is a sentence, which goes on over line ends and stops at a blank line, so a wrapped notice is one block. Its
+tokens are its distinct words; a block matches a template when it holds at least ``threshold`` of the template's distinct
+tokens. It gets the labels of all templates it matches, but for those of which it only holds tokens that it also holds
+of a better one: one held by a larger share, or by the same share and more tokens. The join is exact: tokens of all templates are put in order of
 their frequency over all blocks, rarest first; a block that reaches the threshold must hold one of the first
 ``size - need + 1`` tokens of the template (prefix filter) and at least ``need`` template tokens (length filter), and
 what is left in both orders from the matched token on must suffice (positional filter). What remains is verified on
@@ -41,7 +43,7 @@ TEMPLATES = [
 THRESHOLD = 0.8
 _GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
-_BLOCK = r"\n|(?<=[.!?])[ \t]+"
+_BLOCK = r"(?<=[.!?])[ \t\r\n]+|\n[ \t\r]*\n"
 
 
 def _tokens(text: str) -> list[str]:
@@ -107,14 +109,20 @@ def scanned(
     pairs = blocks.select("row", "block", "own", F.posexplode("own").alias("at", "rank")).join(prefixes, "rank")
     enough = F.least(F.size("ranks") - F.col("place"), F.size("own") - F.col("at")) >= F.col("need")
     first = F.size(F.array_intersect(F.slice("own", 1, F.col("at")), "ranks")) == 0  # each pair once, at its first token
-    share = F.size(F.array_intersect("own", "ranks")) / F.size("ranks")
-    verified = pairs.where(enough & first).select("row", "block", "need", "ranks", "own", "label", share.alias("share"))
-    verified = verified.where(F.size(F.array_intersect("own", "ranks")) >= F.col("need"))
-    # A block is named after the template it holds most of; a block has at most as many rows here as there are templates.
-    best = verified.groupBy("row", "block").agg(F.max("share").alias("share"), F.collect_set(F.struct("label", "share")).alias("all"))
-    named = F.transform(F.filter("all", lambda x: x["share"] == F.col("share")), lambda x: x["label"])
+    held = F.array_intersect("own", "ranks")
+    verified = pairs.where(enough & first).select("row", "block", "need", "label", held.alias("held"), (F.size(held) / F.size("ranks")).alias("share"))
+    verified = verified.where(F.size("held") >= F.col("need"))
+    # A block has at most as many rows here as there are templates.
+    matches = verified.groupBy("row", "block").agg(F.max("share").alias("share"), F.collect_set(F.struct("label", "held", "share")).alias("all"))
+
+    def inside(x: Column, y: Column) -> Column:
+        more = (y["share"] > x["share"]) | ((y["share"] == x["share"]) & (F.size(y["held"]) > F.size(x["held"])))
+        return more & (F.size(F.array_except(x["held"], y["held"])) == 0)
+
+    kept = F.filter("all", lambda x: ~F.exists("all", lambda y: inside(x, y)))
+    named = F.transform(kept, lambda x: x["label"])
     found = (
-        best.select("row", "share", F.explode(named).alias("label"))
+        matches.select("row", "share", F.explode(named).alias("label"))
         .groupBy("row").agg(F.collect_set("label").alias("more"), F.max("share").alias("share"))
     )
     joined = read.drop("blocks").join(found, "row", "left")

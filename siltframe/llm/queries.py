@@ -58,12 +58,13 @@ with d as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVW
   base as (select doc_id, pos, case when word = 'cc' and second = 'by' then 'cc-by' when word = 'general' and second = 'public' and third = 'license' then 'gpl'
       when word = 'all' and second = 'rights' and third = 'reserved' then 'reserved' end as label from runs),
   found as (select doc_id, count(*) as n_base, min(pos) as first_word, max(pos) as last_word from base where label is not null group by doc_id),
-  b as (select doc_id, unnest(string_split(regexp_replace(t, '([.!?])[ \t]+', '\1' || chr(10), 'g'), chr(10))) as block from d),
+  b as (select doc_id, unnest(string_split_regex(regexp_replace(t, '([.!?])[ \t\r\n]+', '\1' || chr(10) || chr(10), 'g'), '\n[ \t\r]*\n')) as block from d),
   numbered as (select doc_id, row_number() over () as block_no, {_WORDS.format("block", _WORD)} as own from b),
   t as (select label, {_WORDS.format("text", _WORD)} as tokens from (values {_TEMPLATE_ROWS}) v(k, label, text)),
-  hit as (select doc_id, block_no, label, len(list_intersect(own, tokens)) / len(tokens) as share from numbered, t
+  hit as (select doc_id, block_no, label, list_intersect(own, tokens) as held, len(list_intersect(own, tokens)) / len(tokens) as share from numbered, t
     where len(own) >= 4 and len(list_intersect(own, tokens)) >= ceil(0.8 * len(tokens))),
-  best as (select * from hit qualify share = max(share) over (partition by doc_id, block_no)),
+  best as (select * from hit x where not exists (select 1 from hit y where y.block_no = x.block_no
+    and (y.share > x.share or y.share = x.share and len(y.held) > len(x.held)) and len(list_intersect(x.held, y.held)) = len(x.held))),
   named as (select doc_id, label, 1 as base from base where label is not null union select doc_id, label, 0 from best),
   labels as (select doc_id, string_agg(distinct label, ',' order by label) as labels, string_agg(distinct label, ',' order by label) filter (base = 1) as base_labels from named group by doc_id),
   shares as (select doc_id, max(share) as share from best group by doc_id)
