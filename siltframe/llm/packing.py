@@ -259,7 +259,9 @@ def packed(
     done, level, count = None, 0, todo.count()
     while True:
         shards = max(1, -(-count // shard_pieces))
-        deal = F.pmod(F.xxhash64("doc_id", "piece", "start", F.lit(level)), F.lit(shards)).alias("shard")
+        # Rows of a stored table are dealt by their place too, so that repeated rows and rows without an id spread.
+        place = F.monotonically_increasing_id()
+        deal = F.pmod(F.xxhash64("doc_id", "piece", "start", "length", "ids_crc32", place, F.lit(level)), F.lit(shards)).alias("shard")
         out = stored(todo.select("*", deal).groupBy("shard").applyInPandas(_packer(capacity, level), _PACKED), "packed")
         closed = out.where(f"free <= {OPEN_FREE}") if shards > 1 else out
         done = closed if done is None else done.union(closed)

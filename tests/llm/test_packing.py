@@ -52,3 +52,15 @@ def test_local_search_empties_sequences_and_keeps_all_pieces():
         done = packing.local_search(first, sizes, 4096)
         assert sorted(i for b in done for i in b) == list(range(800)) and len(done) <= len(first)
         assert max(sizes[b].sum() for b in done) <= 4096
+
+
+def test_rows_without_an_id_spread_over_shards(docs):
+    """Repeated texts without an id are as one key in every column; no shard may get most of them."""
+    texts = ["some words " * 150] * 600
+    got = packing.packed(docs(*texts, ids=[None] * len(texts)), PATH, shard_pieces=100).toPandas()
+    assert len(got) == 600 and (got["length"] == got["length"].iloc[0]).all()
+    first = got[got["sequence_id"] >> 58 == 0]
+    shards = (first["sequence_id"] >> 24).value_counts()
+    assert len(shards) == 6 and shards.max() <= 200
+    for _, rows in got.sort_values("offset").groupby("sequence_id"):
+        assert rows["length"].sum() <= 4096 and list(rows["offset"]) == list(np.cumsum(rows["length"]) - rows["length"])
