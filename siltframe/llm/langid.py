@@ -5,10 +5,11 @@ Characters beyond ASCII count by their whole code points, so any script can be t
 linkage until the square root of their number is left. Linear support vector machines (squared hinge loss, dual
 coordinate descent) separate the families one against another; in the family chosen, one machine per pair of languages
 votes, and the sum of margins breaks ties. The score is the product of the chance of the family and of the language,
-each the smallest logistic value of the winner's margins.
+each the smallest logistic value of the winner's margins. Every machine is fitted in a task of its own, from sparse vectors;
+the driver sees one mean vector a language and one vector a machine.
 
 Null text and text without a letter are ``und`` with score 0, as is everything when no language could be learned.
-Repeated rows are judged alike. Null ids are judged too. Extra columns are ignored.
+Repeated rows are judged alike and teach once, but take a place each in the ranking of the sample. Null ids are judged too. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -16,17 +17,20 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .store import fold, prepare
+from .store import fold, prepare, stored
 from .symbols import BEYOND, spans
 
 #: Places of a vector: pairs of ASCII symbols, hashed other pairs up to PAIRS, hashed triples.
 BUCKETS, PAIRS, PLAIN = 4096, 1280, BEYOND * BEYOND
 SAMPLE_ROWS = 300
+#: Groups of partitions in which the sample of a language is ranked first.
+SLICES = 64
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
 
@@ -87,21 +91,19 @@ def families(centres: np.ndarray) -> list[list[int]]:
 class Hierarchy:
     """Families of languages and the machines between and inside them."""
 
-    def __init__(self, x: np.ndarray, languages: list[str]):
-        self.names = sorted(set(languages))
-        label = np.array([self.names.index(v) for v in languages])
-        self.groups = families(np.stack([x[label == k].mean(0) for k in range(len(self.names))]))
-        of = np.empty(len(self.names), int)
-        for f, group in enumerate(self.groups):
-            of[group] = f
+    def __init__(self, names: list[str], centres: np.ndarray):
+        self.names, self.groups = names, families(centres)
         self.pairs = [("f", a, b) for a, b in combinations(range(len(self.groups)), 2)]
         self.pairs += [("l", a, b) for g in self.groups for a, b in combinations(sorted(g), 2)]
-        weights = []
-        for kind, a, b in self.pairs:
-            own = of[label] if kind == "f" else label
-            rows = (own == a) | (own == b)
-            weights.append(machine(x[rows], np.where(own[rows] == a, 1.0, -1.0)))
-        self.weights = np.array(weights, np.float32).reshape(len(self.pairs), -1)
+        self.weights = np.zeros((len(self.pairs), BUCKETS + 1), np.float32)
+
+    def sides(self) -> list[tuple[int, str, float]]:
+        """(pair, language, side) for every machine and every language it learns from."""
+        members = {"f": self.groups, "l": [[k] for k in range(len(self.names))]}
+        return [
+            (number, self.names[k], side)
+            for number, (kind, a, b) in enumerate(self.pairs) for side, group in ((1.0, a), (-1.0, b)) for k in members[kind][group]
+        ]
 
     def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
         margin = x @ self.weights[:, :-1].T + self.weights[:, -1] if len(self.pairs) else np.zeros((len(x), 0))
@@ -128,9 +130,31 @@ class Hierarchy:
 
 
 def _vectors(batches):
+    """Vectors as their places and values other than 0."""
     for batch in batches:
-        rows = [vector(x).tobytes() for x in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(rows, pa.binary())], ["lang", "x"])
+        rows = [vector(x) for x in batch.column("text").to_pylist()]
+        at = [np.flatnonzero(x).astype(np.uint16) for x in rows]
+        values = [x[a].tobytes() for x, a in zip(rows, at)]
+        arrays = [*map(batch.column, ("doc_id", "lang")), pa.array([a.tobytes() for a in at], pa.binary()), pa.array(values, pa.binary())]
+        yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "lang", "at", "x"])
+
+
+def _dense(rows: pd.DataFrame) -> tuple[np.ndarray, pd.DataFrame]:
+    """Vectors in an order that depends on the rows alone, and those rows."""
+    rows = rows.sort_values(["lang", "at", "x"], kind="stable")
+    out = np.zeros((len(rows), BUCKETS), np.float32)
+    for k, (at, x) in enumerate(zip(rows["at"], rows["x"])):
+        out[k, np.frombuffer(at, np.uint16)] = np.frombuffer(x, np.float32)
+    return out, rows
+
+
+def _centre(rows: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"lang": rows["lang"].iloc[:1], "x": [_dense(rows)[0].mean(0).tobytes()]})
+
+
+def _fit(rows: pd.DataFrame) -> pd.DataFrame:
+    x, rows = _dense(rows)
+    return pd.DataFrame({"pair": rows["pair"].iloc[:1], "w": [machine(x, rows["side"].to_numpy()).astype(np.float32).tobytes()]})
 
 
 def _judge(learned):
@@ -160,17 +184,27 @@ def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Hierarchy | None:
     """Learn from ``sample_rows`` rows of each language outside the held-out fold, those with the smallest hashed ids."""
     known = docs.where("lang is not null and text is not null and doc_id is not null")
     known = known.where(fold(F.col("doc_id"), FOLDS) != HELD_OUT)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit("sample"), "doc_id"), "doc_id")
-    ids = (
-        known.select("doc_id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample_rows)
-        .select("doc_id").distinct()
-    )  # sample_rows x languages at most
-    sample = known.select("doc_id", "lang", "text").join(F.broadcast(ids), "doc_id").select("lang", "text")
-    rows = sample.mapInArrow(_vectors, "lang string, x binary").toArrow()
-    rows = sorted(zip(rows["lang"].to_pylist(), rows["x"].to_pylist()))
-    if not rows:
+    known = known.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text", F.xxhash64("text").alias("mark"))
+    # First within slices of the partitions, so that the last ranking of a language sees SLICES x sample_rows ids at any size.
+    order = [F.xxhash64(F.lit("sample"), "doc_id"), F.col("doc_id"), F.col("mark")]
+    ids = known.select("doc_id", "lang", "mark", F.pmod(F.spark_partition_id(), F.lit(SLICES)).alias("slice"))
+    for group in (["lang", "slice"], ["lang"]):
+        ids = ids.withColumn("n", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("n") <= sample_rows)
+    ids = ids.select("doc_id", "lang", "mark").distinct()  # sample_rows x languages at most
+    sample = known.join(F.broadcast(ids), ["doc_id", "lang", "mark"]).select("doc_id", "lang", "text")
+    rows = sample.mapInArrow(_vectors, "doc_id long, lang string, at binary, x binary").distinct()  # an id may stand on many rows
+    rows = stored(rows.drop("doc_id"), "sample", narrow=True)
+    centres = rows.groupBy("lang").applyInPandas(_centre, "lang string, x binary").toArrow().to_pylist()  # one vector a language
+    if not centres:
         return None
-    return Hierarchy(np.stack([np.frombuffer(x, np.float32) for _, x in rows]), [v for v, _ in rows])
+    centres.sort(key=lambda r: r["lang"])
+    model = Hierarchy([r["lang"] for r in centres], np.stack([np.frombuffer(r["x"], np.float32) for r in centres]))
+    if model.pairs:
+        sides = rows.sparkSession.createDataFrame(model.sides(), "pair int, lang string, side double")
+        fitted = rows.join(F.broadcast(sides), "lang").groupBy("pair").applyInPandas(_fit, "pair int, w binary")
+        for r in fitted.toArrow().to_pylist():  # one vector a machine
+            model.weights[r["pair"]] = np.frombuffer(r["w"], np.float32)
+    return model
 
 
 def tagged(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

@@ -81,3 +81,27 @@ def test_vectors_do_not_depend_on_blocks(monkeypatch):
     whole = langid.vector(text)
     monkeypatch.setattr("siltframe.llm.symbols.BLOCK_CHARS", 3)
     assert np.allclose(langid.vector(text), whole)
+
+
+def test_machines_of_many_languages_are_fitted_in_tasks(frame):
+    draw = random.Random(5)
+    letters = {f"l{k}": "".join(draw.sample("abcdefghijklmnopqrstuvwxyz", 9)) for k in range(9)}
+    rows = [(i, " ".join("".join(draw.choices(letters[name], k=5)) for _ in range(25)), name) for i, name in enumerate(sorted(letters) * 40)]
+    docs = frame("doc_id long, text string, lang string", *rows)
+    model = langid.learn(docs, 30)
+    assert sorted(sum(model.groups, [])) == list(range(9)) and len(model.groups) == 3 and len(model.weights) == len(model.pairs)
+    x = {name: np.stack([langid.vector(t) for _, t, lang in rows if lang == name]) for name in letters}
+    for (kind, a, b), w in zip(model.pairs, model.weights, strict=True):
+        for group, side in ((a, 1), (b, -1)):
+            for k in model.groups[group] if kind == "f" else [group]:
+                assert (np.sign(x[model.names[k]] @ w[:-1] + w[-1]) == side).mean() >= 0.9
+    got = {r["doc_id"]: r for r in langid.languages(docs, 30).collect()}
+    held = [(i, name) for i, _, name in rows if got[i]["held_out"]]
+    assert len(held) > 50 and sum(got[i]["lang_pred"] == name for i, name in held) >= 0.95 * len(held)
+
+
+def test_an_id_on_many_rows_keeps_the_sample_small(frame):
+    rows = [(1, "abc def ghi", "a"), (3, "xyz uvw rst", "b")] * 400 + [(k, f"abc{k} dea", "a") for k in range(10, 40)]
+    docs = frame("doc_id long, text string, lang string", *rows)
+    first, second = langid.learn(docs, 20), langid.learn(docs.repartition(7), 20)
+    assert first.names == second.names and first.groups == second.groups and (first.weights == second.weights).all()
