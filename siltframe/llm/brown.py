@@ -56,16 +56,26 @@ def endings(w: Words) -> np.ndarray:
     return (mix(out) % _U(GROUPS)).astype(np.int32)
 
 
+def grouped(number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal numbers stand together, and where in it each run of them begins.
+
+    Places are sorted along in the last bits of the numbers, which is several times faster than an order of whole ones.
+    Different numbers that agree in all other bits may mix, so a number may rarely have more runs than one.
+    """
+    bits = _U(len(number).bit_length())
+    order = (np.sort((number >> bits << bits) | np.arange(len(number), dtype=_U)) & ((_U(1) << bits) - _U(1))).astype(np.int64)
+    x = number[order]
+    return order, np.flatnonzero(np.concatenate((np.ones(min(len(x), 1), bool), x[1:] != x[:-1])))
+
+
 def _count(batches):
-    """Counts of (word, group), flushed whenever a task holds many."""
+    """Counts of (word, group), flushed whenever a task holds many; a word may have more rows than one."""
     keys, counts, groups, held = [], [], [], 0
 
     def merged():
         k, n, g = np.concatenate(keys), np.concatenate(counts), np.concatenate(groups)
-        order = np.argsort(k, kind="stable")
-        k, n, g = k[order], n[order], g[order]
-        first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
-        return k[first], np.add.reduceat(n, first), g[first]
+        order, first = grouped(k)
+        return k[order[first]], np.add.reduceat(n[order], first), g[order[first]]
 
     def rows(k, n, g):
         for at in range(0, len(k), 1 << 15):
@@ -74,10 +84,12 @@ def _count(batches):
 
     for batch in batches:
         w = words(batch.column("text"))
-        keys += [w.number, np.array([END], _U)]
-        counts += [np.ones(len(w.number), np.int64), np.array([batch.num_rows], np.int64)]
-        groups += [endings(w), np.array([-1], np.int32)]
-        held += len(w.number) + 1
+        order, first = grouped(w.number)
+        one = order[first]
+        keys += [w.number[one], np.array([END], _U)]
+        counts += [np.diff(np.append(first, len(order))), np.array([batch.num_rows], np.int64)]
+        groups += [endings(w._replace(start=w.start[one], end=w.end[one])), np.array([-1], np.int32)]
+        held += len(one) + 1
         if held > 2 * HOLD:
             k, n, g = merged()
             if len(k) > HOLD:
@@ -89,22 +101,20 @@ def _count(batches):
         yield from rows(*merged())
 
 
-def units_of(w: Words, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Units of all tokens, an end before and after each text, and the place after each text. ``frequent`` is sorted."""
-    unit = endings(w) + np.int32(UNITS - GROUPS)
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, w.number), len(frequent) - 1)
-        unit = np.where(frequent[at] == w.number, at.astype(np.int32) + np.int32(1), unit)
-    return np.insert(unit, w.bound[1:], 0), w.bound[1:] + np.arange(1, len(w.bound))
-
+def _bigrams(units):
+    """Counts of pairs of neighbouring units, from stored places; ``units`` has those of the head and of the end."""
 
-def _bigrams(frequent):
     def count(batches):
-        total = np.zeros(UNITS * UNITS, np.int64)
-        for batch in batches:
-            row, _ = units_of(words(batch.column("text")), frequent.value)
-            before = np.concatenate(([0], row[:-1])).astype(np.int64)
-            total += np.bincount(before * UNITS + row, minlength=UNITS * UNITS)
+        of, total, held, n_held = units.value, np.zeros(UNITS * UNITS, np.int64), [], 0
+        for place in _stored_places(batches):
+            unit = np.where(place >= 0, of[np.maximum(place, 0)], np.int32(UNITS - GROUPS - 1) - place)
+            held.append(unit[:-1] * np.int32(UNITS) + unit[1:])
+            n_held += len(held[-1])
+            if n_held > HOLD:
+                total += np.bincount(np.concatenate(held), minlength=UNITS * UNITS)
+                held, n_held = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=UNITS * UNITS)
         found = np.flatnonzero(total)
         for at in range(0, len(found), 1 << 15):
             part = found[at : at + (1 << 15)]
@@ -210,9 +220,41 @@ def _places_in(head: np.ndarray, number: np.ndarray) -> np.ndarray:
     return np.where(head[at] == number, at, -1)
 
 
-def classes_of(w: Words, m: dict) -> tuple[np.ndarray, np.ndarray]:
+def finder(head: np.ndarray, steps: int = 6):
+    """``_places_in`` for a long ``head`` that is asked many times: a function of numbers to places (32 bits).
+
+    The first bits of a number tell where to begin. Numbers are spread evenly, so it stands there or a few places
+    on; after ``steps`` places the rest is searched for.
+    """
+    shift, size = _U(63 - len(head).bit_length()), len(head)
+    begin = np.zeros(1 << (64 - int(shift)), np.int32)
+    np.cumsum(np.bincount((head >> shift).astype(np.int64), minlength=len(begin))[:-1], out=begin[1:])
+    ended = np.append(head, ~_U(0))
+
+    def places(number: np.ndarray) -> np.ndarray:
+        at = begin[number >> shift]
+        there = ended[at]
+        out = np.where(there == number, at, np.int32(-1))
+        left = np.flatnonzero(there < number)
+        at = at[left]
+        for _ in range(steps):
+            if not len(left):
+                break
+            at = at + np.int32(1)
+            wanted, there = number[left], ended[at]
+            hit, on = there == wanted, there < wanted
+            out[left[hit]] = at[hit]
+            left, at = left[on], at[on]
+        out[left] = _places_in(head, number[left])
+        out[out == size] = -1
+        return out
+
+    return places
+
+
+def classes_of(w: Words, m: dict, find) -> tuple[np.ndarray, np.ndarray]:
     """Class of every word, and its place in the head; words outside of the head have the class of their last bytes."""
-    place = _places_in(m["head"], w.number)
+    place = find(w.number)
     far = place < 0
     of = np.zeros(len(place), np.int64) if far.all() else m["classes"][place]
     if far.any():
@@ -238,17 +280,6 @@ def _packed(word: np.ndarray, bound: np.ndarray, code: np.ndarray, n: np.ndarray
         yield pa.RecordBatch.from_arrays([pa.array(word[at : at + (1 << 15)]), kinds], ["word", "kinds"])
 
 
-def _pairs_of(batch, m: dict):
-    """Number, class and place in the head of the first and the second word of all pairs of neighbours; an end has the last place."""
-    w = words(batch.column("text"))
-    of, place = classes_of(w, m)
-    number = np.insert(w.number, w.bound[1:], _U(END)).view(np.int64)
-    of, place = np.insert(of, w.bound[1:], m["end_class"]), np.insert(place, w.bound[1:], len(m["head"]))
-    second = number, of, place
-    first = tuple(np.concatenate(([x], y[:-1])) for x, y in zip((END, m["end_class"], len(m["head"])), second))
-    return first, second
-
-
 def _fixed(m: dict) -> tuple[np.ndarray, np.ndarray]:
     """Words that keep their class, and a flag for each place in the head and for the end."""
     words_ = np.append(m["frequent"], _U(END))
@@ -272,15 +303,15 @@ def _near(model):
     def count(batches):
         m = model.value
         k, names, held, n_held = m["k"], np.append(m["head"], _U(END)).view(np.int64), [], 0
-        of, fixed = np.append(m["classes"], m["end_class"]), _fixed(m)[1]
+        of, free = np.append(m["classes"], m["end_class"]), ~_fixed(m)[1]
         width = 2 * k + 1
+        kind = np.int32 if len(of) * width < 1 << 31 else np.int64  # short keys sort faster
+        of = of.astype(kind)
 
         def merged():
             keys, n = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
-            order = np.argsort(keys, kind="stable")
-            keys, n = keys[order], n[order]
-            first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-            return keys[first], np.add.reduceat(n, first)
+            order, first = grouped(keys.astype(_U) << _U(24))  # keys below 2**40, so none agree in the bits that are sorted
+            return keys[order[first]], np.add.reduceat(n[order], first)
 
         def rows(keys, n):
             place = keys // width
@@ -288,9 +319,10 @@ def _near(model):
             return _packed(names[place[first]], np.append(first, len(keys)), keys % width, n)
 
         for a, b in _near_pairs(batches):
-            same, left, right = a == b, ~fixed[a], ~fixed[b]
-            keys = [a[left & ~same] * width + of[b[left & ~same]], b[right & ~same] * width + k + of[a[right & ~same]], a[left & same] * width + 2 * k]
-            keys = np.sort(np.concatenate(keys))
+            a, b = a.astype(kind), b.astype(kind)
+            same = a == b
+            after, before = a * width + np.where(same, kind(2 * k), of[b]), b * width + (of[a] + kind(k))
+            keys = np.sort(np.concatenate((after[free[a]], before[free[b] & ~same])))
             if not len(keys):
                 continue
             first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
@@ -308,20 +340,29 @@ def _near(model):
     return count
 
 
-def _cut_once(model):
+def _cut_once(head):
     """Pairs of neighbours with a word outside of the head, as numbers and places, and the places of all words.
 
-    A row has either a pair or, in ``places``, the places of all words and ends of a batch of texts, -1 outside of the head.
+    A row has either a pair or, in ``places``, the places of all words and ends of a batch of texts. An end has the
+    last place; outside of the head a word has -1 in pairs and -1 less its group in ``places``.
     """
 
     def found(batches):
-        m = model.value
+        find, size = finder(head.value), np.int32(len(head.value))
         for batch in batches:
-            (first, _, a), (second, _, b) = _pairs_of(batch, m)
+            w = words(batch.column("text"))
+            place = find(w.number)
+            out = np.flatnonzero(place < 0)
+            place[out] = -1 - endings(w._replace(start=w.start[out], end=w.end[out]))
+            b = np.insert(place, w.bound[1:], size)
+            a = np.concatenate(([size], b[:-1]))
             far = np.flatnonzero((a < 0) | (b < 0))
+            if len(far):
+                second = np.insert(w.number, w.bound[1:], _U(END)).view(np.int64)
+                first = np.concatenate(([END], second[:-1]))
             for at in range(0, len(far), 1 << 15):
                 part = far[at : at + (1 << 15)]
-                columns = [pa.array(first[part]), pa.array(second[part]), pa.array(a[part].astype(np.int32)), pa.array(b[part].astype(np.int32))]
+                columns = [pa.array(first[part]), pa.array(second[part]), pa.array(np.maximum(a[part], -1)), pa.array(np.maximum(b[part], -1))]
                 yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(part), pa.binary())], PAIR)
             for at in range(0, len(b), PLACES):  # a part begins with the last place of the part before, or an end
                 part = b[max(at - 1, 0) : at + PLACES] if at else np.concatenate((a[:1], b[:PLACES]))
@@ -336,14 +377,18 @@ PAIR = ["a", "b", "place_a", "place_b", "places"]
 PLACES = 1 << 17
 
 
-def _near_pairs(batches):
-    """Places of the first and the second word of the pairs in the head, from stored places."""
+def _stored_places(batches):
     for batch in batches:
         for row in batch.column("places"):
-            place = np.frombuffer(row.as_py(), "<i4").astype(np.int64)
-            a, b = place[:-1], place[1:]
-            near = (a >= 0) & (b >= 0)
-            yield a[near], b[near]
+            yield np.frombuffer(row.as_buffer(), "<i4")
+
+
+def _near_pairs(batches):
+    """Places of the first and the second word of the pairs in the head, from stored places."""
+    for place in _stored_places(batches):
+        a, b = place[:-1], place[1:]
+        near = (a >= 0) & (b >= 0)
+        yield a[near], b[near]
 
 
 def _classes(batch, m: dict) -> list[np.ndarray]:
@@ -388,12 +433,12 @@ def _far_kinds(model):
 
 
 def _own_kinds(k: int):
-    """The class of a word, as if it were the count of one more kind."""
+    """The class of a word and one, as if that were the count of one more kind."""
 
     def kinds(batches):
         for batch in batches:
             word = batch.column("word").to_numpy()
-            yield from _packed(word, np.arange(len(word) + 1), np.full(len(word), 2 * k + 1), batch.column("class").to_numpy())
+            yield from _packed(word, np.arange(len(word) + 1), np.full(len(word), 2 * k + 1), batch.column("class").to_numpy() + 1)
 
     return kinds
 
@@ -425,14 +470,16 @@ def _choose(model):
         def chosen(word, size, entries):
             first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
             of = np.repeat(np.repeat(np.arange(len(first)), np.diff(np.append(first, len(word)))), size)
-            keys, at = np.unique(of * width + entries["code"], return_inverse=True)
-            n = np.bincount(at, entries["n"]).astype(np.int64)
-            word, of, code = word[first].view(_U), keys // width, keys % width
+            word = word[first].view(_U)
+            is_class = entries["code"] == width - 1
             place = _places_in(m["head"], word)
             own = m["classes"][place].copy() if len(m["head"]) else np.zeros(len(word), np.int64)
-            own[of[code == width - 1]] = n[code == width - 1]
+            own[of[is_class]] = entries["n"][is_class] - 1
             own[word == END] = m["end_class"]
-            of, n, code = of[code < width - 1], n[code < width - 1], code[code < width - 1]
+            keys, n = (of * width + entries["code"])[~is_class], entries["n"][~is_class]
+            total = np.bincount(keys, n, len(word) * width).astype(np.int64)
+            keys = np.flatnonzero(total)
+            of, n, code = keys // width, total[keys], keys % width
             new = best_classes(m["table"], own, np.searchsorted(of, np.arange(len(word) + 1)), code, n)
             new = np.where((_places_in(m["frequent"], word) >= 0) | (word == END), own, new)
             return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(place.astype(np.int32)), pa.array(new.astype(np.int32))], ["word", "place", "class"])
@@ -481,17 +528,18 @@ def _joined(pairs: DataFrame, far: DataFrame) -> DataFrame:
     return first.select(*sides).union(second.select(*sides)).union(both.select(*sides))
 
 
-def cluster(train: DataFrame, model: dict, far: DataFrame | None, rounds: int = ROUNDS):
+def cluster(cut: DataFrame, model: dict, far: DataFrame | None, rounds: int = ROUNDS):
     """The model with the classes of all words, the classes (word, class) of those outside of the head, and their bigrams.
 
-    ``model`` has the first classes of the words in the head, ``far`` those of all others, if there are any.
+    ``cut`` has the pairs and places of the training texts (``_cut_once``), ``model`` the first classes of the words in
+    the head, ``far`` those of all others, if there are any.
     """
-    spark = train.sparkSession
-    shipped = spark.sparkContext.broadcast(model)
-    cut = stored(train.mapInArrow(_cut_once(shipped), "a long, b long, place_a int, place_b int, places binary"), "pairs")
-    shipped.destroy()
-    with _long_batches(spark):
-        return _rounds(cut.where("places is null").drop("places"), cut.where("places is not null").select("places"), model, far, rounds)
+    with _long_batches(cut.sparkSession):
+        return _rounds(cut.where("places is null").drop("places"), _places_of(cut), model, far, rounds)
+
+
+def _places_of(cut: DataFrame) -> DataFrame:
+    return cut.where("places is not null").select("places")
 
 
 @contextmanager
@@ -589,10 +637,10 @@ def _open_pairs(w: Words, of: np.ndarray, place: np.ndarray, m: dict) -> pa.List
 def _scorer(model):
     def score(batches):
         m = model.value
-        end_log = float(np.log10(m["end"] + 1))
+        end_log, find = float(np.log10(m["end"] + 1)), finder(m["head"])
         for batch in batches:
             w = words(batch.column("text"))
-            of, place = classes_of(w, m)
+            of, place = classes_of(w, m, find)
             row, after = np.insert(of, w.bound[1:], m["end_class"]), w.bound[1:] + np.arange(1, len(w.bound))
             context = np.concatenate(([0.0], np.cumsum(m["context"][np.concatenate(([m["end_class"]], row[:-1])), row])))
             edge = np.concatenate(([0], after))
@@ -640,25 +688,31 @@ def scores(docs: DataFrame, classes: int = CLASSES, head: int = HEAD) -> DataFra
     frequent = np.sort(word[order[: UNITS - GROUPS - 1]].view(_U))
     end = counts.where(F.col("ending") < 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
-    shipped = spark.sparkContext.broadcast(frequent)
-    pairs = train.mapInArrow(_bigrams(shipped), "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    by_word = np.argsort(word.view(_U), kind="stable")
+    by_word = by_word[real[by_word]]
+    known = word.view(_U)[by_word]
+    shipped = spark.sparkContext.broadcast(known)
+    cut_texts = stored(train.mapInArrow(_cut_once(shipped), "a long, b long, place_a int, place_b int, places binary"), "pairs")
+    shipped.destroy()
+
+    units = np.append(ending[by_word] + (UNITS - GROUPS), 0).astype(np.int32)
+    units[np.searchsorted(known, frequent)] = np.arange(1, len(frequent) + 1)
+    shipped = spark.sparkContext.broadcast(units)
+    pairs = _places_of(cut_texts).mapInArrow(_bigrams(shipped), "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros(UNITS * UNITS)
     table[pairs["pair"].to_numpy()] = pairs["n"].to_numpy()
     table = table.reshape(UNITS, UNITS)
     of = exchange(table, classes)
 
-    by_word = np.argsort(word.view(_U), kind="stable")
-    by_word = by_word[real[by_word]]
     group = of[UNITS - GROUPS :]
     first = group[ending[by_word]]
-    known = word.view(_U)[by_word]
     first[np.searchsorted(known, frequent)] = of[1 : len(frequent) + 1]
     model = {"k": classes, "head": known, "classes": first, "group": group, "end_class": int(of[0]), "frequent": frequent}
     far = None
     if distinct > len(word):
         own = F.get(F.array(*(F.lit(int(x)) for x in group)), F.col("ending"))
         far = counts.where((F.col("n") < cut) & (F.col("ending") >= 0)).select("word", own.cast("int").alias("class"))
-    model, far, moves, class_types = cluster(train, model, far)
+    model, far, moves, class_types = cluster(cut_texts, model, far)
 
     class_tokens = moves.sum(0)  # every token is the second of one pair
     overall = class_tokens / max(moves.sum(), 1)

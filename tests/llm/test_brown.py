@@ -2,6 +2,7 @@ import math
 import random
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -113,3 +114,65 @@ def test_rare_words_get_the_class_of_their_neighbours(docs, monkeypatch, head):
     assert rows[1002]["n_tokens"] == rows[1003]["n_tokens"] and rows[1002]["score"] > rows[1003]["score"]
     tokens = sum(len(t.split()) + 1 for i, t in [*enumerate(texts), *enumerate(probe, 1002)] if not held_out(i))
     assert moves.sum() == tokens == rows[0]["train_tokens"]
+
+
+def test_texts_are_cut_into_words_three_times(docs, monkeypatch):
+    """To count, for the places of all passes over pairs, and to score; each time costs about a tenth of the whole."""
+    texts, kind = docs("a b", "c"), type(docs("a"))
+    run, seen = kind.mapInArrow, []
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, *a, **b: seen.append("text" in self.columns) or run(self, *a, **b))
+    assert brown.scores(texts, classes=4).count() == 2 and sum(seen) == 3
+
+
+def test_finder_equals_a_search_and_grouped_an_order():
+    chance = np.random.default_rng(6)
+    ends = np.array([0, 1, (1 << 64) - 1], np.uint64)
+    for size in (0, 1, 3000):
+        head = np.unique(np.concatenate((chance.integers(0, 1 << 64, size, np.uint64), np.arange(size // 10, dtype=np.uint64) + np.uint64(7), ends[:size])))
+        asked = np.concatenate((head, chance.integers(0, 1 << 64, 500, np.uint64), ends, np.arange(2000, dtype=np.uint64)))
+        assert (brown.finder(head)(asked) == brown._places_in(head, asked)).all()
+    for number in (asked[:0], chance.integers(0, 1 << 64, 200, np.uint64)[chance.integers(0, 200, 5000)], chance.integers(0, 50, 5000, np.uint64)):
+        order, first = brown.grouped(number)
+        assert sorted(order) == list(range(len(number)))
+        got = Counter()
+        for x, n in zip(number[order[first]].tolist(), np.diff(np.append(first, len(order))).tolist()):
+            got[x] += n
+        assert got == Counter(number.tolist())
+
+
+def test_bigrams_of_stored_places_equal_brute_force(monkeypatch):
+    monkeypatch.setattr(brown, "PLACES", 7)
+    texts, frequent = ["a b c a", "", "rare a b", None, "b other c rare"], ["a", "b"]
+    column = pa.array(texts, pa.string())
+    w = brown.words(column)
+    number_of = lambda x: int(brown.words(pa.array([x])).number[0])
+    group = dict(zip(w.number.tolist(), brown.endings(w).tolist()))
+    head = np.sort(np.array([number_of(x) for x in "abc"], np.uint64))
+    top = np.sort(np.array([number_of(x) for x in frequent], np.uint64))
+
+    def unit(x):
+        at = np.flatnonzero(top == np.uint64(number_of(x)))
+        return int(at[0]) + 1 if len(at) else brown.UNITS - brown.GROUPS + group[number_of(x)]
+
+    want, before = Counter(), 0
+    for text in texts:
+        for u in [*(unit(x) for x in (text or "").split()), 0]:
+            want[before * brown.UNITS + u] += 1
+            before = u
+    batch = pa.RecordBatch.from_arrays([column], ["text"])
+    rows = list(brown._cut_once(SimpleNamespace(value=head))(iter([batch])))
+    units = np.array([unit("abc"[[number_of(x) for x in "abc"].index(int(h))]) for h in head] + [0], np.int32)
+    places = [x.select(["places"]) for x in rows if x.column("places").null_count == 0]
+    got = pa.Table.from_batches(brown._bigrams(SimpleNamespace(value=units))(iter(places)))
+    assert len(places) > 1 and dict(zip(got["pair"].to_pylist(), got["n"].to_pylist())) == want
+
+
+def test_a_word_over_two_batches_keeps_its_first_class(monkeypatch):
+    monkeypatch.setattr(brown, "ROWS", 1)
+    monkeypatch.setattr(brown, "best_classes", lambda table, own, *rest: own)
+    none = np.zeros(0, np.uint64)
+    model = {"k": 2, "head": np.array([5], np.uint64), "classes": np.array([1]), "frequent": none, "end_class": 1, "table": np.ones((2, 2))}
+    own = brown._own_kinds(2)(iter([pa.RecordBatch.from_arrays([pa.array([9]), pa.array([0], pa.int32())], ["word", "class"])]))
+    near = brown._packed(np.array([9]), np.array([0, 1]), np.array([1]), np.array([3]))
+    chosen = pa.Table.from_batches(brown._choose(SimpleNamespace(value=model))(iter([*own, *near])))
+    assert chosen.select(["word", "class"]).to_pylist() == [{"word": 9, "class": 0}]
