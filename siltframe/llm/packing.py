@@ -12,10 +12,7 @@ are ignored.
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
-from array import array
 
 import numpy as np
 import pandas as pd
@@ -23,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .encode import WordEncoder
 from .store import prepare, stored
 
 CAPACITY, END_ID = 4096, 1
@@ -30,76 +28,15 @@ CAPACITY, END_ID = 4096, 1
 SHARD_PIECES = 30_000
 #: A sequence with more free places than this is packed again with those of other shards.
 OPEN_FREE = 16
-MEMO_WORDS = 400_000
 #: Exchanges with two pieces look at sequences of so many pieces at most, and the search at so many stuck sequences.
 PAIR_PIECES, PATIENCE = 16, 8
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PACKED = f"{_PIECE}, sequence_id long, offset long, free int"
 
 
-#: A word that normalisation only lower-cases and that splits, if at all, before its last sign.
-_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,]?)")
-_PROBES = ("the", "The", "Été", "größe.", "niño,", "ÆØÅ", "x")
-
-
-def _byte_signs() -> dict[int, str]:
-    """Signs that stand for bytes in byte-level vocabularies: printable Latin-1 for itself, the rest from 256 on."""
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in own]
-    return {b: chr(256 + k) for k, b in enumerate(rest)}
-
-
-class Encoder:
-    """Token ids of a text as little-endian 32-bit numbers.
-
-    The vocabulary drops white space before its words are formed, so ids of a text are those of its space-separated
-    parts one after the other; parts seen before are looked up. Words of Latin-1 letters alone go straight to the
-    merges, if that gives the same ids for a few probes.
-    """
-
-    def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer, self.memo, self.stems, self.signs = Tokenizer.from_str(vocabulary), {}, {}, _byte_signs()
-        self.merges = self.tokenizer.model
-        self.direct = all(self._plain(_PLAIN.fullmatch(x)) == y for x, y in zip(_PROBES, self._full(_PROBES)))
-
-    def _full(self, parts) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(list(parts), add_special_tokens=False)]
-
-    def _plain(self, match: re.Match) -> bytes:
-        stem, stop = match.groups()
-        ids = self.stems.get(stem)
-        if ids is None:
-            tokens = self.merges.tokenize(stem.lower().encode().decode("latin-1").translate(self.signs))
-            ids = self.stems[stem] = array("I", [t.id for t in tokens]).tobytes()
-        if stop:
-            if stop not in self.stems:
-                self.stems[stop] = self._full([stop])[0]
-            ids += self.stems[stop]
-        return ids
-
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        raw = [(x or "").encode() for x in texts]
-        parts = [(x if b"<|" in x else x.lower()).split() for x in raw]  # special tokens are told from other words by case
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-            self.stems.clear()
-        memo, rest = self.memo, []
-        for word in set().union(*parts) - memo.keys():
-            match = _PLAIN.fullmatch(word.decode()) if self.direct else None
-            if match:
-                memo[word] = self._plain(match)
-            else:
-                rest.append(word)
-        memo.update(zip(rest, self._full(x.decode() for x in rest)))
-        return [b"".join(map(memo.__getitem__, x)) for x in parts]
-
-
 def _cutter(vocabulary, capacity: int, end_id: int):
     def cut(batches):
-        encode, end, width = Encoder(vocabulary.value), np.array([end_id], "<u4").tobytes(), 4 * capacity
+        encode, end, width = WordEncoder(vocabulary.value), np.array([end_id], "<u4").tobytes(), 4 * capacity
         for batch in batches:
             rows = []
             for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist())):

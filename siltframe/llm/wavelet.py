@@ -25,7 +25,6 @@ import json
 import re
 import uuid
 import zlib
-from array import array
 from typing import NamedTuple
 
 import numpy as np
@@ -35,77 +34,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .packing import Encoder
+from .encode import WordEncoder
 from .store import prepare, stored
 
 END_ID = 2
 #: Ids in a shard and in the rows that one task writes.
 SHARD_TOKENS, TASK_TOKENS = 1 << 22, 1 << 26
-#: Words, and letters of words, whose ids a worker remembers.
-MEMO_WORDS = 500_000
 #: Bits between two counts of ones.
 BLOCK = 512
 MAGIC = b"SWM1"
 _U = np.uint64
 _WORDS = BLOCK // 64
 
-#: Letters that only change by lower-casing, and one run of ASCII marks behind them that forms a word of its own.
-_STEM = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
-
-
-class _Words(dict):
-    """Ids of words as bytes; a word that is asked for first is encoded then."""
-
-    def __init__(self, encoder: Encoder, kind: np.dtype):
-        self.encoder, self.kind, self.code, self.stems = encoder, kind, {2: "H", 4: "I"}[kind.itemsize], {}
-
-    def full(self, text: str) -> bytes:
-        return np.frombuffer(self.encoder._full([text])[0], "<u4").astype(self.kind).tobytes()
-
-    def __missing__(self, word: bytes) -> bytes:
-        text = word.decode()
-        if word.isalpha():
-            stem, stop = text, ""
-        else:
-            found = _STEM.fullmatch(text) if self.encoder.direct else None
-            if not found:
-                self[word] = ids = self.full(text)
-                return ids
-            stem, stop = found.groups()
-        ids = self.stems.get(stem)
-        if ids is None:
-            if not self.encoder.direct:
-                ids = self.full(stem)
-            else:
-                low = stem.lower()
-                signs = low if low.isascii() else low.encode().decode("latin-1").translate(self.encoder.signs)
-                ids = array(self.code, [t.id for t in self.encoder.merges.tokenize(signs)]).tobytes()
-            self.stems[stem] = ids
-        if stop:
-            tail = self.stems.get(stop)
-            if tail is None:
-                tail = self.stems[stop] = self.full(stop)
-            ids += tail
-        self[word] = ids
-        return ids
-
-
-class WordEncoder:
-    """Ids of a text from those of its words, where letters and a run of marks behind them are looked up apart."""
-
-    def __init__(self, vocabulary: str, kind: str = "<u4"):
-        self.words = _Words(Encoder(vocabulary), np.dtype(kind))
-
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        words = self.words
-        for memo in (words, words.stems):
-            if len(memo) > MEMO_WORDS:
-                memo.clear()
-        raw = [(x or "").encode() for x in texts]
-        # Special tokens are told from other words by case.
-        return [b"".join(map(words.__getitem__, (x if b"<|" in x else x.lower()).split())) for x in raw]
-
-
 class Plane(NamedTuple):
     """Bits of a plane in 64-bit words, ones before every BLOCK bits, and the number of zeros."""
 

@@ -64,3 +64,18 @@ def test_rows_without_an_id_spread_over_shards(docs):
     assert len(rows_of) == 6 and rows_of.max() <= 200
     for _, rows in got.sort_values("offset").groupby("sequence_id"):
         assert rows["length"].sum() <= 4096 and list(rows["offset"]) == list(np.cumsum(rows["length"]) - rows["length"])
+
+
+def test_letters_go_to_the_merges_once_whatever_stands_behind_them():
+    with open(PATH, encoding="utf-8") as file:
+        encode = packing.WordEncoder(file.read())
+    tokenizer, texts = Tokenizer.from_file(PATH), ['Größndhain größndhain! größndhain) größndhain;" größndhain.', *(x for x in TEXTS if x)]
+    full, letters, words = [], [], encode.words
+    run, direct = words.full, words.letters
+    words.full = lambda x: full.append(x) or run(x)
+    words.letters = lambda x: letters.append(x) or direct(x)
+    for k, text in enumerate(texts):
+        ids = np.frombuffer(encode([text])[0], "<u4").tolist()
+        assert ids == tokenizer.encode(text, add_special_tokens=False).ids
+        if not k:
+            assert len(set(full)) == len(full) and set(full) == {"!", ")", ';"', "."} and len(letters) <= 2
