@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .encode import WordEncoder
+from .encode import WordEncoder, grouped
 from .store import prepare, stored
 
 CAPACITY, END_ID = 4096, 1
@@ -37,9 +37,9 @@ _PACKED = f"{_PIECE}, sequence_id long, offset long, free int"
 def _cutter(vocabulary, capacity: int, end_id: int):
     def cut(batches):
         encode, end, width = WordEncoder(vocabulary.value), np.array([end_id], "<u4").tobytes(), 4 * capacity
-        for batch in batches:
+        for batch in grouped(batches):
             rows = []
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist())):
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text"))):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), width)):
                     part = ids[at : at + width]

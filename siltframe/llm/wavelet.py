@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .encode import WordEncoder
+from .encode import WordEncoder, grouped
 from .store import prepare, stored
 
 END_ID = 2
@@ -215,8 +215,8 @@ def _encoder(vocabulary, end_id: int, kind: str):
         if "encoder" not in held:  # a worker keeps what it was sent, so its next tasks find the words it knows
             held["encoder"] = WordEncoder(held["text"], kind)
         encode = held["encoder"]
-        for batch in batches:
-            ids = [x + end for x in encode(batch.column("text").to_pylist())]
+        for batch in grouped(batches):
+            ids = [x + end for x in encode(batch.column("text"))]
             sizes, marks = [len(x) // np.dtype(kind).itemsize for x in ids], [zlib.crc32(x) for x in ids]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(marks, pa.int64()), pa.array(ids, pa.binary())],
